@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from classmap.operators.hierarchy import build_hierarchy
+from classmap.plans.assign import assign_classes_fallback
 from classmap.plans.settle import settle
 
 
@@ -40,16 +41,44 @@ def class_sheet(spark, sf_dir) -> DataFrame:
     )
 
 
+_KEPT: dict = {}
+
+
+def once(spark, sf_dir, name: str, build) -> DataFrame:
+    """An input shared by many queries, written once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT:
+        _KEPT[key] = settle(build(), name)
+    return _KEPT[key]
+
+
 def classes(spark, sf_dir) -> DataFrame:
-    return settle(build_hierarchy(class_sheet(spark, sf_dir)), "class_nodes")
+    return once(spark, sf_dir, "class_nodes", lambda: build_hierarchy(class_sheet(spark, sf_dir)))
 
 
-def class_emb(spark, sf_dir, nodes: DataFrame | None = None) -> DataFrame:
+def class_emb(spark, sf_dir) -> DataFrame:
     """Vectors of classes; late classes fall outside the vector table and have none."""
-    nodes = classes(spark, sf_dir) if nodes is None else nodes
-    vectors = item_emb(spark, sf_dir)
-    ids = nodes.select(F.col("id").alias("class"), (F.col("id") * 7).alias("id"))
-    return ids.join(vectors, "id").select(F.col("class").alias("id"), "embedding")
+
+    def build():
+        ids = classes(spark, sf_dir).select(F.col("id").alias("class"), (F.col("id") * 7).alias("id"))
+        vectors = ids.join(item_emb(spark, sf_dir), "id")
+        return vectors.select(F.col("class").alias("id"), "embedding")
+
+    return once(spark, sf_dir, "class_vectors", build)
+
+
+NAMES = {"item_id": "item_id", "item_name": "item_name"}
+
+
+def assigned(spark, sf_dir) -> DataFrame:
+    """The assignment at 0.85 with every item ranked and five candidates kept."""
+    return once(
+        spark, sf_dir, "assigned",
+        lambda: assign_classes_fallback(
+            items(spark, sf_dir), classes(spark, sf_dir), item_emb(spark, sf_dir),
+            class_emb(spark, sf_dir), threshold=0.85, keep_top_k=5, **NAMES,
+        ),
+    )
 
 
 # DuckDB counterparts, as common table expressions.
