@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col
+
 # The characters a Unicode-aware strip removes, and line breaks.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
@@ -29,12 +31,8 @@ DIMENSION = (
 )
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def strip(c, chars: str = WHITESPACE) -> Column:
-    return F.btrim(_col(c), F.lit(chars))
+    return F.btrim(col(c), F.lit(chars))
 
 
 def nonblank(c) -> Column:
@@ -43,12 +41,12 @@ def nonblank(c) -> Column:
 
 
 def words(c) -> Column:
-    return F.filter(F.split(_col(c), SPACE_RUN), lambda w: w != "")
+    return F.filter(F.split(col(c), SPACE_RUN), lambda w: w != "")
 
 
 def text_of(c, dtype: str) -> Column:
     """Text form of a value; whole-number doubles read as integers."""
-    c = _col(c)
+    c = col(c)
     if dtype in ("float", "double"):
         whole = (c == F.floor(c)) & (F.abs(c) < 1e15)
         return F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string"))
@@ -61,7 +59,7 @@ def join_key(c, dtype: str) -> Column:
 
 
 def replace_missing_text(c) -> Column:
-    return F.coalesce(_col(c).cast("string"), F.lit(""))
+    return F.coalesce(col(c).cast("string"), F.lit(""))
 
 
 def pick_first_nonblank(*cols) -> Column:
@@ -70,7 +68,7 @@ def pick_first_nonblank(*cols) -> Column:
 
 
 def clean_single_line(c) -> Column:
-    t = strip(F.coalesce(_col(c), F.lit("")))
+    t = strip(F.coalesce(col(c), F.lit("")))
     t = strip(strip(t, "`"))
     t = strip(strip(strip(t, '"'), "'"))
     lines = F.filter(F.transform(F.split(t, LINE_BREAKS), strip), lambda x: x != "")
@@ -79,12 +77,12 @@ def clean_single_line(c) -> Column:
 
 def numbers_preserved(original, result) -> Column:
     """Every number of the original also occurs in the result."""
-    found = F.regexp_extract_all(_col(original), F.lit(NUMBER), F.lit(0))
-    return F.forall(found, lambda n: F.contains(_col(result), n))
+    found = F.regexp_extract_all(col(original), F.lit(NUMBER), F.lit(0))
+    return F.forall(found, lambda n: F.contains(col(result), n))
 
 
 def is_valid_main_name(c) -> Column:
-    c = F.coalesce(_col(c), F.lit(""))
+    c = F.coalesce(col(c), F.lit(""))
     return (
         (c != "")
         & ~c.rlike(DIGIT)
@@ -95,7 +93,7 @@ def is_valid_main_name(c) -> Column:
 
 def fallback_main_name(c) -> Column:
     """The first few tokens that hold no digit, or the whole text if there is none."""
-    text = strip(F.coalesce(_col(c), F.lit("")))
+    text = strip(F.coalesce(col(c), F.lit("")))
     tokens = F.filter(
         F.split(text, NAME_SEPARATORS), lambda w: ~w.rlike(DIGIT) & (F.length(w) > 1)
     )
@@ -104,7 +102,7 @@ def fallback_main_name(c) -> Column:
 
 
 def is_failed_reply(c) -> Column:
-    c = _col(c)
+    c = col(c)
     return c.isNull() | (c == "") | F.startswith(c, F.lit("ERROR:"))
 
 
@@ -112,7 +110,7 @@ def accept_expansion(original, reply) -> Column:
     """Cleaned reply if it succeeded and kept every number, else the original text."""
     line = clean_single_line(reply)
     good = ~is_failed_reply(line) & numbers_preserved(original, line)
-    return F.when(good, line).otherwise(_col(original))
+    return F.when(good, line).otherwise(col(original))
 
 
 def accept_main_name(original, reply) -> Column:
@@ -135,19 +133,19 @@ def dimension_units(c) -> Column:
 
 
 def level_label(name, level=None) -> Column:
-    name = _col(name)
+    name = col(name)
     if level is None:
         return name
-    lv = _col(level).cast("string")
+    lv = col(level).cast("string")
     shown = F.concat(name, F.lit(" (L"), lv, F.lit(")"))
     return F.when(lv.isNull() | (lv == ""), name).otherwise(shown)
 
 
 def format_percent(fraction) -> Column:
     """Two decimals and a percent sign, rounding half to even on the exact value."""
-    pct = F.call_function("format_number", _col(fraction) * 100.0, F.lit("0.00"))
+    pct = F.call_function("format_number", col(fraction) * 100.0, F.lit("0.00"))
     return F.concat(pct, F.lit("%"))
 
 
 def round_similarity(c) -> Column:
-    return F.round(_col(c), 4)
+    return F.round(col(c), 4)

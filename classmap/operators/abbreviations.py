@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col
 from classmap.functions.text import nonblank, strip, text_of
 from classmap.operators.joins import require_columns, spread_join
 from classmap.plans.settle import settle
@@ -21,9 +22,9 @@ def parse_abbreviations(df: DataFrame, *, list_col: str = "_c0", sheet_col: str
     An entry without ``=`` is a code with an empty description; null cells are skipped.
     """
     keep = [c for c in ("row_pos",) if c in df.columns]
-    entries = df.where(F.col(list_col).isNotNull()).select(
-        *keep, F.col(sheet_col).alias("Sheet"),
-        F.posexplode(F.split(F.col(list_col).cast("string"), ",")).alias("entry_pos", "entry"),
+    entries = df.where(col(list_col).isNotNull()).select(
+        *keep, col(sheet_col).alias("Sheet"),
+        F.posexplode(F.split(col(list_col).cast("string"), ",")).alias("entry_pos", "entry"),
     )
     entry = strip("entry")
     at = F.instr(entry, "=")
@@ -54,7 +55,7 @@ def trim_fields(
         strip(text_of(code, kinds[code])).alias("code"),
         F.nullif(strip(text_of(description, kinds[description])), F.lit("")).alias("descr"),
         strip(text_of(sheet, kinds[sheet])).alias("sheet"),
-        F.col(position).alias("row_pos"),
+        col(position).alias("row_pos"),
     )
     return fields.where((F.col("code") != "") & (F.col("sheet") != ""))
 
@@ -97,7 +98,7 @@ def sheet_lookup(items: DataFrame, pairs: DataFrame, *, sheet: str, spread_by: s
 
 def unmatched_sheets(items: DataFrame, pairs: DataFrame, *, sheet: str) -> DataFrame:
     """Sheets with replacements that the items do not have."""
-    present = items.select(F.col(sheet).alias("sheet")).distinct()
+    present = items.select(col(sheet).alias("sheet")).distinct()
     return pairs.select("sheet").join(present, "sheet", "left_anti")
 
 
@@ -109,7 +110,7 @@ def replace_abbreviations(
     Whole-token mode needs no letter, digit or underscore on either side of the code.
     Descriptions are literal text.
     """
-    text, pairs = (F.col(c) if isinstance(c, str) else c for c in (text, pairs))
+    text, pairs = (col(c) if isinstance(c, str) else c for c in (text, pairs))
     before, after = (r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])") if whole_tokens else ("", "")
     fold = "" if case_sensitive else "(?iu)"
 
@@ -129,7 +130,7 @@ def replace_abbreviations(
 
 def replace_numeric_cell(value, dtype: str, pairs) -> Column:
     """Text of a number, replaced only when all of it is a code."""
-    pairs = F.col(pairs) if isinstance(pairs, str) else pairs
+    pairs = col(pairs) if isinstance(pairs, str) else pairs
     text = text_of(value, dtype)
     exact = F.filter(pairs, lambda p: p["code"] == text)
     return F.coalesce(F.get(exact, F.lit(0))["descr"], text)
@@ -163,7 +164,7 @@ def replace_in_sheets(
             ).alias(c)
         if c in wanted and kinds[c] in numeric:
             return replace_numeric_cell(c, kinds[c], "pairs").alias(c)
-        return F.col(c)
+        return col(c)
 
     looked_up = sheet_lookup(items, pairs, sheet=sheet, spread_by=position)
     data = looked_up.select(*[cell(c) for c in items.columns])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.functions.text import join_key
 from classmap.operators.joins import spread_join
 from classmap.operators.ordering import BUCKET_ROWS, number_rows
@@ -24,10 +25,10 @@ def first_non_empty(
     place = F.struct(*order)
 
     def first(c: str) -> Column:
-        held = F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != ""), F.col(c))
+        held = F.when(col(c).isNotNull() & (col(c).cast("string") != ""), col(c))
         return F.min_by(held, F.when(held.isNotNull(), place)).alias(c)
 
-    return rows.groupBy(key).agg(*[first(c) for c in columns])
+    return rows.groupBy(col(key)).agg(*[first(c) for c in columns])
 
 
 def enrichment_lookup(
@@ -40,7 +41,7 @@ def enrichment_lookup(
     """One row per id text with its first non-empty value of each column."""
     kinds = dict(sheets.dtypes)
     full = add_missing_columns(sheets, columns)
-    keyed = full.withColumn("lookup_key", join_key(F.col(f"`{id}`"), kinds[id]))
+    keyed = full.withColumn("lookup_key", join_key(col(id), kinds[id]))
     usable = keyed.where(F.col("lookup_key").isNotNull() & (F.col("lookup_key") != ""))
     return first_non_empty(usable, "lookup_key", columns, order=order)
 
@@ -63,12 +64,12 @@ def enrich_items(
         return target
     kinds = dict(target.dtypes)
     full = add_missing_columns(target, columns)
-    source = lookup.select("lookup_key", *[F.col(f"`{c}`").alias(f"_src_{c}") for c in columns])
-    keyed = full.withColumn("lookup_key", join_key(F.col(f"`{key}`"), kinds[key]))
+    source = lookup.select("lookup_key", *[col(c).alias(f"_src_{c}") for c in columns])
+    keyed = full.withColumn("lookup_key", join_key(col(key), kinds[key]))
     joined = spread_join(keyed, source, "lookup_key", "left", spread_by=spread_by)
 
     def merged(c: str) -> Column:
-        mine, theirs = F.col(f"`{c}`"), F.col(f"`_src_{c}`")
+        mine, theirs = col(c), F.col(f"`_src_{c}`")
         if c not in columns:
             return mine
         return F.coalesce(*((theirs, mine) if overwrite else (mine, theirs))).alias(c)
@@ -88,9 +89,9 @@ def extract_unique_rows(
 
     Rows are distinct over all columns, so the chosen ones may still repeat.
     """
-    unique = dedupe_rows(df, position=position).select(position, *columns)
+    unique = dedupe_rows(df, position=position).select(*cols([position, *columns]))
     if not add_id:
         return unique
     # Numbering reads the rows twice (counts, then ranks).
     numbered = number_rows(settle(unique, "unique"), position=position, bucket_rows=bucket_rows)
-    return numbered.select("Unique_ID", position, *columns)
+    return numbered.select(*cols(["Unique_ID", position, *columns]))

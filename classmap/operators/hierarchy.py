@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.functions.text import strip
 from classmap.operators.ordering import BUCKET_ROWS, forward_fill, number_rows
 from classmap.operators.rows import drop_all_null_rows, select_level_columns
@@ -18,7 +19,7 @@ def level_path(levels: Sequence[str]) -> Column:
     cells = [
         F.struct(
             F.lit(i).alias("level"), F.lit(c).alias("level_label"),
-            F.coalesce(strip(F.col(c).cast("string")), F.lit("")).alias("name"),
+            F.coalesce(strip(col(c).cast("string")), F.lit("")).alias("name"),
         )
         for i, c in enumerate(levels, start=1)
     ]
@@ -48,7 +49,7 @@ def assign_node_ids(
     A key keeps the parent of its first sighting.
     """
     first = F.struct(
-        F.col(position).alias("first_pos"), "level_label", "parent_level", "parent_name"
+        col(position).alias("first_pos"), "level_label", "parent_level", "parent_name"
     )
     nodes = cells.groupBy("level", "name").agg(F.min(first).alias("first")).select(
         "level", "name", "first.*"
@@ -74,7 +75,7 @@ def mark_leaf_nodes(nodes: DataFrame) -> DataFrame:
     ).distinct()
     flagged = nodes.join(parents, "id", "left")
     return flagged.select(
-        *nodes.columns, F.coalesce("_leaf", F.lit(True)).alias("lowest_level_class")
+        *cols(nodes.columns), F.coalesce("_leaf", F.lit(True)).alias("lowest_level_class")
     )
 
 
@@ -111,11 +112,11 @@ def hierarchy_closure(
     folder. A class that reaches itself, or a path over ``max_depth``, raises.
     """
     if leaf not in classes.columns:
-        return classes.select(F.col(class_id).alias("anc_id"), F.col(class_id).alias("leaf_id"))
+        return classes.select(col(class_id).alias("anc_id"), col(class_id).alias("leaf_id"))
     tree = settle(
         classes.select(
-            F.col(class_id).alias("id"), F.col(parent_id).alias("parent_id"),
-            F.coalesce(F.col(leaf), F.lit(False)).alias("leaf"),
+            col(class_id).alias("id"), col(parent_id).alias("parent_id"),
+            F.coalesce(col(leaf), F.lit(False)).alias("leaf"),
         ),
         "tree",
     )

@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols, quoted
+
 ROWS_PER_SPLIT = 1_000_000
 NULL_SPLITS = 1024
 
@@ -34,35 +36,35 @@ def spread_join(
     keys = [on] if isinstance(on, str) else list(on)
     by = [spread_by] if isinstance(spread_by, str) else list(spread_by)
     hot = (
-        left.groupBy(*keys)
+        left.groupBy(*cols(keys))
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > rows_per_split)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_splits"))
+        .select(*cols(keys), F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_splits"))
     )
 
     def same(pairs):
         return reduce(and_, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
 
     def with_splits(df: DataFrame) -> DataFrame:
-        hot_side = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_splits"))
-        match = same([(df[k], hot_side[f"_hot_{k}"]) for k in keys])
+        hot_side = F.broadcast(hot.select(*[col(k).alias(f"_hot_{k}") for k in keys], "_splits"))
+        match = same([(df[quoted(k)], hot_side[quoted(f"_hot_{k}")]) for k in keys])
         return df.join(hot_side, match, "left").drop(*[f"_hot_{k}" for k in keys])
 
     splits = F.coalesce(F.col("_splits"), F.lit(1))
     if not null_safe:
         # A null key matches nothing, so such rows may go anywhere.
-        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        missing = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
         splits = F.when(missing, F.lit(NULL_SPLITS)).otherwise(splits)
-    deal = F.pmod(F.xxhash64(*by), splits.cast("bigint")).cast("int")
+    deal = F.pmod(F.xxhash64(*cols(by)), splits.cast("bigint")).cast("int")
     dealt = with_splits(left).withColumn("_split", deal).drop("_splits")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
     copied = with_splits(right).withColumn("_split", copies).drop("_splits")
     renamed = copied.select(
-        *[F.col(k).alias(f"_right_{k}") for k in keys],
+        *[col(k).alias(f"_right_{k}") for k in keys],
         F.col("_split").alias("_right_split"),
-        *[c for c in right.columns if c not in keys],
+        *cols(c for c in right.columns if c not in keys),
     )
-    match = same([(dealt[k], renamed[f"_right_{k}"]) for k in keys])
+    match = same([(dealt[quoted(k)], renamed[quoted(f"_right_{k}")]) for k in keys])
     out = dealt.join(renamed, match & (dealt["_split"] == renamed["_right_split"]), how)
     return out.drop("_split", "_right_split", *[f"_right_{k}" for k in keys])
 
@@ -76,7 +78,7 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
 
 def require_unique(df: DataFrame, key: str, what: str) -> DataFrame:
     """Raise when a key occurs twice; reads the key column only."""
-    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
+    twice = df.groupBy(col(key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
     row = twice.first()
     if row is not None:
         raise ValueError(f"{what} id {row[0]!r} occurs {row[1]} times")
@@ -85,12 +87,12 @@ def require_unique(df: DataFrame, key: str, what: str) -> DataFrame:
 
 def intersect_ids(items: DataFrame, embeddings: DataFrame, *, id: str, emb_id: str = "id") -> DataFrame:
     """Items that have an embedding."""
-    return items.join(embeddings.select(F.col(emb_id).alias(id)), id, "left_semi")
+    return items.join(embeddings.select(col(emb_id).alias(id)), id, "left_semi")
 
 
 def item_embedding_join(items: DataFrame, embeddings: DataFrame, *, id: str, emb_id: str = "id") -> DataFrame:
     """Items with their vectors; either side alone is dropped."""
-    vectors = embeddings.select(F.col(emb_id).alias(id), "embedding")
+    vectors = embeddings.select(col(emb_id).alias(id), "embedding")
     return items.join(vectors, id, "inner")
 
 
@@ -98,5 +100,5 @@ def filter_by_mapping(
     items: DataFrame, mapping: DataFrame, *, left: str, right: str, spread_by: str | Sequence[str]
 ) -> DataFrame:
     """Items whose id is listed; duplicates stay and a listed null matches null ids."""
-    listed = mapping.select(F.col(right).alias(left)).distinct()
+    listed = mapping.select(col(right).alias(left)).distinct()
     return spread_join(items, listed, left, "left_semi", spread_by=spread_by, null_safe=True)

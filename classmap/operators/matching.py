@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.functions import fuzzy
 from classmap.functions.text import level_label
 from classmap.operators.joins import require_columns, spread_join
@@ -42,11 +43,11 @@ def class_table(
     order = order or ("row_pos" if "row_pos" in classes.columns else class_id)
     level = F.col("level") if "level" in classes.columns else None
     parent = F.col("parent_id") if "parent_id" in classes.columns else F.lit(None)
-    flag = F.coalesce(F.col(leaf), F.lit(False)) if leaf in classes.columns else F.lit(True)
-    name = F.col(class_name).cast("string")
+    flag = F.coalesce(col(leaf), F.lit(False)) if leaf in classes.columns else F.lit(True)
+    name = col(class_name).cast("string")
     rows = classes.select(
-        F.col(order).alias("row_pos"),
-        F.col(class_id).alias("class_id"),
+        col(order).alias("row_pos"),
+        col(class_id).alias("class_id"),
         name.alias("class_name"),
         F.lower(name).alias("match_name"),
         level_label(name, level).alias("label"),
@@ -160,7 +161,7 @@ def name_hits(
 
 def distinct_names(items: DataFrame, *, item_name: str) -> DataFrame:
     """Distinct lower-cased item names; a missing name never matches anything."""
-    names = items.select(F.lower(F.col(item_name).cast("string")).alias("match_name"))
+    names = items.select(F.lower(col(item_name).cast("string")).alias("match_name"))
     return names.where(F.col("match_name").isNotNull()).distinct()
 
 
@@ -178,7 +179,7 @@ def fuzzy_hits(
         name_hits(distinct_names(items, item_name=item_name), classes, threshold=threshold, **limits),
         "hits",
     )
-    keyed = items.withColumn("match_name", F.lower(F.col(item_name).cast("string")))
+    keyed = items.withColumn("match_name", F.lower(col(item_name).cast("string")))
     return spread_join(keyed, hits, "match_name", "left", spread_by=item_id).drop("match_name")
 
 
@@ -197,21 +198,21 @@ def fuzzy_join(
     """``(item id, class_id, score)`` for every pair at or above the threshold."""
     side = class_table(classes, class_id=class_id, class_name=class_name, order=order)
     hit = fuzzy_hits(
-        items.select(item_id, item_name), side,
+        items.select(*cols([item_id, item_name])), side,
         item_id=item_id, item_name=item_name, threshold=threshold, **limits,
     )
-    pairs = hit.select(item_id, F.explode("hits").alias("h"))
-    return pairs.select(item_id, F.col("h.class_id").alias("class_id"), F.col("h.score").alias("score"))
+    pairs = hit.select(col(item_id), F.explode("hits").alias("h"))
+    return pairs.select(col(item_id), F.col("h.class_id").alias("class_id"), F.col("h.score").alias("score"))
 
 
 def hit_names(hits="hits", labels="labels") -> Column:
     """First hits in class order by label, the number left out, or a no-match text."""
-    n = F.coalesce(F.size(F.col(hits)), F.lit(0))
+    n = F.coalesce(F.size(col(hits)), F.lit(0))
     more = F.when(
         n > LISTED_HITS,
         F.array(F.concat(F.lit("...(+"), (n - LISTED_HITS).cast("string"), F.lit(" more)"))),
     ).otherwise(F.array().cast("array<string>"))
-    listed = F.array_join(F.concat(F.col(labels), more), "; ")
+    listed = F.array_join(F.concat(col(labels), more), "; ")
     return F.when(n > 0, listed).otherwise(F.lit(NO_MATCH))
 
 
@@ -222,9 +223,9 @@ def expand_candidates(pairs: DataFrame, closure: DataFrame, leaves: DataFrame, *
     ``leaves`` holds the ids of the embedded leaves as ``class_id``.
     """
     usable = closure.join(leaves.select(F.col("class_id").alias("leaf_id")), "leaf_id", "left_semi")
-    below = pairs.select(item_id, F.col("class_id").alias("anc_id")).join(usable, "anc_id")
-    return below.select(item_id, F.col("leaf_id").alias("class_id")).distinct()
+    below = pairs.select(col(item_id), F.col("class_id").alias("anc_id")).join(usable, "anc_id")
+    return below.select(col(item_id), F.col("leaf_id").alias("class_id")).distinct()
 
 
 def candidate_count(candidates: DataFrame, *, item_id: str) -> DataFrame:
-    return candidates.groupBy(item_id).agg(F.count(F.lit(1)).alias("fuzzy_candidates_count"))
+    return candidates.groupBy(col(item_id)).agg(F.count(F.lit(1)).alias("fuzzy_candidates_count"))

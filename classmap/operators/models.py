@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col
 from classmap.functions.text import nonblank
 from classmap.operators.joins import require_columns, require_unique, spread_join
 from classmap.operators.rows import fallback_id
@@ -26,12 +27,12 @@ EMBED_RETRIES, EMBED_DELAY_SECONDS, EMBED_BACKOFF, EMBED_JITTER = 8, 1.0, 2.0, 0
 
 
 def request_hash(request) -> Column:
-    return F.sha2(F.col(request) if isinstance(request, str) else request, 256)
+    return F.sha2(col(request) if isinstance(request, str) else request, 256)
 
 
 def distinct_requests(df: DataFrame, *, request: str = "request") -> DataFrame:
     """``request_hash, request``: equal requests are asked once."""
-    asked = df.where(F.col(request).isNotNull()).select(F.col(request).alias("request")).distinct()
+    asked = df.where(col(request).isNotNull()).select(col(request).alias("request")).distinct()
     return asked.select(request_hash("request").alias("request_hash"), "request")
 
 
@@ -109,7 +110,7 @@ def embed_text(
     """
     require_columns(df, text)
     rows = df.select(
-        fallback_id(df, id, otherwise=otherwise).alias("id"), F.col(text).cast("string").alias("request")
+        fallback_id(df, id, otherwise=otherwise).alias("id"), col(text).cast("string").alias("request")
     ).where(nonblank("request"))
     if check_ids:
         require_unique(rows, "id", "text")

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from classmap.functions.names import col, cols
 from classmap.operators.joins import intersect_ids
 
 BUCKET_ROWS = 1 << 20
 
 
 def _bucket(position: str, rows: int) -> Column:
-    return F.floor(F.col(position) / F.lit(rows)).cast("bigint")
+    return F.floor(col(position) / F.lit(rows)).cast("bigint")
 
 
 def number_rows(
@@ -41,7 +42,7 @@ def number_rows(
     ranked = cut.withColumn("_rank", F.row_number().over(inside))
     numbered = ranked.join(offsets, "_bucket")
     number = (F.col("_offset") + F.col("_rank")).cast("bigint").alias(out)
-    return numbered.select(number, *df.columns)
+    return numbered.select(number, *cols(df.columns))
 
 
 def forward_fill(
@@ -56,7 +57,7 @@ def forward_fill(
     upto = Window.partitionBy("_bucket").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
     lasts = cut.groupBy("_bucket").agg(
         *[
-            F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(position), F.col(c).alias("v"))))
+            F.max(F.when(col(c).isNotNull(), F.struct(col(position), col(c).alias("v"))))
             .getField("v")
             .alias(f"_last_{c}")
             for c in columns
@@ -65,16 +66,16 @@ def forward_fill(
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = lasts.select(
         "_bucket",
-        *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns],
+        *[F.last(col(f"_last_{c}"), ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns],
     )
     filled = cut.select(
         "_bucket",
-        *[c for c in df.columns if c not in columns],
-        *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in columns],
+        *cols(c for c in df.columns if c not in columns),
+        *[F.last(col(c), ignorenulls=True).over(upto).alias(c) for c in columns],
     ).join(carried, "_bucket")
     return filled.select(
         *[
-            F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(c) if c in columns else F.col(c)
+            F.coalesce(col(c), col(f"_carry_{c}")).alias(c) if c in columns else col(c)
             for c in df.columns
         ]
     )
@@ -98,5 +99,5 @@ def sample_items(
     usable = intersect_ids(items, embeddings, id=id, emb_id=emb_id)
     if usable.isEmpty():
         raise ValueError("no item id occurs among the embedding ids")
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id).cast("string")))
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), col(id).cast("string")))
     return usable.orderBy(draw, id).limit(n)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.functions.text import nonblank, strip, text_of
 from classmap.operators.joins import spread_join
 
@@ -38,23 +41,23 @@ def select_level_columns(
 
 
 def drop_all_null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(how="all", subset=list(columns))
+    return df.where(reduce(or_, [col(c).isNotNull() for c in columns]))
 
 
 def filter_nonblank(df: DataFrame, column: str) -> DataFrame:
-    return df.where(nonblank(F.col(column).cast("string")))
+    return df.where(nonblank(col(column).cast("string")))
 
 
 def filter_leaf_classes(classes: DataFrame, *, leaf: str = "lowest_level_class") -> DataFrame:
     """Classes flagged as leaves; all of them when there is no flag column."""
     if leaf not in classes.columns:
         return classes
-    return classes.where(F.coalesce(F.col(leaf), F.lit(False)))
+    return classes.where(F.coalesce(col(leaf), F.lit(False)))
 
 
 def fallback_id(df: DataFrame, id: str | None = None, *, otherwise: str = "row_pos") -> Column:
     """The id column when it is given and present, else the row position."""
-    return F.col(id) if id and id in df.columns else F.col(otherwise)
+    return col(id) if id and id in df.columns else col(otherwise)
 
 
 def first_column_id(df: DataFrame, id: str | None = None, *, skip: Sequence[str] = ("sheet", "row_pos")) -> str:
@@ -91,13 +94,13 @@ def context_map(
 def dedupe_rows(df: DataFrame, *, position: str = "row_pos") -> DataFrame:
     """One row per distinct content, keeping the first position."""
     data = [c for c in df.columns if c != position]
-    return df.groupBy(*data).agg(F.min(position).alias(position)).select(*df.columns)
+    return df.groupBy(*cols(data)).agg(F.min(position).alias(position)).select(*cols(df.columns))
 
 
 def duplicate_report(df: DataFrame, *, position: str = "row_pos") -> DataFrame:
     """Every row whose content occurs more than once."""
     data = [c for c in df.columns if c != position]
-    repeated = df.groupBy(*data).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    repeated = df.groupBy(*cols(data)).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     return spread_join(df, repeated, data, "left_semi", spread_by=position, null_safe=True)
 
 
@@ -111,7 +114,7 @@ def union_sheets(sheets: dict[str, DataFrame], *, key: str | None = None) -> Dat
         raise ValueError(f"no sheet has a column {key!r}")
     order = {n: i for i, n in enumerate(sheets)}
     tagged = [
-        d.select(F.lit(n).alias("sheet"), F.lit(order[n]).alias("sheet_pos"), *d.columns)
+        d.select(F.lit(n).alias("sheet"), F.lit(order[n]).alias("sheet_pos"), *cols(d.columns))
         for n, d in usable.items()
     ]
     out = tagged[0]

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.operators.matching import _ragged
 from classmap.operators.ordering import number_rows
 from classmap.plans.settle import BROADCAST_BYTES, fetch_block, row_blocks, settle
@@ -26,11 +27,11 @@ TIE_DIGITS = 12
 
 def class_embedding_join(classes: DataFrame, embeddings: DataFrame, *, emb_id: str = "id") -> DataFrame:
     """Embedded leaves in class order, with a dense ``leaf_pos``; others cannot be assigned."""
-    vectors = embeddings.select(F.col(emb_id).alias("class_id"), "embedding")
+    vectors = embeddings.select(col(emb_id).alias("class_id"), "embedding")
     leaves = classes.where("leaf").select("class_pos", "class_id", "class_name").join(vectors, "class_id")
     numbered = number_rows(leaves, position="class_pos", out="_n")
     return settle(
-        numbered.select((F.col("_n") - 1).alias("leaf_pos"), *leaves.columns), "leaves"
+        numbered.select((F.col("_n") - 1).alias("leaf_pos"), *cols(leaves.columns)), "leaves"
     )
 
 
@@ -106,7 +107,7 @@ def cosine_top_k(
     heads = ", ".join(f"`{c}` {items.schema[c].dataType.simpleString()}" for c in carried)
     schema = f"{heads}, n int, among {best}, overall {best}"
     probe = items.select(
-        *carried,
+        *cols(carried),
         F.col("embedding").alias("_vector"),
         *([F.col("hit_pos").alias("_hits")] if closure is not None else []),
     )
@@ -165,21 +166,21 @@ def cosine_top_k(
         parts.append(probe.mapInArrow(compare, schema))
     if not parts:
         empty = F.array().cast(best)
-        return items.select(*carried, F.lit(0).alias("candidates_count"), empty.alias("topk"))
+        return items.select(*cols(carried), F.lit(0).alias("candidates_count"), empty.alias("topk"))
     if len(parts) == 1:
         merged = parts[0]
     else:
         every = parts[0]
         for part in parts[1:]:
             every = every.unionByName(part)
-        merged = every.groupBy(id).agg(
-            *[F.first(c).alias(c) for c in keep],
+        merged = every.groupBy(col(id)).agg(
+            *[F.first(col(c)).alias(c) for c in keep],
             F.sum("n").cast("int").alias("n"),
             _ranked(F.flatten(F.collect_list("among")), k).alias("among"),
             _ranked(F.flatten(F.collect_list("overall")), k).alias("overall"),
         )
     chosen = F.when(F.col("n") > 0, F.col("among")).otherwise(F.col("overall"))
-    return merged.select(*carried, F.col("n").alias("candidates_count"), chosen.alias("topk"))
+    return merged.select(*cols(carried), F.col("n").alias("candidates_count"), chosen.alias("topk"))
 
 
 def _ranked(entries: Column, k: int) -> Column:
@@ -199,9 +200,9 @@ def _ranked(entries: Column, k: int) -> Column:
 
 def top_n_classes(assigned: DataFrame, n: int, *, id: str, topk: str = "topk") -> DataFrame:
     """One row per item and rank."""
-    rows = assigned.select(id, F.posexplode(F.slice(F.col(topk), 1, n)).alias("at", "c"))
+    rows = assigned.select(col(id), F.posexplode(F.slice(col(topk), 1, n)).alias("at", "c"))
     return rows.select(
-        id,
+        col(id),
         (F.col("at") + 1).alias("rank"),
         F.col("c.class_id").alias("class_id"),
         F.col("c.class_name").alias("class_name"),
@@ -213,18 +214,18 @@ def pivot_top_n(assigned: DataFrame, n: int, *, topk: str = "topk", keep: Sequen
     """``top_i_class_id/_class_name/_similarity`` columns; missing ranks are null."""
     cells: list[Column] = []
     for i in range(1, n + 1):
-        c = F.get(F.col(topk), F.lit(i - 1))
+        c = F.get(col(topk), F.lit(i - 1))
         cells += [
             c["class_id"].alias(f"top_{i}_class_id"),
             c["class_name"].alias(f"top_{i}_class_name"),
             F.round(c["sim"], 4).alias(f"top_{i}_similarity"),
         ]
-    return assigned.select(*keep, *cells)
+    return assigned.select(*cols(keep), *cells)
 
 
 def margin(topk="topk") -> Column:
     """Unrounded distance between the two best; null with fewer than two."""
-    t = F.col(topk) if isinstance(topk, str) else topk
+    t = col(topk) if isinstance(topk, str) else topk
     return F.get(t, F.lit(0))["sim"] - F.get(t, F.lit(1))["sim"]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col
 from classmap.functions.text import format_percent
 from classmap.operators.joins import require_columns
 
@@ -41,13 +42,13 @@ def match_bucket(
 ) -> DataFrame:
     """Add ``match_bucket`` and ``match_colour``. Null, empty and 0 mean no mapping."""
     require_columns(df, *top, mapping)
-    known = F.col(mapping)
+    known = col(mapping)
     absent = known.isNull() | (known.cast("string") == "")
     if dict(df.dtypes)[mapping] != "string":
         absent = absent | (known.cast("double") == 0)
     bucket = F.when(absent, F.lit("no_mapping"))
     for i, c in enumerate(top, start=1):
-        bucket = bucket.when(F.col(c) == known, F.lit(f"top{i}"))
+        bucket = bucket.when(col(c) == known, F.lit(f"top{i}"))
     bucket = bucket.otherwise(F.lit("mismatch"))
     colour = F.lit(None).cast("string")
     for name, code in COLOURS.items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.operators.hierarchy import hierarchy_closure
 from classmap.operators.joins import (
     item_embedding_join,
@@ -55,13 +56,13 @@ def rank_classes(
         .select("anc_pos", "leaf_pos"),
         "below",
     )
-    thin = items.select(item_id, F.col(item_name).cast("string").alias(item_name))
+    thin = items.select(col(item_id), col(item_name).cast("string").alias(item_name))
     with_vectors = item_embedding_join(thin, item_emb, id=item_id)
     hit = fuzzy_hits(
         with_vectors, side, item_id=item_id, item_name=item_name, threshold=threshold
     )
     probe = hit.select(
-        item_id, item_name, "embedding",
+        *cols([item_id, item_name, "embedding"]),
         F.col("hits.class_pos").alias("hit_pos"), hit_names().alias("fuzzy_candidate_names"),
     )
     best = cosine_top_k(
@@ -109,11 +110,11 @@ def assign_classes_fallback(*args, **options) -> DataFrame:
 def attach_items(result: DataFrame, items: DataFrame, *, item_id: str, item_name: str) -> DataFrame:
     """Add the item columns; the item table's own name column becomes ``item_<name>``."""
     columns = [
-        F.col(c).alias(f"item_{c}") if c == item_name else F.col(c)
+        col(c).alias(f"item_{c}") if c == item_name else col(c)
         for c in items.columns
         if c != item_id
     ]
-    return result.join(items.select(item_id, *columns), item_id, "left")
+    return result.join(items.select(col(item_id), *columns), item_id, "left")
 
 
 def attach_top1_class(result: DataFrame, classes: DataFrame, *, class_id: str = "id") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.functions.replies import join_extraction, parse_extraction
 from classmap.functions.text import (
     accept_expansion,
@@ -37,7 +38,7 @@ def expansion_requests(
     kinds = dict(df.dtypes)
     context = context_map(df, exclude=[text, id, sheet, position], ignore_case=False)
     payload = F.struct(
-        F.col(sheet).alias("sheet_name"),
+        col(sheet).alias("sheet_name"),
         strip(text_of(id, kinds[id])).alias("item_id"),
         strip(text).alias("description"),
         context.alias("context"),
@@ -69,10 +70,10 @@ def expand_abbreviations(
     marked = spread_join(replied, flags, sheet, "left", spread_by=position, null_safe=True)
     expanded = (
         F.when(nonblank(text), accept_expansion(strip(text), "raw"))
-        .when(F.col("_has_text"), F.col(text))
+        .when(F.col("_has_text"), col(text))
         .otherwise(F.lit(""))
     )
-    return marked.select(*df.columns, expanded.alias(out))
+    return marked.select(*cols(df.columns), expanded.alias(out))
 
 
 def extract_main_names(
@@ -94,7 +95,7 @@ def extract_main_names(
     asked = described.withColumn("_request", request)
     replied = answer(asked, make_fn, request="_request", spread_by=spread_by, **calls)
     name = F.when(F.col("_text") != "", accept_main_name("_text", "raw")).otherwise(F.lit(""))
-    return replied.select(*df.columns, name.alias(out))
+    return replied.select(*cols(df.columns), name.alias(out))
 
 
 def extract_values(
@@ -119,7 +120,7 @@ def extract_values(
     )
     got = replied.withColumn("_got", parse_extraction("raw"))
     return got.select(
-        *rows.columns,
+        *cols(rows.columns),
         join_extraction(F.col("_got.values")).alias("extracted_values"),
         join_extraction(F.col("_got.units")).alias("extracted_units"),
     )

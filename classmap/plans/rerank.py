@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col, cols
 from classmap.functions.replies import resolve_choice, validate_choice
 from classmap.operators.joins import require_columns, spread_join
 from classmap.operators.models import answer
@@ -25,11 +26,11 @@ def class_contexts(
 ) -> DataFrame:
     """Context map per class id; of repeated ids one with the latest position counts."""
     context = context_map(classes, exclude=[class_id, class_name], include=include)
-    rows = classes.select(F.col(class_id).alias("class_id"), context.alias("class_context"))
+    rows = classes.select(col(class_id).alias("class_id"), context.alias("class_context"))
     if "row_pos" not in classes.columns:
         return rows.dropDuplicates(["class_id"])
     place = classes.select(
-        F.col(class_id).alias("class_id"), F.struct("row_pos", context.alias("m")).alias("s"), "row_pos"
+        col(class_id).alias("class_id"), F.struct("row_pos", context.alias("m")).alias("s"), "row_pos"
     )
     return place.groupBy("class_id").agg(F.max_by("s", "row_pos").getField("m").alias("class_context"))
 
@@ -48,7 +49,7 @@ def request_json(name: Column, context: Column, candidates: Column) -> Column:
 def _offered(topk: str) -> Column:
     """Candidates as they appear in a request."""
     return F.transform(
-        F.col(topk),
+        col(topk),
         lambda c: F.struct(
             c["class_id"].cast("string").alias("class_id"),
             c["class_name"].alias("class_name"),
@@ -80,9 +81,9 @@ def rerank_requests(
     shown = pick_model_name(items, name_col, item_name)
     facts = context_map(items, exclude=[item_id, item_name, shown], include=context)
     described = items.select(
-        item_id, F.col(shown).cast("string").alias("_name"), facts.alias("_context")
+        col(item_id), col(shown).cast("string").alias("_name"), facts.alias("_context")
     )
-    chosen = assigned.where(margin_gate("topk", margin_below)).select(item_id, "topk")
+    chosen = assigned.where(margin_gate("topk", margin_below)).select(col(item_id), "topk")
     offered = chosen.withColumn("_offered", _offered("topk"))
     if class_context is not None:
         if classes is None:
@@ -90,26 +91,26 @@ def rerank_requests(
         contexts = class_contexts(
             classes, class_id=class_id, class_name=class_name, include=class_context
         ).withColumn("class_id", F.col("class_id").cast("string"))
-        rows = offered.select(item_id, "topk", F.posexplode("_offered").alias("at", "o"))
+        rows = offered.select(col(item_id), "topk", F.posexplode("_offered").alias("at", "o"))
         rows = rows.withColumn("class_id", F.col("o.class_id"))
         looked = class_context_lookup(rows, contexts, spread_by=item_id)
         entry = F.struct("at", F.struct("o.*", "class_context").alias("o"))
         # At most top-k rows per item come back together.
-        back = looked.groupBy(item_id).agg(F.array_sort(F.collect_list(entry)).alias("e"))
+        back = looked.groupBy(col(item_id)).agg(F.array_sort(F.collect_list(entry)).alias("e"))
         with_context = chosen.join(back, item_id, "left").select(
-            item_id, "topk", F.col("e.o").alias("_offered")
+            col(item_id), "topk", F.col("e.o").alias("_offered")
         )
         offered = with_context
     joined = offered.join(described, item_id)
     request = request_json(F.col("_name"), F.col("_context"), F.col("_offered"))
-    return joined.select(item_id, "topk", request.alias("request"))
+    return joined.select(col(item_id), "topk", request.alias("request"))
 
 
 def apply_rerank(replied: DataFrame) -> DataFrame:
     """Add ``llm_class_id, llm_class_name, llm_reasoning`` from ``raw`` and ``topk``."""
     judged = replied.withColumn("_choice", validate_choice("raw", "topk"))
     return judged.select(
-        *replied.columns,
+        *cols(replied.columns),
         F.col("_choice.choice_id").alias("llm_class_id"),
         resolve_choice(F.col("_choice.choice_id"), "topk").alias("llm_class_name"),
         F.col("_choice.reasoning").alias("llm_reasoning"),
@@ -118,7 +119,7 @@ def apply_rerank(replied: DataFrame) -> DataFrame:
 
 def with_rerank_columns(assigned: DataFrame, judged: DataFrame, *, item_id: str) -> DataFrame:
     """All assigned rows; items without a call have empty rerank columns."""
-    added = judged.select(item_id, "llm_class_id", "llm_class_name", "llm_reasoning")
+    added = judged.select(col(item_id), "llm_class_id", "llm_class_name", "llm_reasoning")
     joined = assigned.join(added, item_id, "left")
     return joined.withColumn("llm_reasoning", F.coalesce("llm_reasoning", F.lit("")))
 

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col
+
 # Bytes of class-side data one broadcast may hold; larger sides are cut into blocks.
 BROADCAST_BYTES = 256 << 20
 
@@ -63,5 +65,5 @@ def row_blocks(
 
 def fetch_block(df: DataFrame, position: str, block: tuple[int, int]) -> pa.Table:
     """One range of a size-checked table, in position order."""
-    part = df.where((F.col(position) >= block[0]) & (F.col(position) < block[1]))
+    part = df.where((col(position) >= block[0]) & (col(position) < block[1]))
     return part.toArrow().sort_by(position)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from classmap.functions.names import col
+
 
 def sink_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "errorifexists") -> str:
     options = {"header": True} if fmt == "csv" else {}
@@ -29,7 +31,7 @@ def sink_sheets(
 
 def sink_embeddings(df: DataFrame, path: str, *, id: str = "id") -> bool:
     """Write ``(id, embedding)``; nothing is written when there are none."""
-    vectors = df.select(F.col(id).alias("id"), "embedding").where(F.col("embedding").isNotNull())
+    vectors = df.select(col(id).alias("id"), "embedding").where(F.col("embedding").isNotNull())
     if vectors.isEmpty():
         return False
     vectors.write.parquet(path)
@@ -39,5 +41,5 @@ def sink_embeddings(df: DataFrame, path: str, *, id: str = "id") -> bool:
 def embeddings_to_json(df: DataFrame, *, id: str = "id") -> DataFrame:
     """One JSON object per vector."""
     return df.select(
-        F.col(id).alias("id"), F.to_json(F.struct(F.col(id).alias("id"), "embedding")).alias("json")
+        col(id).alias("id"), F.to_json(F.struct(col(id).alias("id"), "embedding")).alias("json")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from classmap.functions.names import col, cols
 from classmap.operators.rows import union_sheets
 
 # Fixed value: rows looked at when guessing the header row.
@@ -37,21 +38,21 @@ def scan_table(
     df = reader.options(**options).load(path)
     wanted = list(columns) if columns else [c for c in df.columns if c != "row_pos"]
     if row_pos is not None:
-        return df.select(F.col(row_pos).cast("bigint").alias("row_pos"), *wanted)
+        return df.select(col(row_pos).cast("bigint").alias("row_pos"), *cols(wanted))
     if fmt != "parquet":
-        return df.select(F.monotonically_increasing_id().alias("row_pos"), *wanted)
+        return df.select(F.monotonically_increasing_id().alias("row_pos"), *cols(wanted))
     place = F.col("_metadata.row_index")
     files = df.inputFiles()
     if len(files) == 1:
-        return df.select(place.alias("row_pos"), *wanted)
+        return df.select(place.alias("row_pos"), *cols(wanted))
     from pyspark.sql.window import Window
 
-    located = df.select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"), *wanted)
+    located = df.select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"), *cols(wanted))
     sizes = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     return located.join(starts, "_file").select(
-        (F.col("_start") + F.col("_place")).alias("row_pos"), *wanted
+        (F.col("_start") + F.col("_place")).alias("row_pos"), *cols(wanted)
     )
 
 
@@ -77,15 +78,15 @@ def scan_sheets(
 def scan_embeddings(
     spark: SparkSession, path: str, *, id: str = "id", embedding: str = "embedding"
 ) -> DataFrame:
-    return spark.read.parquet(path).select(F.col(id).alias("id"), F.col(embedding).alias("embedding"))
+    return spark.read.parquet(path).select(col(id).alias("id"), col(embedding).alias("embedding"))
 
 
 def guess_header_row(grid: DataFrame, *, position: str = "row_pos") -> DataFrame:
     """Position of the first preview row that is at least half filled (null if none)."""
     data = [c for c in grid.columns if c != position]
-    filled = sum((F.col(c).isNotNull().cast("int") for c in data), F.lit(0))
+    filled = sum((col(c).isNotNull().cast("int") for c in data), F.lit(0))
     return (
-        grid.where(F.col(position) < HEADER_PREVIEW_ROWS)
+        grid.where(col(position) < HEADER_PREVIEW_ROWS)
         .where(filled >= len(data) / 2)
         .agg(F.min(position).alias("header_row_index"))
     )
@@ -102,8 +103,8 @@ def promote_header(
         guessed = guess_header_row(grid, position=position).first()[0]
         header_row_index = int(guessed or 0)
     data = [c for c in grid.columns if c != position]
-    head = grid.where(F.col(position) == header_row_index).select(*data).first()
+    head = grid.where(col(position) == header_row_index).select(*cols(data)).first()
     if head is None:
         raise ValueError(f"the grid has no row {header_row_index}")
     names = [str(h) if h is not None else c for h, c in zip(head, data)]
-    return grid.where(F.col(position) > header_row_index).select(position, *data).toDF(position, *names)
+    return grid.where(col(position) > header_row_index).select(*cols([position, *data])).toDF(position, *names)
