@@ -1,0 +1,7 @@
+"""Registered queries over the driver tables, each beside its SQL."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -73,7 +73,7 @@ def expand_abbreviations(
         .when(F.col("_has_text"), col(text))
         .otherwise(F.lit(""))
     )
-    return marked.select(*cols(df.columns), expanded.alias(out))
+    return marked.select(*cols(c for c in df.columns if c != out), expanded.alias(out))
 
 
 def extract_main_names(
@@ -95,7 +95,7 @@ def extract_main_names(
     asked = described.withColumn("_request", request)
     replied = answer(asked, make_fn, request="_request", spread_by=spread_by, **calls)
     name = F.when(F.col("_text") != "", accept_main_name("_text", "raw")).otherwise(F.lit(""))
-    return replied.select(*cols(df.columns), name.alias(out))
+    return replied.select(*cols(c for c in df.columns if c != out), name.alias(out))
 
 
 def extract_values(

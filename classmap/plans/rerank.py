@@ -96,11 +96,13 @@ def rerank_requests(
         looked = class_context_lookup(rows, contexts, spread_by=item_id)
         entry = F.struct("at", F.struct("o.*", "class_context").alias("o"))
         # At most top-k rows per item come back together.
-        back = looked.groupBy(col(item_id)).agg(F.array_sort(F.collect_list(entry)).alias("e"))
-        with_context = chosen.join(back, item_id, "left").select(
+        by_rank = lambda a, b: a["at"] - b["at"]
+        back = looked.groupBy(col(item_id)).agg(
+            F.array_sort(F.collect_list(entry), by_rank).alias("e")
+        )
+        offered = chosen.join(back, item_id, "left").select(
             col(item_id), "topk", F.col("e.o").alias("_offered")
         )
-        offered = with_context
     joined = offered.join(described, item_id)
     request = request_json(F.col("_name"), F.col("_context"), F.col("_offered"))
     return joined.select(col(item_id), "topk", request.alias("request"))
