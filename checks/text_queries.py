@@ -219,10 +219,12 @@ def join_extraction(spark, sf):
     )
 
 
-# --- abbreviations: each part type is a sheet with codes taken from its parts
+# --- abbreviations: each part type is a sheet with codes taken from its parts, and one
+# sheet of codes has no items
 
 LIST_SQL = """lists as (select p_partkey row_pos, p_brand || '=' || p_name || ', ' || split_part(p_name, ' ', 1) || ' = ' || p_brand
-    || ' / ' || p_size || ', BAD' || p_size || ', =x, A=b=c,' cell, p_type sheet from part)"""
+    || ' / ' || p_size || ', BAD' || p_size || ', =x, A=b=c,' cell, p_type sheet from part
+  union all select s_suppkey, s_name || '=' || s_suppkey || ' ltd', 'SPARE' from supplier)"""
 ENTRIES_SQL = LIST_SQL + r""",
 entries as (select row_pos, sheet, unnest(string_split(cell, ',')) entry, unnest(range(len(string_split(cell, ',')))) entry_pos from lists),
 codes as (select row_pos, entry_pos::int entry_pos, sheet "Sheet", trim(case when contains(entry, '=') then substr(entry, 1, instr(entry, '=')-1) else entry end) "Code",
@@ -235,7 +237,12 @@ def code_lists(spark, sf):
         "p_brand || '=' || p_name || ', ' || split_part(p_name, ' ', 1) || ' = ' || p_brand "
         "|| ' / ' || p_size || ', BAD' || p_size || ', =x, A=b=c,'"
     )
-    return part.select(F.col("p_partkey").alias("row_pos"), cell.alias("_c0"), F.col("p_type").alias("_c1"))
+    lists = part.select(F.col("p_partkey").alias("row_pos"), cell.alias("_c0"), F.col("p_type").alias("_c1"))
+    spare = fx.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("row_pos"), F.expr("s_name || '=' || s_suppkey || ' ltd'").alias("_c0"),
+        F.lit("SPARE").alias("_c1"),
+    )
+    return lists.unionByName(spare)
 
 
 @check("parse_abbreviations", f"with {ENTRIES_SQL} select * from codes")
@@ -318,13 +325,12 @@ def sheet_lookup(spark, sf):
 
 
 UNMATCHED_SQL = f"""with {TRIMMED_SQL}, {SHEETS_SQL} select sheet from pairs
-    where sheet not in (select sheet from sheets where p_size > 25 and sheet <> 'PROMO')"""
+    where sheet not in (select sheet from sheets)"""
 
 
 @check("unmatched_sheets", UNMATCHED_SQL)
 def unmatched_sheets(spark, sf):
-    some = sheet_items(spark, sf).where("p_size > 25 and sheet <> 'PROMO'")
-    return ab.unmatched_sheets(some, ab.replacement_map(trimmed(spark, sf)), sheet="sheet")
+    return ab.unmatched_sheets(sheet_items(spark, sf), ab.replacement_map(trimmed(spark, sf)), sheet="sheet")
 
 
 # Without lookaround, neighbours are captured; applying twice catches touching codes.
@@ -389,11 +395,10 @@ def replace_in_sheets(spark, sf):
     f"""with {TRIMMED_SQL}, {SHEETS_SQL} select 'ambiguous code' warning, sheet, code from trimmed
         group by 2, 3 having count(distinct descr) > 1
         union all select 'sheet not found', sheet, null from pairs where sheet not in
-          (select sheet from sheets where p_size > 25 and sheet <> 'PROMO')""",
+          (select sheet from sheets)""",
 )
 def replace_in_sheets_warnings(spark, sf):
-    some = sheet_items(spark, sf).where("p_size > 25 and sheet <> 'PROMO'")
-    return ab.replace_in_sheets(some, code_table(spark, sf))[1]
+    return ab.replace_in_sheets(sheet_items(spark, sf), code_table(spark, sf))[1]
 
 
 # --- enrichment: two source sheets and a target with gaps

@@ -23,6 +23,7 @@ def spread_join(
     *,
     spread_by: str | Sequence[str],
     null_safe: bool = False,
+    counts: DataFrame | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds at most one row per key.
@@ -31,15 +32,15 @@ def spread_join(
     the left rows are dealt out by a hash of ``spread_by`` and the matching right row
     is repeated once per split. The list of hot keys has at most
     ``rows(left) / rows_per_split`` entries, which is what makes broadcasting it safe.
-    ``how`` is inner, left, left_semi or left_anti.
+    ``counts`` (the keys with ``n``, at least their number of left rows) saves counting
+    them here. ``how`` is inner, left, left_semi or left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
     by = [spread_by] if isinstance(spread_by, str) else list(spread_by)
-    hot = (
-        left.groupBy(*cols(keys))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_split)
-        .select(*cols(keys), F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_splits"))
+    if counts is None:
+        counts = left.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.where(F.col("n") > rows_per_split).select(
+        *cols(keys), F.ceil(F.col("n") / rows_per_split).cast("int").alias("_splits")
     )
 
     def same(pairs):

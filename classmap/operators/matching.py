@@ -121,8 +121,6 @@ def name_hits(
         "labels array<string>"
     )
     probe = names.select("match_name").repartition(tasks or task_count(spark))
-    if len(blocks) > 1:
-        probe = settle(probe, "names")
     parts = []
     for number, block in enumerate(blocks):
         shipped = spark.sparkContext.broadcast(fetch_block(side, "class_pos", block))
@@ -160,9 +158,14 @@ def name_hits(
 
 
 def distinct_names(items: DataFrame, *, item_name: str) -> DataFrame:
-    """Distinct lower-cased item names; a missing name never matches anything."""
+    """Distinct lower-cased item names with their number of rows ``n``.
+
+    A missing name never matches anything.
+    """
     names = items.select(F.lower(col(item_name).cast("string")).alias("match_name"))
-    return names.where(F.col("match_name").isNotNull()).distinct()
+    return names.where(F.col("match_name").isNotNull()).groupBy("match_name").agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
 def fuzzy_hits(
@@ -174,13 +177,17 @@ def fuzzy_hits(
     threshold: float = 0.6,
     **limits,
 ) -> DataFrame:
-    """Items with their ``hits`` and ``labels`` (null without a hit)."""
-    hits = settle(
-        name_hits(distinct_names(items, item_name=item_name), classes, threshold=threshold, **limits),
-        "hits",
-    )
+    """Items with their ``hits`` and ``labels`` (null without a hit).
+
+    The names are counted once: the counts feed the comparison and tell which names
+    are too frequent for one task of the join back.
+    """
+    names = settle(distinct_names(items, item_name=item_name), "names")
+    hits = settle(name_hits(names, classes, threshold=threshold, **limits), "hits")
     keyed = items.withColumn("match_name", F.lower(col(item_name).cast("string")))
-    return spread_join(keyed, hits, "match_name", "left", spread_by=item_id).drop("match_name")
+    return spread_join(
+        keyed, hits, "match_name", "left", spread_by=item_id, counts=names
+    ).drop("match_name")
 
 
 def fuzzy_join(
