@@ -71,7 +71,7 @@ def clean_single_line(c) -> Column:
     t = strip(F.coalesce(col(c), F.lit("")))
     t = strip(strip(t, "`"))
     t = strip(strip(strip(t, '"'), "'"))
-    lines = F.filter(F.transform(F.split(t, LINE_BREAKS), strip), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(t, LINE_BREAKS), lambda x: strip(x)), lambda x: x != "")
     return F.coalesce(F.get(lines, F.lit(0)), F.lit(""))
 
 

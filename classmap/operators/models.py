@@ -124,6 +124,8 @@ def embed_text(
                     fn, part["request"].tolist(), retries, delay, EMBED_BACKOFF, EMBED_JITTER
                 )
                 good = [v is not None and not isinstance(v, str) for v in vectors]
+                if not any(good):
+                    continue
                 yield pd.DataFrame(
                     {
                         "request_hash": part["request_hash"][good],
