@@ -21,30 +21,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LANES = 1 << 15
+# Entries of a pattern table (patterns x letters) built at a time.
+TABLE = 1 << 23
 BUCKETS = 64
 ONE_SPACE = {c: " " for c in range(0x3001) if chr(c).isspace()}
 
 
 class Encoded:
-    """Distinct texts as padded rows of small character codes (0 is padding)."""
+    """Texts as one flat array of letter codes from 1, each text followed by a 0."""
 
     def __init__(self, texts: list[str], alphabet: np.ndarray):
-        flat = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
         self.size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        self.start = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        self.flat = np.append(np.searchsorted(alphabet, flat) + 1, 0).astype(np.int64)
-
-    def at(self, rows: np.ndarray, offset: np.ndarray) -> np.ndarray:
-        """Character codes at an offset of each row; 0 past either end."""
-        inside = (offset >= 0) & (offset < self.size[rows])
-        return self.flat[np.where(inside, self.start[rows] + offset, len(self.flat) - 1)]
+        self.start = np.cumsum(self.size + 1) - (self.size + 1)
+        raw = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le"), dtype=np.uint32)
+        self.flat = np.searchsorted(alphabet, raw) + 1
+        self.flat[self.start + self.size] = 0
+        self.codes = len(alphabet) + 2
 
     def histogram(self) -> np.ndarray:
-        out = np.zeros((len(self.size), BUCKETS), dtype=np.int32)
-        np.add.at(
-            out, (np.repeat(np.arange(len(self.size)), self.size), self.flat[:-1] % BUCKETS), 1
-        )
-        return out
+        row = np.repeat(np.arange(len(self.size)), self.size + 1)
+        cell = (row * BUCKETS + self.flat % BUCKETS)[self.flat > 0]
+        counts = np.bincount(cell, minlength=len(self.size) * BUCKETS)
+        return counts.reshape(-1, BUCKETS).astype(np.int32)
 
 
 def encode(*groups: list[str]) -> list[Encoded]:
@@ -53,85 +51,104 @@ def encode(*groups: list[str]) -> list[Encoded]:
     return [Encoded(g, alphabet) for g in groups]
 
 
-class Lcs:
-    """Bit-parallel lcs state: one pattern and one running text per lane."""
+class Patterns:
+    """Letter positions of equally long patterns, one pattern per lane.
+
+    ``feed`` advances the lcs state of some lanes by one letter of their text: a zero
+    bit of the state is one matched pattern letter.
+    """
 
-    def __init__(self, patterns: Encoded, rows: np.ndarray, length: int, reverse: bool = False):
-        uniq, lane = np.unique(rows, return_inverse=True)
-        self.words = -(-length // 64)
-        letters = np.array([patterns.at(uniq, np.full(len(uniq), j)) for j in range(length)])
-        width = int(max(patterns.flat.max(), 1)) + 2
-        self.masks = np.zeros((self.words, len(uniq), width), dtype=np.uint64)
+    def __init__(self, texts: Encoded, rows: np.ndarray, length: int, reverse: bool = False):
+        present = np.zeros(len(texts.size), dtype=bool)
+        present[rows] = True
+        distinct = np.flatnonzero(present)
+        lane = np.cumsum(present)[rows] - 1
+        table = np.zeros((-(-length // 64), len(distinct), texts.codes), dtype=np.uint64)
+        each = np.arange(len(distinct))
         for j in range(length):
             bit = length - 1 - j if reverse else j
-            self.masks[bit // 64, np.arange(len(uniq)), letters[j]] |= np.uint64(1 << (bit % 64))
-        self.masks = self.masks.reshape(self.words, -1)
-        self.base, self.width = lane * width, width
-        self.state = np.full((self.words, len(rows)), np.uint64(0xFFFFFFFFFFFFFFFF))
-
-    def feed(self, code: np.ndarray) -> None:
-        """Append one character to each lane's text; unseen characters change nothing."""
-        cell = self.base + np.where(code < self.width, code, 0)
-        carry = np.uint64(0)
-        for w in range(self.words):
-            v = self.state[w]
-            hit = v & self.masks[w][cell]
+            code = texts.flat[texts.start[distinct] + j]
+            table[bit // 64, each, code] |= np.uint64(1 << (bit % 64))
+        self.words = [w.ravel() for w in table]
+        self.base = lane * texts.codes
+
+    def fresh(self, lanes: int) -> list[np.ndarray]:
+        return [np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64) for _ in self.words]
+
+    def feed(self, state: list[np.ndarray], base: np.ndarray, code: np.ndarray) -> None:
+        cell, carry = base + code, None
+        for w, table in enumerate(self.words):
+            v = state[w]
+            hit = v & table.take(cell)
             total = v + hit
-            over = total < v
-            if w:
-                total = total + carry
-                over = over | (total < carry)
-            self.state[w] = total | (v - hit)
-            carry = over.astype(np.uint64)
+            if len(self.words) > 1:
+                over = total < v
+                if carry is not None:
+                    total += carry
+                    over |= total < carry
+                carry = over.astype(np.uint64)
+            state[w] = total | (v - hit)
+
+
+def matched(state: list[np.ndarray]) -> np.ndarray:
+    return sum(np.bitwise_count(~v).astype(np.int64) for v in state)
 
-    def length(self) -> np.ndarray:
-        return np.bitwise_count(~self.state).sum(axis=0, dtype=np.int64)
+
+def _chunks(rows: np.ndarray, codes: int):
+    step = max(256, min(LANES, TABLE // codes))
+    return (rows[a : a + step] for a in range(0, len(rows), step))
 
 
 def _partial_oriented(short, long, si, li, best):
-    """Raise ``best`` to the partial ratio of short[si] against long[li], |short| <= |long|."""
-    order = np.argsort(short.size[si], kind="stable")
-    m_sorted = short.size[si][order]
-    for m in np.unique(m_sorted):
-        group = order[np.searchsorted(m_sorted, m) : np.searchsorted(m_sorted, m, "right")]
-        if m == 0:
-            both = long.size[li[group]] == 0
-            best[group] = np.maximum(best[group], both.astype(float))
+    """Raise ``best`` to the partial ratio of short[si] in long[li], |short| <= |long|."""
+    m = short.size[si]
+    order = np.lexsort((long.size[li], m))
+    sizes = m[order]
+    for size in np.unique(sizes):
+        group = order[np.searchsorted(sizes, size) : np.searchsorted(sizes, size, "right")]
+        if size == 0:
+            best[group] = np.maximum(best[group], long.size[li[group]] == 0)
             continue
-        for at in range(0, len(group), LANES):
-            _partial_group(short, long, si, li, best, group[at : at + LANES], int(m))
+        for idx in _chunks(group, short.codes):
+            best[idx] = _partial_group(short, long, si[idx], li[idx], best[idx], int(size))
 
 
-def _partial_group(short, long, si, li, best, idx, m):
-    n = long.size[li[idx]]
-    ends = best[idx].copy()
-    ahead = Lcs(short, si[idx], m)
-    behind = Lcs(short, si[idx], m, reverse=True)
+def _partial_group(short, long, si, li, best, m):
+    """Partial ratios for patterns of one length, wherever they exceed ``best``."""
+    n, start, text = long.size[li], long.start[li], long.flat
+    ahead, behind = Patterns(short, si, m), Patterns(short, si, m, reverse=True)
+    left, right = ahead.fresh(len(si)), ahead.fresh(len(si))
+    best, low = best.copy(), best.min()
     for k in range(m):
-        step = np.full(len(idx), k)
-        ahead.feed(long.at(li[idx], step))
-        behind.feed(long.at(li[idx], n - 1 - step))
-        np.maximum(ends, 2.0 * ahead.length() / (m + k + 1), out=ends)
-        np.maximum(ends, 2.0 * behind.length() / (m + k + 1), out=ends)
-    # The whole-text lcs bounds every inner window: skip lanes it cannot improve.
+        ahead.feed(left, ahead.base, text[start + k])
+        behind.feed(right, behind.base, text[start + n - 1 - k])
+        # A window of k + 1 letters holds at most that many matches.
+        if 2 * (k + 1) / (m + k + 1) > low:
+            np.maximum(best, 2.0 * matched(left) / (m + k + 1), out=best)
+            np.maximum(best, 2.0 * matched(right) / (m + k + 1), out=best)
+    first, last = matched(left), matched(right)
     for k in range(m, int(n.max())):
-        ahead.feed(long.at(li[idx], np.full(len(idx), k)))
-    inner = np.flatnonzero((n - m - 1 > 0) & (ahead.length() / m > ends))
-    counts = (n - m - 1)[inner]
-    edge = np.concatenate([[0], np.cumsum(counts)])
-    a = 0
-    while a < len(inner):
-        b = max(a + 1, int(np.searchsorted(edge, edge[a] + LANES, "right")) - 1)
-        rows = np.repeat(inner[a:b], counts[a:b])
-        start = np.arange(len(rows)) - np.repeat(edge[a:b] - edge[a], counts[a:b]) + 1
-        for c in range(0, len(rows), 4 * LANES):
-            part, first = rows[c : c + 4 * LANES], start[c : c + 4 * LANES]
-            lanes = Lcs(short, si[idx][part], m)
-            for k in range(m):
-                lanes.feed(long.at(li[idx][part], first + k))
-            np.maximum.at(ends, part, lanes.length() / m)
-        a = b
-    best[idx] = ends
+        ahead.feed(left, ahead.base, text[start + np.minimum(k, n)])
+    # Shifting a window by one changes its matches by at most one, so windows that
+    # cannot reach the next better count are stepped over, from either end.
+    goal = np.floor(best * m).astype(np.int64)
+    for _ in range(2):
+        goal += goal / m <= best
+    at = np.maximum(1, goal - first)
+    end = n - m - np.maximum(1, goal - last)
+    open_ = np.flatnonzero((at <= end) & (matched(left) >= goal))
+    while len(open_):
+        base, place = ahead.base[open_], start[open_] + at[open_]
+        state = ahead.fresh(len(open_))
+        for k in range(m):
+            ahead.feed(state, base, text[place + k])
+        got = matched(state)
+        best[open_] = np.maximum(best[open_], got / m)
+        goal[open_] = np.maximum(goal[open_], got + 1)
+        at[open_] += np.maximum(1, goal[open_] - got)
+        end[open_] = n[open_] - m - np.maximum(1, goal[open_] - last[open_])
+        open_ = open_[at[open_] <= end[open_]]
+    return best
 
 
 def partial_ratios(left, right, ia, ib, floor=None) -> np.ndarray:
@@ -152,17 +169,18 @@ def lcs_lengths(left, right, ia, ib) -> np.ndarray:
     out = np.zeros(len(ia), dtype=np.int64)
     m, n = left.size[ia], right.size[ib]
     for rows, flip in ((np.flatnonzero(m <= n), False), (np.flatnonzero(m > n), True)):
-        s, l, si, li = (right, left, ib, ia) if flip else (left, right, ia, ib)
-        order = rows[np.lexsort((l.size[li[rows]], s.size[si[rows]]))]
+        s, t, si, ti = (right, left, ib, ia) if flip else (left, right, ia, ib)
+        order = rows[np.lexsort((t.size[ti[rows]], s.size[si[rows]]))]
         sizes = s.size[si[order]]
         for size in np.unique(sizes[sizes > 0]):
-            group = order[sizes == size]
-            for at in range(0, len(group), LANES):
-                idx = group[at : at + LANES]
-                lanes = Lcs(s, si[idx], int(size))
-                for k in range(int(l.size[li[idx]].max())):
-                    lanes.feed(l.at(li[idx], np.full(len(idx), k)))
-                out[idx] = lanes.length()
+            group = order[np.searchsorted(sizes, size) : np.searchsorted(sizes, size, "right")]
+            for idx in _chunks(group, s.codes):
+                patterns = Patterns(s, si[idx], int(size))
+                state = patterns.fresh(len(idx))
+                start, length = t.start[ti[idx]], t.size[ti[idx]]
+                for k in range(int(length.max())):
+                    patterns.feed(state, patterns.base, t.flat[start + np.minimum(k, length)])
+                out[idx] = matched(state)
     return out
 
 
@@ -218,8 +236,8 @@ def token_set_ratios(left: NameBlock, right: NameBlock, ia, ib) -> np.ndarray:
     return np.where(one_empty, (n > 0).astype(float), value)
 
 
-def _possible(probe: NameBlock, block: NameBlock, threshold: float) -> np.ndarray:
-    """False only where the letters two names share cannot reach the threshold.
+def _possible(probe: NameBlock, block: NameBlock, threshold: float):
+    """Two masks of pairs, False only where shared letters rule out the threshold.
 
     With ``c`` letters in common (as multisets), no window ratio exceeds
     ``2c / (m + c)`` for a shorter length ``m``, and without a shared token the
@@ -231,23 +249,29 @@ def _possible(probe: NameBlock, block: NameBlock, threshold: float) -> np.ndarra
     shared = np.zeros((len(ha), len(hb)), dtype=np.int32)
     for k in np.flatnonzero(ha.any(axis=0) & hb.any(axis=0)):
         shared += np.minimum.outer(ha[:, k], hb[:, k])
-    shorter = np.minimum.outer(ea.size, eb.size)
     need = threshold - 1e-9
-    keep = (2.0 * shared >= need * (shorter + shared)) | (
-        2.0 * shared >= need * np.add.outer(sa, sb)
-    )
-    for row, tokens in enumerate(probe.tokens):
-        for t in tokens & block.owner.keys():
-            keep[row, block.owner[t]] = True
-    return keep
+    windows = 2.0 * shared >= need * (np.minimum.outer(ea.size, eb.size) + shared)
+    tokens = 2.0 * shared >= need * np.add.outer(sa, sb)
+    for row, words in enumerate(probe.tokens):
+        for t in words & block.owner.keys():
+            tokens[row, block.owner[t]] = True
+    return tokens, windows
 
 
 def match_names(names: list[str], block: NameBlock, threshold: float):
     """Indices and scores of every (name, block name) pair scoring at least ``threshold``."""
     probe = NameBlock(names)
-    ia, ib = np.nonzero(_possible(probe, block, threshold))
-    tokens = token_set_ratios(probe, block, ia, ib)
-    score = partial_ratios(*encode(names, block.names), ia, ib, floor=tokens)
+    by_token, by_window = _possible(probe, block, threshold)
+    ia, ib = np.nonzero(by_token | by_window)
+    by_token, by_window = by_token[ia, ib], by_window[ia, ib]
+    # Scores below the threshold need not be exact.
+    score = np.full(len(ia), np.nextafter(threshold, -1.0))
+    score[by_token] = np.maximum(
+        score[by_token], token_set_ratios(probe, block, ia[by_token], ib[by_token])
+    )
+    score[by_window] = partial_ratios(
+        *encode(names, block.names), ia[by_window], ib[by_window], floor=score[by_window]
+    )
     hit = score >= threshold
     return ia[hit], ib[hit], score[hit]
 
