@@ -109,16 +109,13 @@ def hierarchy_closure(
 
     Descent stops at a flagged leaf, and without a flag column every class is its own
     leaf. Each round extends all open paths by one level and is written to the shared
-    folder. A class that reaches itself, or a path over ``max_depth``, raises.
+    folder; ``classes`` is read once per level, so it should be a stored table. A class that reaches itself, or a path over ``max_depth``, raises.
     """
     if leaf not in classes.columns:
         return classes.select(col(class_id).alias("anc_id"), col(class_id).alias("leaf_id"))
-    tree = settle(
-        classes.select(
-            col(class_id).alias("id"), col(parent_id).alias("parent_id"),
-            F.coalesce(col(leaf), F.lit(False)).alias("leaf"),
-        ),
-        "tree",
+    tree = classes.select(
+        col(class_id).alias("id"), col(parent_id).alias("parent_id"),
+        F.coalesce(col(leaf), F.lit(False)).alias("leaf"),
     )
     links = tree.select(F.col("id").alias("child"), F.col("parent_id").alias("at"), "leaf")
     reached = tree.select(F.col("id").alias("anc_id"), F.col("id").alias("at"), "leaf")
@@ -133,13 +130,13 @@ def hierarchy_closure(
             ).distinct(),
             "closure",
         )
-        paths, cycles = step.agg(
-            F.count(F.lit(1)), F.count_if(F.col("anc_id") == F.col("at"))
+        open_paths, cycles = step.agg(
+            F.count_if(~F.col("leaf")), F.count_if(F.col("anc_id") == F.col("at"))
         ).first()
         if cycles:
             break
-        if not paths:
-            return found.select("anc_id", F.col("at").alias("leaf_id")).distinct()
         found = found.unionByName(step.where("leaf"))
+        if not open_paths:
+            return found.select("anc_id", F.col("at").alias("leaf_id")).distinct()
         frontier = step.where("not leaf")
     raise ValueError(f"{parent_id} has a cycle, or the tree is deeper than {max_depth} levels")

@@ -77,13 +77,18 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def require_unique(df: DataFrame, key: str, what: str) -> DataFrame:
-    """Raise when a key occurs twice; reads the key column only."""
-    twice = df.groupBy(col(key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
-    row = twice.first()
+def require_unique(tables: dict[str, tuple[DataFrame, str]]) -> None:
+    """Raise when a key occurs twice in a table; reads the key columns only."""
+    repeated = [
+        df.groupBy(col(key).cast("string").alias("key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select(F.lit(what).alias("what"), "key", "n")
+        for what, (df, key) in tables.items()
+    ]
+    row = reduce(DataFrame.unionByName, repeated).limit(1).first()
     if row is not None:
-        raise ValueError(f"{what} id {row[0]!r} occurs {row[1]} times")
-    return df
+        raise ValueError(f"{row['what']} id {row['key']!r} occurs {row['n']} times")
 
 
 def intersect_ids(items: DataFrame, embeddings: DataFrame, *, id: str, emb_id: str = "id") -> DataFrame:

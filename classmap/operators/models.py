@@ -113,7 +113,7 @@ def embed_text(
         fallback_id(df, id, otherwise=otherwise).alias("id"), col(text).cast("string").alias("request")
     ).where(nonblank("request"))
     if check_ids:
-        require_unique(rows, "id", "text")
+        require_unique({"text": (rows, "id")})
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()

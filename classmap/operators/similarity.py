@@ -116,6 +116,7 @@ def cosine_top_k(
     )
     if len(blocks) > 1:
         probe = settle(probe, "vectors")
+        closure = settle(closure, "below") if closure is not None else None
     parts = []
     for block in blocks:
         table = fetch_block(leaves, "leaf_pos", block)

@@ -44,17 +44,15 @@ def rank_classes(
     require_columns(items, item_id, item_name)
     require_columns(classes, class_id, class_name, "parent_id")
     if check_ids:
-        require_unique(items, item_id, "item")
-        require_unique(item_emb, "id", "embedding")
+        require_unique({"item": (items, item_id), "embedding": (item_emb, "id")})
     side = class_table(classes, class_id=class_id, class_name=class_name, leaf=leaf, order=order)
     leaves = class_embedding_join(side, class_emb)
     below = hierarchy_closure(side, class_id="class_id", leaf="leaf")
     ancestors = side.select(F.col("class_id").alias("anc_id"), F.col("class_pos").alias("anc_pos"))
-    closure = settle(
+    closure = (
         below.join(ancestors, "anc_id")
         .join(leaves.select(F.col("class_id").alias("leaf_id"), "leaf_pos"), "leaf_id")
-        .select("anc_pos", "leaf_pos"),
-        "below",
+        .select("anc_pos", "leaf_pos")
     )
     thin = items.select(col(item_id), col(item_name).cast("string").alias(item_name))
     with_vectors = item_embedding_join(thin, item_emb, id=item_id)
