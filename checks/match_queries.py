@@ -339,11 +339,11 @@ def pivot_top_n(spark, sf):
 
 @check(
     "margin",
-    f"""{ALL_SQL} select item_id, round(max(case when rk=1 then sim end) - max(case when rk=2 then sim end), 9) margin
+    f"""{ALL_SQL} select item_id, round(max(case when rk=1 then sim end) - max(case when rk=2 then sim end), 6) margin
         from ranked group by 1""",
 )
 def margin(spark, sf):
-    return all_ranked(spark, sf, 2).select("item_id", F.round(similarity.margin(), 9).alias("margin"))
+    return all_ranked(spark, sf, 2).select("item_id", F.round(similarity.margin(), 6).alias("margin"))
 
 
 @check(

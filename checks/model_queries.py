@@ -114,7 +114,7 @@ def name_requests(spark, sf):
     return fx.items(spark, sf).select("item_id", F.col("item_name").alias("request"))
 
 
-@check("distinct_requests", f"with {fx.ITEMS_SQL} select distinct sha256(item_name) request_hash, item_name request from items")
+@check("distinct_requests", f"with {fx.ITEMS_SQL} select sha256(item_name) request_hash, item_name request, count(*) n from items group by item_name")
 def distinct_requests(spark, sf):
     return models.distinct_requests(name_requests(spark, sf))
 

@@ -27,13 +27,15 @@ EMBED_RETRIES, EMBED_DELAY_SECONDS, EMBED_BACKOFF, EMBED_JITTER = 8, 1.0, 2.0, 0
 
 
 def request_hash(request) -> Column:
-    return F.sha2(col(request) if isinstance(request, str) else request, 256)
+    return F.sha2(col(request), 256)
 
 
 def distinct_requests(df: DataFrame, *, request: str = "request") -> DataFrame:
-    """``request_hash, request``: equal requests are asked once."""
-    asked = df.where(col(request).isNotNull()).select(col(request).alias("request")).distinct()
-    return asked.select(request_hash("request").alias("request_hash"), "request")
+    """``request_hash, request, n``: equal requests are asked once for their ``n`` rows."""
+    asked = df.where(col(request).isNotNull()).groupBy(col(request).alias("request")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return asked.select(request_hash("request").alias("request_hash"), "request", "n")
 
 
 def _with_retries(fn: Callable, batch: list, retries: int, delay: float, backoff: float, jitter: float):
@@ -84,11 +86,16 @@ def answer(
 ) -> DataFrame:
     """``rows`` with the model's ``raw`` reply to their request (null without a request).
 
-    Replies are written before they are read, so no later stage can repeat a call.
+    Requests and replies are both written before they are read, so no later stage can
+    repeat a call. The counts taken with the requests tell the join which are frequent.
     """
-    replies = settle(invoke_model(distinct_requests(rows, request=request), make_fn, **calls), "replies")
+    asked = settle(distinct_requests(rows, request=request), "asked")
+    replies = settle(invoke_model(asked, make_fn, **calls), "replies")
     keyed = rows.withColumn("request_hash", request_hash(request))
-    return spread_join(keyed, replies, "request_hash", "left", spread_by=spread_by).drop("request_hash")
+    return spread_join(
+        keyed, replies, "request_hash", "left", spread_by=spread_by,
+        counts=asked.select("request_hash", "n"),
+    ).drop("request_hash")
 
 
 def embed_text(
@@ -133,8 +140,12 @@ def embed_text(
                     }
                 )
 
-    asked = distinct_requests(rows).repartition(tasks or task_count(df.sparkSession))
-    vectors = settle(asked.mapInPandas(call, "request_hash string, embedding array<double>"), "vectors")
+    asked = settle(distinct_requests(rows), "asked")
+    spread = asked.select("request_hash", "request").repartition(tasks or task_count(df.sparkSession))
+    vectors = settle(spread.mapInPandas(call, "request_hash string, embedding array<double>"), "vectors")
     keyed = rows.select("id", request_hash("request").alias("request_hash"))
-    joined = spread_join(keyed, vectors, "request_hash", "inner", spread_by="id")
+    joined = spread_join(
+        keyed, vectors, "request_hash", "inner", spread_by="id",
+        counts=asked.select("request_hash", "n"),
+    )
     return joined.select("id", "embedding")

@@ -13,7 +13,13 @@ from classmap.operators.joins import (
     require_unique,
     spread_join,
 )
-from classmap.operators.matching import class_table, fuzzy_hits, hit_names
+from classmap.operators.matching import (
+    NO_MATCH,
+    class_table,
+    hit_names,
+    match_names_once,
+    with_match_name,
+)
 from classmap.operators.rows import prefix_columns
 from classmap.operators.similarity import class_embedding_join, cosine_top_k, pivot_top_n
 from classmap.plans.settle import settle
@@ -54,14 +60,19 @@ def rank_classes(
         .join(leaves.select(F.col("class_id").alias("leaf_id"), "leaf_pos"), "leaf_id")
         .select("anc_pos", "leaf_pos")
     )
+    # Names are joined before vectors, so that a vector is shuffled only once, by id.
     thin = items.select(col(item_id), col(item_name).cast("string").alias(item_name))
-    with_vectors = item_embedding_join(thin, item_emb, id=item_id)
-    hit = fuzzy_hits(
-        with_vectors, side, item_id=item_id, item_name=item_name, threshold=threshold
+    names, hits = match_names_once(thin, side, item_name=item_name, threshold=threshold)
+    found = hits.select(
+        "match_name", F.col("hits.class_pos").alias("hit_pos"), hit_names().alias("_shown")
+    )
+    matched = spread_join(
+        with_match_name(thin, item_name), found, "match_name", "left",
+        spread_by=item_id, counts=names,
     )
-    probe = hit.select(
-        *cols([item_id, item_name, "embedding"]),
-        F.col("hits.class_pos").alias("hit_pos"), hit_names().alias("fuzzy_candidate_names"),
+    probe = item_embedding_join(matched, item_emb, id=item_id).select(
+        *cols([item_id, item_name, "embedding", "hit_pos"]),
+        F.coalesce("_shown", F.lit(NO_MATCH)).alias("fuzzy_candidate_names"),
     )
     best = cosine_top_k(
         probe, leaves, k=k, id=item_id, closure=closure, on_no_candidates=on_no_candidates,

@@ -66,8 +66,13 @@ def expand_abbreviations(
     request = expansion_requests(df, text=text, id=id, sheet=sheet, position=position)
     asked = df.withColumn("_request", request)
     replied = answer(asked, make_fn, request="_request", spread_by=[sheet, position], **calls)
-    flags = df.groupBy(sheet).agg(F.max(nonblank(text)).alias("_has_text"))
-    marked = spread_join(replied, flags, sheet, "left", spread_by=position, null_safe=True)
+    flags = df.groupBy(col(sheet)).agg(
+        F.max(nonblank(text)).alias("_has_text"), F.count(F.lit(1)).alias("n")
+    )
+    marked = spread_join(
+        replied, flags.drop("n"), sheet, "left",
+        spread_by=position, null_safe=True, counts=flags.drop("_has_text"),
+    )
     expanded = (
         F.when(nonblank(text), accept_expansion(strip(text), "raw"))
         .when(F.col("_has_text"), col(text))
