@@ -26,7 +26,7 @@ NO_MATCH = "No fuzzy match"
 # Bytes of class names per broadcast (their token sets take several times as much).
 NAME_BYTES = 16 << 20
 # Cells of the name x class matrix a task holds at a time.
-CELLS = 1 << 22
+CELLS = 1 << 20
 
 
 def class_table(

@@ -105,7 +105,7 @@ def cosine_top_k(
     carried = [id, *keep]
     best = f"array<struct<class_pos:bigint,class_id:{kind},class_name:string,sim:double>>"
     heads = ", ".join(f"`{c}` {items.schema[c].dataType.simpleString()}" for c in carried)
-    schema = f"{heads}, n int, among {best}, overall {best}"
+    schema = f"{heads}, n int, topk {best}"
     probe = items.select(
         *cols(carried),
         F.col("embedding").alias("_vector"),
@@ -137,31 +137,29 @@ def cosine_top_k(
                 for at in range(0, whole.num_rows, step):
                     batch = whole.slice(at, step)
                     vectors = _unit(_matrix(batch.column("_vector")))
-                    sims = np.round(vectors @ classes.T, TIE_DIGITS)
+                    sims = vectors @ classes.T
                     n = np.zeros(len(sims), dtype=np.int32)
-                    masked = np.full_like(sims, -np.inf)
-                    open_rows = np.ones(len(sims), dtype=bool)
-                    if below is not None:
+                    if below is None:
+                        board = np.round(sims, TIE_DIGITS)
+                    else:
                         hits = batch.column("_hits")
                         flat = hits.flatten().to_numpy(zero_copy_only=False)
                         size = hits.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                         a, b = np.searchsorted(anc, flat), np.searchsorted(anc, flat, "right")
                         row = np.repeat(np.repeat(np.arange(len(sims)), size), b - a)
-                        col = leaf[_ragged(a, b - a)]
-                        masked[row, col] = sims[row, col]
-                        n = np.isfinite(masked).sum(axis=1).astype(np.int32)
-                        open_rows = n == 0
-                        if on_no_candidates == "none":
-                            open_rows &= size == 0
-                    sims[~open_rows] = -np.inf
+                        leaf_at = leaf[_ragged(a, b - a)]
+                        board = np.full_like(sims, -np.inf)
+                        board[row, leaf_at] = np.round(sims[row, leaf_at], TIE_DIGITS)
+                        n = np.isfinite(board).sum(axis=1).astype(np.int32)
+                        free = n == 0 if on_no_candidates == "all" else size == 0
+                        board[free] = np.round(sims[free], TIE_DIGITS)
                     yield pa.RecordBatch.from_arrays(
                         [
                             *[batch.column(c) for c in carried],
                             pa.array(n),
-                            _struct_lists(*_best(masked, k), table),
-                            _struct_lists(*_best(sims, k), table),
+                            _struct_lists(*_best(board, k), table),
                         ],
-                        names=[*carried, "n", "among", "overall"],
+                        names=[*carried, "n", "topk"],
                     )
 
         parts.append(probe.mapInArrow(compare, schema))
@@ -169,19 +167,21 @@ def cosine_top_k(
         empty = F.array().cast(best)
         return items.select(*cols(carried), F.lit(0).alias("candidates_count"), empty.alias("topk"))
     if len(parts) == 1:
-        merged = parts[0]
-    else:
-        every = parts[0]
-        for part in parts[1:]:
-            every = every.unionByName(part)
-        merged = every.groupBy(col(id)).agg(
-            *[F.first(col(c)).alias(c) for c in keep],
-            F.sum("n").cast("int").alias("n"),
-            _ranked(F.flatten(F.collect_list("among")), k).alias("among"),
-            _ranked(F.flatten(F.collect_list("overall")), k).alias("overall"),
-        )
-    chosen = F.when(F.col("n") > 0, F.col("among")).otherwise(F.col("overall"))
-    return merged.select(*cols(carried), F.col("n").alias("candidates_count"), chosen.alias("topk"))
+        return parts[0].withColumnRenamed("n", "candidates_count")
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    # A block without candidates of an item ranked it against all its leaves; that
+    # counts only if no other block had candidates.
+    among = F.flatten(F.collect_list(F.when(F.col("n") > 0, F.col("topk"))))
+    merged = every.groupBy(col(id)).agg(
+        *[F.first(col(c)).alias(c) for c in keep],
+        F.sum("n").cast("int").alias("candidates_count"),
+        _ranked(among, k).alias("among"),
+        _ranked(F.flatten(F.collect_list("topk")), k).alias("overall"),
+    )
+    chosen = F.when(F.col("candidates_count") > 0, F.col("among")).otherwise(F.col("overall"))
+    return merged.select(*cols(carried), "candidates_count", chosen.alias("topk"))
 
 
 def _ranked(entries: Column, k: int) -> Column:

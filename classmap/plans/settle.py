@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from classmap.functions.names import col
 
 # Bytes of class-side data one broadcast may hold; larger sides are cut into blocks.
-BROADCAST_BYTES = 256 << 20
+BROADCAST_BYTES = 128 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
