@@ -168,18 +168,6 @@ def distinct_names(items: DataFrame, *, item_name: str) -> DataFrame:
     )
 
 
-def match_names_once(
-    items: DataFrame, classes: DataFrame, *, item_name: str, threshold: float = 0.6, **limits
-) -> tuple[DataFrame, DataFrame]:
-    """The item names with their counts, and the hits of those that have any.
-
-    Names are counted once: the counts feed the comparison and tell which names are too
-    frequent for one task of a join back to the items.
-    """
-    names = settle(distinct_names(items, item_name=item_name), "names")
-    return names, settle(name_hits(names, classes, threshold=threshold, **limits), "hits")
-
-
 def with_match_name(items: DataFrame, item_name: str) -> DataFrame:
     return items.withColumn("match_name", F.lower(col(item_name).cast("string")))
 
@@ -193,10 +181,13 @@ def fuzzy_hits(
     threshold: float = 0.6,
     **limits,
 ) -> DataFrame:
-    """Items with their ``hits`` and ``labels`` (null without a hit)."""
-    names, hits = match_names_once(
-        items, classes, item_name=item_name, threshold=threshold, **limits
-    )
+    """Items with their ``hits`` and ``labels`` (null without a hit).
+
+    Names are counted once: the counts feed the comparison and tell which names are too
+    frequent for one task of the join back to the items.
+    """
+    names = settle(distinct_names(items, item_name=item_name), "names")
+    hits = settle(name_hits(names, classes, threshold=threshold, **limits), "hits")
     return spread_join(
         with_match_name(items, item_name), hits, "match_name", "left",
         spread_by=item_id, counts=names,

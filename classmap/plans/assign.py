@@ -16,13 +16,14 @@ from classmap.operators.joins import (
 from classmap.operators.matching import (
     NO_MATCH,
     class_table,
+    distinct_names,
     hit_names,
-    match_names_once,
+    name_hits,
     with_match_name,
 )
 from classmap.operators.rows import prefix_columns
 from classmap.operators.similarity import class_embedding_join, cosine_top_k, pivot_top_n
-from classmap.plans.settle import settle, task_count
+from classmap.plans.settle import settle, task_count, together
 
 
 def rank_classes(
@@ -49,11 +50,24 @@ def rank_classes(
     """
     require_columns(items, item_id, item_name)
     require_columns(classes, class_id, class_name, "parent_id")
-    if check_ids:
-        require_unique({"item": (items, item_id), "embedding": (item_emb, "id")})
-    side = class_table(classes, class_id=class_id, class_name=class_name, leaf=leaf, order=order)
-    leaves = class_embedding_join(side, class_emb)
-    below = hierarchy_closure(side, class_id="class_id", leaf="leaf")
+    thin = items.select(col(item_id), col(item_name).cast("string").alias(item_name))
+
+    def check() -> None:
+        if check_ids:
+            require_unique({"item": (items, item_id), "embedding": (item_emb, "id")})
+
+    def count_names() -> DataFrame:
+        return settle(distinct_names(thin, item_name=item_name), "names")
+
+    def read_classes() -> tuple[DataFrame, DataFrame, DataFrame]:
+        side = class_table(classes, class_id=class_id, class_name=class_name, leaf=leaf, order=order)
+        leaves, below = together(
+            lambda: class_embedding_join(side, class_emb),
+            lambda: hierarchy_closure(side, class_id="class_id", leaf="leaf"),
+        )
+        return side, leaves, below
+
+    _, names, (side, leaves, below) = together(check, count_names, read_classes)
     ancestors = side.select(F.col("class_id").alias("anc_id"), F.col("class_pos").alias("anc_pos"))
     closure = (
         below.join(ancestors, "anc_id")
@@ -61,8 +75,7 @@ def rank_classes(
         .select("anc_pos", "leaf_pos")
     )
     # Names are joined before vectors, so that a vector is shuffled only once, by id.
-    thin = items.select(col(item_id), col(item_name).cast("string").alias(item_name))
-    names, hits = match_names_once(thin, side, item_name=item_name, threshold=threshold)
+    hits = settle(name_hits(names, side, threshold=threshold), "hits")
     found = hits.select(
         "match_name", F.col("hits.class_pos").alias("hit_pos"), hit_names().alias("_shown")
     )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 
 from classmap.functions.names import col
 
+T = TypeVar("T")
 # Bytes of class-side data one broadcast may hold; larger sides are cut into blocks.
 BROADCAST_BYTES = 128 << 20
 
@@ -38,6 +42,12 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark jobs at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def task_count(spark: SparkSession) -> int:
     """Tasks for compute-heavy Python stages, which size-based coalescing would starve."""
     return max(
