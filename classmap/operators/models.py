@@ -38,20 +38,30 @@ def distinct_requests(df: DataFrame, *, request: str = "request") -> DataFrame:
     return asked.select(request_hash("request").alias("request_hash"), "request", "n")
 
 
+def _call(fn: Callable, batch: list) -> list:
+    replies = list(fn(batch))
+    if len(replies) != len(batch):
+        raise ValueError(f"{len(replies)} replies to {len(batch)} requests")
+    return replies
+
+
 def _with_retries(fn: Callable, batch: list, retries: int, delay: float, backoff: float, jitter: float):
-    """Replies for a batch, one by one if the batch as a whole keeps failing."""
-    wait = delay
+    """Replies to a batch; if it fails as a whole, each request gets its own tries."""
+    if len(batch) > 1:
+        try:
+            return _call(fn, batch)
+        except Exception:  # the model's errors are unknown here
+            return [r for one in batch for r in _with_retries(fn, [one], retries, delay, backoff, jitter)]
+    wait, error = delay, "ERROR: not tried"
     for attempt in range(retries):
         try:
-            return list(fn(batch))
-        except Exception as e:  # the model's errors are unknown here
+            return _call(fn, batch)
+        except Exception as e:
             error = f"ERROR: {e}"
         if attempt < retries - 1:
             time.sleep(wait * (1 + random.random() * jitter))
             wait *= backoff
-    if len(batch) == 1:
-        return [error]
-    return [r for one in batch for r in _with_retries(fn, [one], 1, delay, backoff, jitter)]
+    return [error]
 
 
 def invoke_model(

@@ -70,6 +70,31 @@ def test_retries_recover(spark):
     assert models.answer(df, make, request="q", spread_by="id", **QUICK).first()["raw"] == "q"
 
 
+def test_each_request_of_a_failed_batch_gets_its_tries(spark):
+    def make():
+        tries = {}
+
+        def call(texts):
+            if len(texts) > 1:
+                raise RuntimeError("one at a time")
+            tries[texts[0]] = tries.get(texts[0], 0) + 1
+            if tries[texts[0]] < 3:
+                raise RuntimeError("later")
+            return texts
+
+        return call
+
+    df = spark.createDataFrame([(i, f"q{i}") for i in range(5)], "id long, q string")
+    out = models.answer(df, make, request="q", spread_by="id", tasks=1, **QUICK)
+    assert all(r["raw"] == r["q"] for r in out.collect())
+
+
+def test_wrong_number_of_replies_is_a_failure(spark):
+    df = spark.createDataFrame([(1, "a")], "id long, q string")
+    out = models.answer(df, lambda: (lambda texts: []), request="q", spread_by="id", **QUICK)
+    assert out.first()["raw"] == "ERROR: 0 replies to 1 requests"
+
+
 def test_embedding_skips_blank_and_failed(spark):
     def make():
         def call(texts):
