@@ -25,6 +25,8 @@ LISTED_HITS = 20
 NO_MATCH = "No fuzzy match"
 # Bytes of class names per broadcast (their token sets take several times as much).
 NAME_BYTES = 16 << 20
+# Fewest and most pairs a task should compare (about 0.1 s and 20 s of work).
+PAIRS_PER_TASK = (100_000, 20_000_000)
 # Cells of the name x class matrix a task holds at a time.
 CELLS = 1 << 20
 
@@ -108,8 +110,8 @@ def name_hits(
     tasks: int | None = None,
 ) -> DataFrame:
     """``match_name, hits array<struct(class_pos, class_id, score)>, labels`` for names
-    with at least one hit. ``names`` has distinct ``match_name``; ``classes`` comes from
-    :func:`class_table`."""
+    with at least one hit. ``names`` is a stored table of distinct ``match_name``;
+    ``classes`` comes from :func:`class_table`."""
     spark = names.sparkSession
     side = classes.where(F.col("match_name").isNotNull()).select(
         "class_pos", "class_id", "match_name", "label"
@@ -120,7 +122,10 @@ def name_hits(
         f"match_name string, hits array<struct<class_pos:int,class_id:{kind},score:double>>, "
         "labels array<string>"
     )
-    probe = names.select("match_name").repartition(tasks or task_count(spark))
+    compared = names.count() * (blocks[-1][1] if blocks else 0)
+    probe = names.select("match_name").repartition(
+        tasks or task_count(spark, compared, *PAIRS_PER_TASK)
+    )
     parts = []
     for number, block in enumerate(blocks):
         shipped = spark.sparkContext.broadcast(fetch_block(side, "class_pos", block))

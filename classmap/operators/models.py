@@ -25,6 +25,9 @@ from classmap.plans.settle import settle, task_count
 RETRIES, DELAY_SECONDS = 3, 2.0
 EMBED_RETRIES, EMBED_DELAY_SECONDS, EMBED_BACKOFF, EMBED_JITTER = 8, 1.0, 2.0, 0.1
 
+# Most requests one task should hold: what a lost task has to ask again.
+REQUESTS_PER_TASK = 4096
+
 
 def request_hash(request) -> Column:
     return F.sha2(col(request), 256)
@@ -73,7 +76,10 @@ def invoke_model(
     batch: int = 64,
     tasks: int | None = None,
 ) -> DataFrame:
-    """``request_hash, raw`` for distinct requests; a failed call gives ``ERROR: …``."""
+    """``request_hash, raw`` for distinct requests; a failed call gives ``ERROR: …``.
+
+    ``requests`` should be a stored table: it is counted before it is read.
+    """
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = make_fn()
@@ -85,9 +91,8 @@ def invoke_model(
                     {"request_hash": part["request_hash"], "raw": [(r or "").strip() for r in raw]}
                 )
 
-    spread = requests.select("request_hash", "request").repartition(
-        tasks or task_count(requests.sparkSession)
-    )
+    tasks = tasks or task_count(requests.sparkSession, requests.count(), batch, REQUESTS_PER_TASK)
+    spread = requests.select("request_hash", "request").repartition(tasks)
     return spread.mapInPandas(call, "request_hash string, raw string")
 
 
@@ -151,7 +156,8 @@ def embed_text(
                 )
 
     asked = settle(distinct_requests(rows), "asked")
-    spread = asked.select("request_hash", "request").repartition(tasks or task_count(df.sparkSession))
+    tasks = tasks or task_count(df.sparkSession, asked.count(), batch, REQUESTS_PER_TASK)
+    spread = asked.select("request_hash", "request").repartition(tasks)
     vectors = settle(spread.mapInPandas(call, "request_hash string, embedding array<double>"), "vectors")
     keyed = rows.select("id", request_hash("request").alias("request_hash"))
     joined = spread_join(

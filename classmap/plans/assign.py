@@ -23,7 +23,7 @@ from classmap.operators.matching import (
 )
 from classmap.operators.rows import prefix_columns
 from classmap.operators.similarity import class_embedding_join, cosine_top_k, pivot_top_n
-from classmap.plans.settle import settle, task_count, together
+from classmap.plans.settle import settle, together
 
 
 def rank_classes(
@@ -83,12 +83,7 @@ def rank_classes(
         with_match_name(thin, item_name), found, "match_name", "left",
         spread_by=item_id, counts=names,
     )
-    # The ranking is heavy per byte: a fixed number of partitions keeps all cores busy
-    # where size-based coalescing would not, and the join needs no further shuffle.
-    tasks = task_count(items.sparkSession)
-    probe = item_embedding_join(
-        matched.repartition(tasks, col(item_id)), item_emb.repartition(tasks, "id"), id=item_id
-    ).select(
+    probe = item_embedding_join(matched, item_emb, id=item_id).select(
         *cols([item_id, item_name, "embedding", "hit_pos"]),
         F.coalesce("_shown", F.lit(NO_MATCH)).alias("fuzzy_candidate_names"),
     )

@@ -48,11 +48,11 @@ def together(*jobs: Callable[[], T]) -> list[T]:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
-def task_count(spark: SparkSession) -> int:
-    """Tasks for compute-heavy Python stages, which size-based coalescing would starve."""
-    return max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+def task_count(spark: SparkSession, work: int, smallest: int, largest: int) -> int:
+    """Tasks for a Python stage whose cost is not its bytes: each gets from ``smallest``
+    to ``largest`` units of work, and all cores are used where there is enough."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, -(-work // largest), min(4 * cores, -(-work // smallest)))
 
 
 def row_blocks(
