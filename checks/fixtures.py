@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from classmap.operators.hierarchy import build_hierarchy
 from classmap.plans.assign import assign_classes_fallback
-from classmap.plans.settle import settle
+from classmap.plans.settle import lasting, settle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +48,8 @@ def once(spark, sf_dir, name: str, build) -> DataFrame:
     """An input shared by many queries, written once per application and folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _KEPT:
-        _KEPT[key] = settle(build(), name)
+        with lasting():
+            _KEPT[key] = settle(build(), name)
     return _KEPT[key]
 
 

@@ -82,7 +82,8 @@ def sink_table(spark, sf):
     return spark.read.schema(part.schema).option("header", True).csv(path)
 
 
-@check("sink_sheets", "select p_partkey row_pos, p_name, p_type sheet from part")
+@check("sink_sheets", """select p_partkey row_pos, p_name, p_type sheet,
+    (dense_rank() over (order by p_type) - 1)::int sheet_pos from part""")
 def sink_sheets(spark, sf):
     part = fx.table(spark, sf, "part").select(
         F.col("p_partkey").alias("row_pos"), "p_name", F.col("p_type").alias("sheet")
@@ -187,7 +188,7 @@ def drop_all_null_rows(spark, sf):
     f"""with {RAGGED_SQL} select row_pos, l1 "Level 1", l2 "Level 2", l3 "Level 3" from fl""",
 )
 def forward_fill_levels(spark, sf):
-    return ordering.forward_fill(ragged_sheet(spark, sf), LEVELS, bucket_rows=100)
+    return ordering.forward_fill(ragged_sheet(spark, sf), LEVELS, ranges=5)
 
 
 @check(
@@ -309,7 +310,7 @@ def dedupe_lineitem(spark, sf):
 )
 def assign_unique_id(spark, sf):
     orders = fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_pos"), "o_custkey")
-    return ordering.number_rows(orders, bucket_rows=4096)
+    return ordering.number_rows(orders, ranges=5)
 
 
 @check(
@@ -318,7 +319,7 @@ def assign_unique_id(spark, sf):
        (select min(p_partkey) row_pos, p_name, p_brand, p_type from part group by 2,3,4)""",
 )
 def extract_unique_rows(spark, sf):
-    return enrich.extract_unique_rows(part_rows(spark, sf), columns=["p_brand", "p_type"], bucket_rows=512)
+    return enrich.extract_unique_rows(part_rows(spark, sf), columns=["p_brand", "p_type"], ranges=5)
 
 
 @check("head_limit", "select p_partkey row_pos, p_name, p_brand, p_type from part order by 1 limit 50")

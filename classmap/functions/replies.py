@@ -73,7 +73,8 @@ def parse_extraction(raw) -> Column:
     text = strip(F.coalesce(F.col(raw) if isinstance(raw, str) else raw, F.lit("")))
     row = "struct<values:array<string>,units:array<string>>"
     one = _whole_json(text, row)
-    many = F.get(_whole_json(text, f"array<{row}>"), F.lit(0))
+    # Entries as raw JSON, so that a later one of another kind does not spoil the first.
+    many = _whole_json(F.get(_whole_json(text, "array<string>"), F.lit(0)), row)
     got = F.coalesce(one, many)
 
     def texts(field: str) -> Column:

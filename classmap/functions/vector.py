@@ -11,6 +11,13 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def usable_vector(c) -> Column:
+    """Whether a vector is there and all of its numbers are finite."""
+    c = F.col(c) if isinstance(c, str) else c
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return c.isNotNull() & F.coalesce(F.forall(c, lambda x: finite(x.cast("double"))), F.lit(False))
+
+
 def cosine_similarity(a, b) -> Column:
     """Dot product of the normalised vectors; a zero vector gives 0."""
     a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classmap.functions.names import col
+from classmap.functions.names import col, cols
 from classmap.functions.text import nonblank, strip, text_of
 from classmap.operators.joins import require_columns, spread_join
 from classmap.plans.settle import settle
@@ -92,8 +92,10 @@ def sheet_lookup(items: DataFrame, pairs: DataFrame, *, sheet: str, spread_by: s
     side = pairs.select(F.col("sheet").alias(sheet), "pairs")
     size = F.sum(F.octet_length(F.to_json("pairs")) + F.octet_length(sheet))
     if (side.agg(size).first()[0] or 0) <= PAIR_BYTES:
-        return items.join(F.broadcast(side), sheet, "left")
-    return spread_join(items, side, sheet, "left", spread_by=spread_by)
+        joined = items.join(F.broadcast(side), sheet, "left")
+    else:
+        joined = spread_join(items, side, sheet, "left", spread_by=spread_by)
+    return joined.select(*cols([*items.columns, "pairs"]))
 
 
 def unmatched_sheets(items: DataFrame, pairs: DataFrame, *, sheet: str) -> DataFrame:

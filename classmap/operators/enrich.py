@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from classmap.functions.names import col, cols
 from classmap.functions.text import join_key
 from classmap.operators.joins import spread_join
-from classmap.operators.ordering import BUCKET_ROWS, number_rows
+from classmap.operators.ordering import number_rows
 from classmap.operators.rows import add_missing_columns, dedupe_rows
-from classmap.plans.settle import settle
 
 # The columns carried over by default.
 TRANSFER_COLUMNS = ("Type Code", "Type Description", "Coating", "Description_Expanded")
@@ -54,10 +53,11 @@ def enrich_items(
     columns: Sequence[str] = TRANSFER_COLUMNS,
     overwrite: bool = False,
     spread_by: str = "row_pos",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Fill null target cells from the lookup, or with ``overwrite`` let it win.
 
-    An empty text counts as present in the target. A target without the key column is
+    ``counts`` (``lookup_key, n``) splits hot keys ahead of the join. An empty text counts as present in the target. A target without the key column is
     returned unchanged.
     """
     if key not in target.columns:
@@ -66,7 +66,10 @@ def enrich_items(
     full = add_missing_columns(target, columns)
     source = lookup.select("lookup_key", *[col(c).alias(f"_src_{c}") for c in columns])
     keyed = full.withColumn("lookup_key", join_key(col(key), kinds[key]))
-    joined = spread_join(keyed, source, "lookup_key", "left", spread_by=spread_by)
+    if counts is None:  # adaptive execution splits a skewed key
+        joined = keyed.join(source, "lookup_key", "left")
+    else:
+        joined = spread_join(keyed, source, "lookup_key", "left", spread_by=spread_by, counts=counts)
 
     def merged(c: str) -> Column:
         mine, theirs = col(c), F.col(f"`_src_{c}`")
@@ -83,7 +86,7 @@ def extract_unique_rows(
     columns: Sequence[str],
     add_id: bool = True,
     position: str = "row_pos",
-    bucket_rows: int = BUCKET_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Chosen columns of the distinct rows, optionally numbered first.
 
@@ -92,6 +95,5 @@ def extract_unique_rows(
     unique = dedupe_rows(df, position=position).select(*cols([position, *columns]))
     if not add_id:
         return unique
-    # Numbering reads the rows twice (counts, then ranks).
-    numbered = number_rows(settle(unique, "unique"), position=position, bucket_rows=bucket_rows)
+    numbered = number_rows(unique, position=position, ranges=ranges)
     return numbered.select(*cols(["Unique_ID", position, *columns]))

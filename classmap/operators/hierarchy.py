@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from classmap.functions.names import col, cols
 from classmap.functions.text import strip
-from classmap.operators.ordering import BUCKET_ROWS, forward_fill, number_rows
+from classmap.operators.ordering import forward_fill, number_rows
 from classmap.operators.rows import drop_all_null_rows, select_level_columns
 from classmap.plans.settle import settle
 
@@ -42,7 +42,7 @@ def previous_level_key(sheet: DataFrame, levels: Sequence[str], *, position: str
 
 
 def assign_node_ids(
-    cells: DataFrame, *, position: str = "row_pos", bucket_rows: int = BUCKET_ROWS
+    cells: DataFrame, *, position: str = "row_pos", ranges: int | None = None
 ) -> DataFrame:
     """Distinct ``(level, name)`` keys, numbered in first-seen order (row, then level).
 
@@ -55,7 +55,7 @@ def assign_node_ids(
         "level", "name", "first.*"
     )
     return number_rows(
-        nodes, position="first_pos", then=["level"], out="id", bucket_rows=bucket_rows
+        nodes, position="first_pos", then=["level"], out="id", ranges=ranges
     )
 
 
@@ -85,15 +85,15 @@ def build_hierarchy(
     levels: Sequence[str] | None = None,
     keywords: Sequence[str] = ("Level",),
     position: str = "row_pos",
-    bucket_rows: int = BUCKET_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Node table ``id, name, level, level_label, parent_id, lowest_level_class``."""
     levels = select_level_columns(sheet.columns, names=levels, keywords=keywords)
     filled = forward_fill(
-        sheet.select(position, *levels), levels, position=position, bucket_rows=bucket_rows
+        sheet.select(position, *levels), levels, position=position, ranges=ranges
     )
     cells = previous_level_key(drop_all_null_rows(filled, levels), levels, position=position)
-    nodes = settle(assign_node_ids(cells, position=position, bucket_rows=bucket_rows), "nodes")
+    nodes = settle(assign_node_ids(cells, position=position, ranges=ranges), "nodes")
     return mark_leaf_nodes(link_parents(nodes))
 
 
@@ -103,13 +103,14 @@ def hierarchy_closure(
     class_id: str = "id",
     parent_id: str = "parent_id",
     leaf: str = "lowest_level_class",
-    max_depth: int = 100,
 ) -> DataFrame:
     """``(anc_id, leaf_id)``: every leaf below each class; a leaf is below itself only.
 
     Descent stops at a flagged leaf, and without a flag column every class is its own
     leaf. Each round extends all open paths by one level and is written to the shared
-    folder; ``classes`` is read once per level, so it should be a stored table. A class that reaches itself, or a path over ``max_depth``, raises.
+    folder; ``classes`` is read once per level, so it should be a stored table. Trees may
+    be of any depth. A class that reaches itself raises: every class starts a path, so a
+    cycle of n classes is seen in round n.
     """
     if leaf not in classes.columns:
         return classes.select(col(class_id).alias("anc_id"), col(class_id).alias("leaf_id"))
@@ -123,7 +124,7 @@ def hierarchy_closure(
     # Drop childless non-leaves at once: they can never reach a leaf.
     inner = tree.select(F.col("parent_id").alias("at")).where("at is not null").distinct()
     frontier = reached.where("not leaf").join(inner, "at", "left_semi")
-    for _ in range(max_depth):
+    while True:
         step = settle(
             frontier.select("anc_id", "at").join(links, "at").select(
                 "anc_id", F.col("child").alias("at"), "leaf"
@@ -134,9 +135,8 @@ def hierarchy_closure(
             F.count_if(~F.col("leaf")), F.count_if(F.col("anc_id") == F.col("at"))
         ).first()
         if cycles:
-            break
+            raise ValueError(f"{parent_id} has a cycle")
         found = found.unionByName(step.where("leaf"))
         if not open_paths:
             return found.select("anc_id", F.col("at").alias("leaf_id")).distinct()
         frontier = step.where("not leaf")
-    raise ValueError(f"{parent_id} has a cycle, or the tree is deeper than {max_depth} levels")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from classmap.functions.names import col, cols, quoted
+from classmap.functions.vector import usable_vector
 
 ROWS_PER_SPLIT = 1_000_000
 NULL_SPLITS = 1024
@@ -97,14 +98,24 @@ def intersect_ids(items: DataFrame, embeddings: DataFrame, *, id: str, emb_id: s
 
 
 def item_embedding_join(items: DataFrame, embeddings: DataFrame, *, id: str, emb_id: str = "id") -> DataFrame:
-    """Items with their vectors; either side alone is dropped."""
-    vectors = embeddings.select(col(emb_id).alias(id), "embedding")
+    """Items with their vectors; either side alone is dropped, and a null or non-finite
+    vector counts as none."""
+    vectors = embeddings.where(usable_vector("embedding")).select(col(emb_id).alias(id), "embedding")
     return items.join(vectors, id, "inner")
 
 
 def filter_by_mapping(
-    items: DataFrame, mapping: DataFrame, *, left: str, right: str, spread_by: str | Sequence[str]
+    items: DataFrame, mapping: DataFrame, *, left: str, right: str,
+    spread_by: str | Sequence[str] = (), counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Items whose id is listed; duplicates stay and a listed null matches null ids."""
-    listed = mapping.select(col(right).alias(left)).distinct()
-    return spread_join(items, listed, left, "left_semi", spread_by=spread_by, null_safe=True)
+    """Items whose id is listed; duplicates stay and a listed null matches null ids.
+
+    Without ``counts`` (the ids with ``n``) a skewed id is left to adaptive execution.
+    """
+    listed = mapping.select(col(right).alias("_listed"))
+    if counts is None:
+        return items.join(listed, items[quoted(left)].eqNullSafe(listed["_listed"]), "left_semi")
+    return spread_join(
+        items, listed.distinct().withColumnRenamed("_listed", left), left, "left_semi",
+        spread_by=spread_by, null_safe=True, counts=counts,
+    )

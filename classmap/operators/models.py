@@ -35,10 +35,12 @@ def request_hash(request) -> Column:
 
 def distinct_requests(df: DataFrame, *, request: str = "request") -> DataFrame:
     """``request_hash, request, n``: equal requests are asked once for their ``n`` rows."""
-    asked = df.where(col(request).isNotNull()).groupBy(col(request).alias("request")).agg(
-        F.count(F.lit(1)).alias("n")
+    keyed = df.where(col(request).isNotNull()).select(
+        request_hash(request).alias("request_hash"), col(request).alias("request")
+    )
+    return keyed.groupBy("request_hash").agg(
+        F.any_value("request").alias("request"), F.count(F.lit(1)).alias("n")
     )
-    return asked.select(request_hash("request").alias("request_hash"), "request", "n")
 
 
 def _call(fn: Callable, batch: list) -> list:

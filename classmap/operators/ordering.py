@@ -1,26 +1,40 @@
 """Operators that depend on row order, without putting all rows in one task.
 
-Rows are cut into buckets of consecutive positions. Each bucket is handled by its own
-window; what passes between buckets (a count, or the last value seen) is one small row
-per bucket.
+Rows are dealt out by ranges of their position and written. Each range is handled by its
+own task; what passes between ranges (a count, or the last value seen) is one small row
+per range, so sparse positions cost no more than dense ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
-from classmap.functions.names import col, cols
+from classmap.functions.names import col, cols, quoted
 from classmap.operators.joins import intersect_ids
+from classmap.plans.settle import settle
 
-BUCKET_ROWS = 1 << 20
+def _earlier() -> WindowSpec:
+    """Over the ranges before one; it holds one row per range, all in one task."""
+    return Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _bucket(position: str, rows: int) -> Column:
-    return F.floor(col(position) / F.lit(rows)).cast("bigint")
+def in_ranges(df: DataFrame, order: Sequence[str], *, ranges: int | None = None) -> DataFrame:
+    """A written copy with a ``_range`` number that rises with ``order``.
+
+    A row without a first order value has no place in the order, so that raises.
+    """
+    first = quoted(order[0])
+    placed = F.when(
+        col(order[0]).isNull(), F.raise_error(F.lit(f"a row has no {order[0]}"))
+    ).otherwise(F.lit(0))
+    checked = df.where(placed == 0)
+    by = [first, *map(quoted, order[1:])]
+    dealt = checked.repartitionByRange(ranges, *by) if ranges else checked.repartitionByRange(*by)
+    return settle(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
 
 def number_rows(
@@ -29,18 +43,15 @@ def number_rows(
     position: str = "row_pos",
     then: Sequence[str] = (),
     out: str = "Unique_ID",
-    bucket_rows: int = BUCKET_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Add 1..n in order of ``position`` (ties broken by ``then``)."""
-    cut = df.withColumn("_bucket", _bucket(position, bucket_rows))
-    counts = cut.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("_bucket").orderBy(position, *then)
+    """Add 1..n in order of ``position`` (ties broken by ``then``). A null position raises."""
+    cut = in_ranges(df, [position, *then], ranges=ranges)
+    counts = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(*cols([position, *then]))
     ranked = cut.withColumn("_rank", F.row_number().over(inside))
-    numbered = ranked.join(offsets, "_bucket")
+    numbered = ranked.join(offsets, "_range")
     number = (F.col("_offset") + F.col("_rank")).cast("bigint").alias(out)
     return numbered.select(number, *cols(df.columns))
 
@@ -50,12 +61,13 @@ def forward_fill(
     columns: Sequence[str],
     *,
     position: str = "row_pos",
-    bucket_rows: int = BUCKET_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Replace nulls by the last non-null value above, over the whole table."""
-    cut = df.withColumn("_bucket", _bucket(position, bucket_rows))
-    upto = Window.partitionBy("_bucket").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    lasts = cut.groupBy("_bucket").agg(
+    """Replace nulls by the last non-null value above, over the whole table. A null
+    position raises."""
+    cut = in_ranges(df, [position], ranges=ranges)
+    upto = Window.partitionBy("_range").orderBy(col(position)).rowsBetween(Window.unboundedPreceding, 0)
+    lasts = cut.groupBy("_range").agg(
         *[
             F.max(F.when(col(c).isNotNull(), F.struct(col(position), col(c).alias("v"))))
             .getField("v")
@@ -63,16 +75,15 @@ def forward_fill(
             for c in columns
         ]
     )
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = lasts.select(
-        "_bucket",
-        *[F.last(col(f"_last_{c}"), ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns],
+        "_range",
+        *[F.last(col(f"_last_{c}"), ignorenulls=True).over(_earlier()).alias(f"_carry_{c}") for c in columns],
     )
     filled = cut.select(
-        "_bucket",
+        "_range",
         *cols(c for c in df.columns if c not in columns),
         *[F.last(col(c), ignorenulls=True).over(upto).alias(c) for c in columns],
-    ).join(carried, "_bucket")
+    ).join(carried, "_range")
     return filled.select(
         *[
             F.coalesce(col(c), col(f"_carry_{c}")).alias(c) if c in columns else col(c)

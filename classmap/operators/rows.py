@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classmap.functions.names import col, cols
+from classmap.functions.names import col, cols, quoted
 from classmap.functions.text import nonblank, strip, text_of
-from classmap.operators.joins import spread_join
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -100,8 +99,10 @@ def dedupe_rows(df: DataFrame, *, position: str = "row_pos") -> DataFrame:
 def duplicate_report(df: DataFrame, *, position: str = "row_pos") -> DataFrame:
     """Every row whose content occurs more than once."""
     data = [c for c in df.columns if c != position]
-    repeated = df.groupBy(*cols(data)).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    return spread_join(df, repeated, data, "left_semi", spread_by=position, null_safe=True)
+    counted = df.groupBy(*cols(data)).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = counted.select(*[col(c).alias(f"_rep_{c}") for c in data])
+    same = [df[quoted(c)].eqNullSafe(repeated[quoted(f"_rep_{c}")]) for c in data]
+    return df.join(repeated, reduce(and_, same), "left_semi")  # adaptive execution splits skew
 
 
 def union_sheets(sheets: dict[str, DataFrame], *, key: str | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from classmap.functions.names import col, cols
+from classmap.functions.vector import usable_vector
 from classmap.operators.matching import _ragged
 from classmap.operators.ordering import number_rows
 from classmap.plans.settle import BROADCAST_BYTES, fetch_block, row_blocks, settle
@@ -26,8 +27,9 @@ TIE_DIGITS = 12
 
 
 def class_embedding_join(classes: DataFrame, embeddings: DataFrame, *, emb_id: str = "id") -> DataFrame:
-    """Embedded leaves in class order, with a dense ``leaf_pos``; others cannot be assigned."""
-    vectors = embeddings.select(col(emb_id).alias("class_id"), "embedding")
+    """Embedded leaves in class order, with a dense ``leaf_pos``; others cannot be assigned.
+    A null or non-finite vector counts as none."""
+    vectors = embeddings.where(usable_vector("embedding")).select(col(emb_id).alias("class_id"), "embedding")
     leaves = classes.where("leaf").select("class_pos", "class_id", "class_name").join(vectors, "class_id")
     numbered = number_rows(leaves, position="class_pos", out="_n")
     return settle(
@@ -115,7 +117,9 @@ def cosine_top_k(
         leaves, "leaf_pos", vectors=("embedding",), texts=("class_name",), max_bytes=max_bytes
     )
     if len(blocks) > 1:
-        probe = settle(probe, "vectors")
+        # Partial results are merged by row: ids may repeat.
+        probe = settle(probe.withColumn("_row", F.monotonically_increasing_id()), "vectors")
+        carried, schema = [*carried, "_row"], schema.replace(", n int,", ", _row bigint, n int,")
         closure = settle(closure, "below") if closure is not None else None
     parts = []
     for block in blocks:
@@ -174,14 +178,14 @@ def cosine_top_k(
     # A block without candidates of an item ranked it against all its leaves; that
     # counts only if no other block had candidates.
     among = F.flatten(F.collect_list(F.when(F.col("n") > 0, F.col("topk"))))
-    merged = every.groupBy(col(id)).agg(
-        *[F.first(col(c)).alias(c) for c in keep],
+    merged = every.groupBy("_row").agg(
+        *[F.first(col(c)).alias(c) for c in [id, *keep]],
         F.sum("n").cast("int").alias("candidates_count"),
         _ranked(among, k).alias("among"),
         _ranked(F.flatten(F.collect_list("topk")), k).alias("overall"),
     )
     chosen = F.when(F.col("candidates_count") > 0, F.col("among")).otherwise(F.col("overall"))
-    return merged.select(*cols(carried), "candidates_count", chosen.alias("topk"))
+    return merged.select(*cols([id, *keep]), "candidates_count", chosen.alias("topk"))
 
 
 def _ranked(entries: Column, k: int) -> Column:

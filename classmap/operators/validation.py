@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from classmap.functions.names import col
-from classmap.functions.text import format_percent
+from classmap.functions.text import format_percent, text_of
 from classmap.operators.joins import require_columns
 
 # Bucket names with their fill colours (none for an unmapped row).
@@ -40,15 +40,19 @@ def match_bucket(
     top: tuple[str, str, str] = ("top_1_class_name", "top_2_class_name", "top_3_class_name"),
     mapping: str,
 ) -> DataFrame:
-    """Add ``match_bucket`` and ``match_colour``. Null, empty and 0 mean no mapping."""
+    """Add ``match_bucket`` and ``match_colour``. Null, empty and 0 mean no mapping.
+
+    Values are compared as text, so that a number can be told from a name.
+    """
     require_columns(df, *top, mapping)
     known = col(mapping)
     absent = known.isNull() | (known.cast("string") == "")
-    if dict(df.dtypes)[mapping] != "string":
+    kinds = dict(df.dtypes)
+    if kinds[mapping] != "string":
         absent = absent | (known.cast("double") == 0)
     bucket = F.when(absent, F.lit("no_mapping"))
     for i, c in enumerate(top, start=1):
-        bucket = bucket.when(col(c) == known, F.lit(f"top{i}"))
+        bucket = bucket.when(text_of(c, kinds[c]) == text_of(mapping, kinds[mapping]), F.lit(f"top{i}"))
     bucket = bucket.otherwise(F.lit("mismatch"))
     colour = F.lit(None).cast("string")
     for name, code in COLOURS.items():

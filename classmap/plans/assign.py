@@ -54,7 +54,10 @@ def rank_classes(
 
     def check() -> None:
         if check_ids:
-            require_unique({"item": (items, item_id), "embedding": (item_emb, "id")})
+            require_unique({
+                "item": (items, item_id), "embedding": (item_emb, "id"),
+                "class": (classes, class_id), "class embedding": (class_emb, "id"),
+            })
 
     def count_names() -> DataFrame:
         return settle(distinct_names(thin, item_name=item_name), "names")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 import pyarrow as pa
@@ -19,20 +20,54 @@ T = TypeVar("T")
 BROADCAST_BYTES = 128 << 20
 
 
+# Folders written so far and not yet dropped, and those of local sessions without a setting.
+_written: list[str] = []
+_local: list[tempfile.TemporaryDirectory] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder. A local session without one, whose tasks all share
+    this machine, gets a folder that is removed when the process ends."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="classmap-")
+        _local.append(tempfile.TemporaryDirectory(prefix="classmap-", ignore_cleanup_errors=True))
+        folder = _local[-1].name
         sc.setCheckpointDir(folder)
     return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop at the end what was written inside; a plan's result must be written out or
+    collected before that."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[before:]:
+            drop_folder(spark, path)
+        del _written[before:]
+
+
+@contextmanager
+def lasting() -> Iterator[None]:
+    """Tables written inside outlive the ``scratch`` around them."""
+    before = len(_written)
+    yield
+    del _written[before:]
 
 
 def settle(df: DataFrame, name: str = "table") -> DataFrame:

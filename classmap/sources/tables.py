@@ -14,8 +14,16 @@ from classmap.operators.rows import union_sheets
 
 # Fixed value: rows looked at when guessing the header row.
 HEADER_PREVIEW_ROWS = 10
-# Fixed value: the longest sheet name a workbook may have.
-SHEET_NAME_CHARS = 31
+# Most files whose first row numbers are sent to all tasks.
+BROADCAST_FILES = 100_000
+
+
+def _no_nan(df: DataFrame) -> DataFrame:
+    """Not-a-number cells are missing cells."""
+    kinds = dict(df.dtypes)
+    return df.select(
+        *[F.when(~F.isnan(col(c)), col(c)).alias(c) if kinds[c] in ("float", "double") else col(c) for c in df.columns]
+    )
 
 
 def scan_table(
@@ -32,6 +40,7 @@ def scan_table(
 
     ``row_pos`` may name an existing order column. Otherwise Parquet rows are numbered
     by their place in the file (files in path order) and other formats by input split.
+    NaN cells become null.
     """
     reader = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {}))
     if schema is not None:
@@ -39,19 +48,20 @@ def scan_table(
     df = reader.options(**options).load(path)
     wanted = list(columns) if columns else [c for c in df.columns if c != "row_pos"]
     if row_pos is not None:
-        return df.select(col(row_pos).cast("bigint").alias("row_pos"), *cols(wanted))
+        return _no_nan(df.select(col(row_pos).cast("bigint").alias("row_pos"), *cols(wanted)))
     if fmt != "parquet":
-        return df.select(F.monotonically_increasing_id().alias("row_pos"), *cols(wanted))
+        return _no_nan(df.select(F.monotonically_increasing_id().alias("row_pos"), *cols(wanted)))
     place = F.col("_metadata.row_index")
     files = df.inputFiles()
     if len(files) == 1:
-        return df.select(place.alias("row_pos"), *cols(wanted))
+        return _no_nan(df.select(place.alias("row_pos"), *cols(wanted)))
     located = df.select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"), *cols(wanted))
     sizes = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return located.join(starts, "_file").select(
-        (F.col("_start") + F.col("_place")).alias("row_pos"), *cols(wanted)
+    starts = F.broadcast(starts) if len(files) <= BROADCAST_FILES else starts
+    return _no_nan(
+        located.join(starts, "_file").select((F.col("_start") + F.col("_place")).alias("row_pos"), *cols(wanted))
     )
 
 
@@ -65,10 +75,22 @@ def scan_sheets(
 ) -> DataFrame:
     """Every sheet of a workbook under one schema, tagged by name.
 
-    ``paths`` maps sheet names to tables, or is one folder partitioned by ``sheet=``.
+    ``paths`` maps sheet names to tables, or is one folder partitioned by ``sheet=``, whose
+    sheets come in order of their names. Its rows keep the ``row_pos`` they were written
+    with, if any.
     """
     if isinstance(paths, str):
-        return spark.read.format(fmt).options(**options).load(paths)
+        if row_pos is None and "row_pos" in spark.read.format(fmt).options(**options).load(paths).columns:
+            row_pos = "row_pos"
+        whole = scan_table(spark, paths, fmt=fmt, row_pos=row_pos, **options)
+        whole = whole.withColumn("sheet", F.col("sheet").cast("string"))
+        names = whole.groupBy("sheet").agg(F.min("row_pos").alias("_first"))
+        order = (F.row_number().over(Window.orderBy("sheet")) - 1).alias("sheet_pos")
+        places = names.select("sheet", "_first", order)  # as many rows as the folder has parts
+        tagged = whole.join(F.broadcast(places), "sheet", "left")
+        place = F.col("row_pos") - (F.col("_first") if row_pos is None else 0)
+        data = [c for c in whole.columns if c not in ("sheet", "row_pos")]
+        return tagged.select("sheet", "sheet_pos", place.alias("row_pos"), *cols(data))
     return union_sheets(
         {n: scan_table(spark, p, fmt=fmt, row_pos=row_pos, **options) for n, p in paths.items()}
     )
@@ -96,9 +118,9 @@ def promote_header(
 ) -> DataFrame:
     """Use one row of a raw grid as the header; data starts below it.
 
-    Without an index (or with 0) the header row is guessed.
+    Without an index the header row is guessed.
     """
-    if not header_row_index:
+    if header_row_index is None:
         guessed = guess_header_row(grid, position=position).first()[0]
         header_row_index = int(guessed or 0)
     data = [c for c in grid.columns if c != position]

@@ -25,7 +25,9 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """All stored replies; none before the first run."""
     try:
         return spark.read.schema(RESPONSES).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RESPONSES)
 
 

@@ -33,7 +33,7 @@ def test_tree_equals_cell_by_cell_walk(spark, width):
     sheet = spark.createDataFrame(
         [(i, *r) for i, r in enumerate(table)], "row_pos long, `Level 1` string, `Level 2` string, `Level 3` string"
     ).repartition(3)
-    got = hierarchy.build_hierarchy(sheet, bucket_rows=width).collect()
+    got = hierarchy.build_hierarchy(sheet, ranges=width).collect()
     rows = [(r["id"], r["name"], r["level"], r["parent_id"], r["lowest_level_class"]) for r in got]
     assert sorted(rows) == walk(table)
     assert {r["level_label"] for r in got} <= {"Level 1", "Level 2", "Level 3"}

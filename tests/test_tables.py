@@ -57,7 +57,7 @@ def test_required_columns_are_named(spark):
 def test_numbering_follows_row_order(spark, width, parts):
     places = sorted(random.Random(1).sample(range(5000), 200))
     df = spark.createDataFrame([(p, f"x{p}") for p in places], "row_pos long, v string").repartition(parts)
-    got = ordering.number_rows(df, bucket_rows=width).collect()
+    got = ordering.number_rows(df, ranges=width).collect()
     assert sorted((r["Unique_ID"], r["row_pos"]) for r in got) == list(enumerate(places, start=1))
 
 
@@ -65,7 +65,7 @@ def test_numbering_follows_row_order(spark, width, parts):
 def test_forward_fill_never_resets(spark, width):
     values = [None, "a", None, None, "b", None, None, None, None, "c", None]
     df = spark.createDataFrame(list(enumerate(values)), "row_pos long, `Level.1` string").repartition(3)
-    got = ordering.forward_fill(df, ["Level.1"], bucket_rows=width).collect()
+    got = ordering.forward_fill(df, ["Level.1"], ranges=width).collect()
     want, last = [], None
     for v in values:
         last = v or last
