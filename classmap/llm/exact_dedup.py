@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classmap.functions.names import col
+from classmap.functions.names import col, quoted
 from classmap.llm.common import ascii_lower, sha256_hex, text_or_empty
 from classmap.plans.settle import settle
 
@@ -111,5 +111,5 @@ def keep_rows(
     marks of an id (one, unless ids clash) are compared beside it.
     """
     marks = kept.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.collect_set(mark).alias("_marks"))
-    same = col(doc_id).eqNullSafe(F.col("_kept_id")) & F.array_contains("_marks", of_row)
+    same = docs[quoted(doc_id)].eqNullSafe(marks["_kept_id"]) & F.array_contains(marks["_marks"], of_row)
     return docs.join(marks, same, "left_semi").dropDuplicates([doc_id, text])
