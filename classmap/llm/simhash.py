@@ -9,8 +9,8 @@ radius is ever missed.
 Rows of a table that share a masked fingerprint are compared in the task that holds
 them, which emits the links of a spanning forest instead of all pairs. Groups are dealt
 out by range, so a hot one is spread over tasks. What a range boundary may have cut, and
-groups over a fixed size, are refined by a second family over other masks; there the
-free bits bound a group's size.
+groups over a fixed size, are refined by further families of other masks; in the last
+one the free bits bound a group's size.
 """
 
 from __future__ import annotations
@@ -35,8 +35,9 @@ SHINGLE_WORDS = 3
 SEED = 42
 # Shingles hashed at a time, which bounds the memory for a very long text.
 CHUNK = 1 << 16
-# Largest group that the first family compares; larger ones go to the second.
-GROUP_ROWS = 4096
+# Largest group compared as it is; larger ones are refined by the next family of masks.
+# After the last one at most 2^13 prints can share a group.
+GROUP_ROWS, LEVELS = 4096, 3
 
 
 def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
@@ -92,6 +93,11 @@ def covering_masks(level: int, radius: int = RADIUS) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
+def differing(a: np.ndarray, b: np.ndarray | np.int64) -> np.ndarray:
+    """Numbers of differing bits; ``bitwise_count`` is of the magnitude where signed."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(prints: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     """Links that join all prints reachable from each other in steps within ``radius``."""
     a, b, left = [], [], prints
@@ -99,7 +105,7 @@ def forest(prints: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
         todo, left = [left[0]], left[1:]
         while todo and len(left):
             at = todo.pop()
-            near = np.bitwise_count(left ^ at) <= radius
+            near = differing(left, at) <= radius
             if near.any():
                 found = left[near]
                 left = left[~near]
@@ -112,11 +118,12 @@ def forest(prints: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
 LINK = pa.schema([("t", pa.int32()), ("k", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _link_runs(radius: int, limit: int | None):
+def _link_runs(radius: int, limit: int | None, ranged: bool):
     """Compare runs of equal ``(t, k)`` in rows sorted by them.
 
-    Links come out with a null ``t``. With a limit, the first and the last run of a
-    task, and runs over the limit, come out unchanged as ``(t, k, a, null)``.
+    Links come out with a null ``t``. Runs over the limit and, where rows are dealt out
+    by range, the first and the last run of a task come out unchanged as ``(t, k, a,
+    null)``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +148,7 @@ def _link_runs(radius: int, limit: int | None):
             if not held:
                 return
             prints = np.concatenate(held)
-            if limit is not None and (first or last or hot or rows > limit):
+            if ranged and (first or last) or hot:
                 yield opened(*key, prints)
             elif rows > 1:
                 yield linked(*forest(prints, radius))
@@ -155,7 +162,7 @@ def _link_runs(radius: int, limit: int | None):
             pairs = np.zeros(len(starts), bool)
             pairs[1:-1] = (ends - starts == 2)[1:-1]  # whole runs of two, compared at once
             at = starts[pairs]
-            near = at[np.bitwise_count(p[at] ^ p[at + 1]) <= radius]
+            near = at[differing(p[at], p[at + 1]) <= radius]
             if len(near):
                 yield linked(p[near], p[near + 1])
             own = np.flatnonzero(~pairs & ((ends - starts > 2) | (np.arange(len(starts)) % max(1, len(starts) - 1) == 0)))
@@ -185,25 +192,31 @@ def covering_links(prints: DataFrame, *, radius: int = RADIUS, group_rows: int =
     """Links ``a, b`` that connect every two prints within ``radius``, directly or by way
     of others. ``prints`` holds each ``print`` once."""
     schema = "t int, k bigint, a bigint, b bigint"
-    first, second = covering_masks(0, radius), covering_masks(1, radius)
-    dealt = _keyed(prints, first).repartitionByRange("t", "k", "print").sortWithinPartitions("t", "k")
-    found = settle(dealt.mapInArrow(_link_runs(radius, group_rows), schema), "links")
-    # A refined group agrees on the bits of both masks, which bounds it.
-    finer = F.array(*[F.struct(F.lit(i).alias("t2"), F.lit(m).alias("m2")) for i, m in enumerate(second)])
-    kept = F.element_at(F.array(*map(F.lit, first)), F.col("t") + 1)
-    again = (
-        found.where(F.col("t").isNotNull())
-        .select("t", F.col("a").alias("print"), kept.alias("m"), F.inline(finer))
-        .select(
-            (F.col("t") * F.lit(len(second)) + F.col("t2")).cast("int").alias("t"),
-            F.col("print").bitwiseAND(F.col("m").bitwiseOR(F.col("m2"))).alias("k"),
-            "print",
-        )
-        .repartition("t", "k")
-        .sortWithinPartitions("t", "k")
+    kept = covering_masks(0, radius)
+    dealt = _keyed(prints, kept).repartitionByRange("t", "k", "print").sortWithinPartitions("t", "k")
+    found = settle(dealt.mapInArrow(_link_runs(radius, group_rows, True), schema), "links")
+    links = found.where(F.col("t").isNull()).select("a", "b")
+    for level in range(1, LEVELS):
+        # A refined group agrees on the bits of all its masks; the last ones bound it.
+        last, finer = level == LEVELS - 1, covering_masks(level, radius)
+        again = _refined(found.where(F.col("t").isNotNull()), kept, finer)
+        more = again.repartition("t", "k").sortWithinPartitions("t", "k")
+        more = more.mapInArrow(_link_runs(radius, None if last else group_rows, False), schema)
+        found = more if last else settle(more, "links")
+        links = links.union(found.where(F.col("t").isNull()).select("a", "b"))
+        kept = [a | b for a in kept for b in finer]
+    return links
+
+
+def _refined(rows: DataFrame, kept: list[int], finer: list[int]) -> DataFrame:
+    """Rows of open groups, once for each table of the next family."""
+    tables = F.array(*[F.struct(F.lit(i).alias("t2"), F.lit(m).alias("m2")) for i, m in enumerate(finer)])
+    mask = F.element_at(F.array(*map(F.lit, kept)), F.col("t") + 1)
+    return rows.select("t", F.col("a").alias("print"), mask.alias("m"), F.inline(tables)).select(
+        (F.col("t") * F.lit(len(finer)) + F.col("t2")).cast("int").alias("t"),
+        F.col("print").bitwiseAND(F.col("m").bitwiseOR(F.col("m2"))).alias("k"),
+        "print",
     )
-    more = again.mapInArrow(_link_runs(radius, None), schema)
-    return found.where(F.col("t").isNull()).select("a", "b").union(more.select("a", "b"))
 
 
 def _rooted(prints: DataFrame, radius: int, group_rows: int) -> DataFrame:
