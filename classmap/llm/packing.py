@@ -10,9 +10,11 @@ that has room left; what does not fit is cut off and goes to the next one. A pie
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 # Tokens packed together; bounds a task's memory unless one document is longer.
 BLOCK_TOKENS = 1 << 21
 ENCODE_BYTES = 1 << 20
+# Ids of different words that an encoder remembers.
+HELD_TOKENS = 3_000_000
 SEQUENCES_PER_TASK = 1 << 40
 
 PIECES = (
@@ -37,6 +41,93 @@ PIECES = (
 )
 
 
+class Encoder:
+    """Token ids of whole texts by a ``tokenizers`` file.
+
+    A byte-level tokenizer without a normaliser splits a text before every white space
+    that stands alone, so the ids of a text are those of its words put together. Each
+    different word is encoded once and remembered. Texts with white space at an end or
+    side by side, and other kinds of tokenizers, are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        parts = json.loads(self.tokenizer.to_str())
+        kind = parts["pre_tokenizer"] or {}
+        self.by_word = (
+            parts["normalizer"] is None
+            and parts["model"]["type"] == "BPE"
+            and kind.get("type") == "ByteLevel"
+            and kind.get("use_regex", False)
+            and not kind.get("add_prefix_space", True)
+        )
+        self.line_end = self._whole(["\n"])[0] if self.by_word else b""
+        # Ids of words at the start of a line, with the line end's, and of words after a
+        # space: those seen lately and before.
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.held = 0
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _learn(self, after_space: int, words: set[str]) -> None:
+        known, older = self.known[after_space], self.older[after_space]
+        new = [w for w in words if w not in older]
+        known.update((w, older[w]) for w in words if w in older)
+        if not new:
+            return
+        # All at once, each after a line end, whose id then parts them.
+        mark = "\n " if after_space else "\n"
+        (raw,) = self._whole([mark + mark.join(new)])
+        ends = np.flatnonzero(np.frombuffer(raw, "<u4") == int.from_bytes(self.line_end, "little")) * 4
+        if len(ends) == len(new):
+            cut = [*ends.tolist(), len(raw)]
+            found = [raw[a + 4 * after_space : b] for a, b in zip(cut, cut[1:], strict=False)]
+        else:
+            found = self._whole([mark[after_space:] + w for w in new])
+        known.update(zip(new, found, strict=True))
+        self.held += len(raw) // 4
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Little-endian 32-bit ids of each text."""
+        lines: list[list[list[str]] | None] = [None] * len(texts)
+        new: tuple[set[str], set[str]] = (set(), set())
+        if self.by_word:
+            first, later = self.known
+            for i, text in enumerate(texts):
+                lines[i] = [line.split(" ") for line in text.split("\n")]
+                firsts, laters = {line[0] for line in lines[i]}, set().union(*(line[1:] for line in lines[i]))
+                fresh = [w for w in firsts if w not in first], [w for w in laters if w not in later]
+                if any(not w or w[0].isspace() or w[-1].isspace() for words in fresh for w in words):
+                    lines[i] = None
+                else:
+                    new[0].update(fresh[0])
+                    new[1].update(fresh[1])
+            for after_space in (0, 1):
+                self._learn(after_space, new[after_space])
+        made = [b""] * len(texts)
+        whole = [i for i, text in enumerate(lines) if text is None]
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+            made[i] = ids
+        first, later = (k.__getitem__ for k in self.known)
+        for i, text in enumerate(lines):
+            if text is not None:
+                parts: list[bytes] = []
+                for line in text:
+                    parts.append(first(line[0]))
+                    parts.extend(map(later, line[1:]))
+                made[i] = b"".join(parts)[4:]
+        if self.held > HELD_TOKENS:
+            self.known, self.older, self.held = ({}, {}), self.known, 0
+        return [np.frombuffer(ids, "<u4") for ids in made]
+
+
 def balanced(
     lengths: Sequence[int], capacity: int = CAPACITY, linear: float = LINEAR, quadratic: float = QUADRATIC
 ) -> tuple[list[tuple[int, int, int, int, int]], list[int]]:
@@ -90,11 +181,7 @@ def pack(
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString()) + ", ids array<bigint>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        encoder = Encoder(tokenizer_path)
         task = TaskContext.get().partitionId()
         sequences, names, tokens, waiting = 0, [], [], 0
 
@@ -128,8 +215,8 @@ def pack(
                 # Texts of about ENCODE_BYTES at a time, at least one.
                 n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), ENCODE_BYTES)))
                 part = batch.slice(at, n)
-                for e in tokenizer.encode_batch_fast(part.column("text").to_pylist(), add_special_tokens=False):
-                    tokens.append(np.array([*e.ids, end_id], "<u4"))
+                for ids in encoder.encode(part.column("text").to_pylist()):
+                    tokens.append(np.append(ids, np.array(end_id, "<u4")))
                     waiting += len(tokens[-1])
                 names.append(part.column("doc_id"))
                 at += n
