@@ -13,7 +13,7 @@ a factor of hundreds, so a handful of jobs settles any size of table exactly.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +24,8 @@ from classmap.llm.common import text_or_empty
 from classmap.plans.settle import settle
 
 SHARDS = 16
-# Known group ends fetched for each interval in doubt, per round.
-MARKS = 8192
+# Pieces that a round looks at, and the most spans it puts them in.
+MARKS, MOST_SPANS = 1 << 16, 32
 
 
 def running(df: DataFrame, order: list[str], value: Column, out: str, within: Column | None = None) -> DataFrame:
@@ -47,19 +47,22 @@ def running(df: DataFrame, order: list[str], value: Column, out: str, within: Co
 
 
 class Ends:
-    """What is known about the sorted group ends: some of them, and whether more lie
-    between two known ones."""
+    """What is known about the sorted group ends: some of them, and the intervals strictly
+    inside which others lie."""
 
     def __init__(self, total: int):
-        self.at, self.more, self.total = [0, total], [True, False], total
+        self.at, self.open, self.total = [0, total], [(0, total)], total
 
     def reach(self, start: int, capacity: int, hopeful: bool) -> int:
         """The furthest end within ``capacity`` of ``start``, as far as it is known."""
         target = start + capacity
         if target >= self.total:
             return self.total
-        i = bisect_right(self.at, target) - 1
-        return target if hopeful and self.more[i] else self.at[i]
+        known = self.at[bisect_right(self.at, target) - 1]
+        i = bisect_left(self.open, (target,)) - 1
+        if hopeful and i >= 0 and (best := min(target, self.open[i][1] - 1)) > self.open[i][0]:
+            return max(known, best)
+        return known
 
     def cuts(self, capacity: int, shards: int, hopeful: bool) -> list[int]:
         out = [0]
@@ -77,69 +80,69 @@ class Ends:
                 low = middle + 1
         return low
 
-    def doubtful(self, first: int, last: int) -> tuple[int, int] | None:
-        """The gap around ``first`` to that around ``last``, if any end there is unknown."""
-        i, j = bisect_right(self.at, first) - 1, bisect_right(self.at, last) - 1
-        if not any(self.more[i : j + 1]):
-            return None
-        return self.at[i], self.at[min(j + 1, len(self.at) - 1)]
+    def doubtful(self, early: list[int], late: list[int]) -> list[tuple[int, int]]:
+        """Open intervals that may hold one of the cuts, of which bounds are given; few
+        spans that cover them."""
+        found: set[tuple[int, int]] = set()
+        for a, b in zip(early, late, strict=True):
+            first = max(0, bisect_left(self.open, (a,)) - 1)
+            found.update(x for x in self.open[first : bisect_left(self.open, (b,))] if x[1] > a < b)
+        spans = sorted(found)
+        while len(spans) > MOST_SPANS:
+            gaps = [b[0] - a[1] for a, b in zip(spans, spans[1:], strict=False)]
+            i = gaps.index(min(gaps))
+            spans[i : i + 2] = [(spans[i][0], spans[i + 1][1])]
+        return spans
 
     def learn(self, found: list[tuple[int, int, int]], spans: list[tuple[int, int]]) -> None:
         """``found``: of each piece of a span that has ends, where it starts, its last end
         and the number of its ends. A piece with more ends than are known stays open."""
-        known = dict(zip(self.at, self.more, strict=True))
-        for e in known:
-            known[e] = known[e] and not any(a <= e < b for a, b in spans)
-        self.at = sorted({*known, *(last for _, last, _ in found)})
-        self.more = [known.get(e, False) for e in self.at]
+        begins = [a for a, _ in spans]
+
+        def covered(x: tuple[int, int]) -> bool:
+            i = bisect_right(begins, x[0]) - 1
+            return i >= 0 and x[1] <= spans[i][1]
+
+        self.at = sorted({*self.at, *(last for _, last, _ in found)})
+        left = [x for x in self.open if not covered(x)]
         for start, last, n in found:
-            i, j = bisect_right(self.at, start) - 1, bisect_right(self.at, last) - 1
-            if n > j - i:
-                self.more[i:j] = [True] * (j - i)
+            if n > bisect_right(self.at, last) - bisect_right(self.at, start):
+                left.append((start, last))
+        self.open = sorted(left)
 
 
-def _finer(groups: DataFrame, spans: list[tuple[int, int]], marks: int) -> list[tuple[int, int, int]]:
-    """Start, last end and number of ends of up to ``marks`` equal pieces of each span."""
+def _finer(groups: DataFrame, spans: list[tuple[int, int]], width: int) -> list[tuple[int, int, int]]:
+    """Start, last end and number of ends of the pieces of each span that have any."""
     start = F.lit(None).cast("bigint")
     for a, b in spans:
-        width = -(-(b - a) // marks)
         own = F.lit(a) + F.floor((F.col("end") - a - 1) / width).cast("bigint") * width
         start = F.when((F.col("end") > a) & (F.col("end") <= b), own).otherwise(start)
     inside = groups.select("end", start.alias("start")).where(F.col("start").isNotNull())
     found = inside.groupBy("start").agg(F.max("end").alias("last"), F.count(F.lit(1)).alias("n"))
-    return [tuple(r) for r in found.collect()]  # at most shards x marks rows
-
-
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(set(spans)):
-        if out and a < out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    return [tuple(r) for r in found.collect()]  # at most as many rows as there are pieces
 
 
 def minimax_cuts(groups: DataFrame, shards: int = SHARDS, *, marks: int = MARKS) -> tuple[int, list[int]]:
     """The smallest feasible capacity and the ends of the greedily filled shards.
 
     ``groups`` holds ``end``, the summed size up to and including each group, and its
-    ``size``; it is read once per round and should be a written table.
+    ``size``; it is read once per round and should be a written table. A round looks at
+    about ``marks`` pieces, at least half as wide as the last one's; pieces of one byte
+    leave nothing open, so the rounds end.
     """
     row = groups.agg(F.max("end"), F.max("size")).first()
     total, largest = row[0] or 0, row[1] or 0
     if not total:
         return 0, [0] * (shards + 1)
     low, high = max(largest, -(-total // shards)), min(total, -(-total // shards) + largest)
-    ends, spans = Ends(total), [(0, total)]
+    ends, spans, width = Ends(total), [(0, total)], 2 * total
     while spans:
-        ends.learn(_finer(groups, spans, marks), spans)
+        width = max(1, min(width // 2, -(-sum(b - a for a, b in spans) // marks)))
+        ends.learn(_finer(groups, spans, width), spans)
         low = ends.smallest(low, high, shards, True)
-        # The pessimistic search may find no way yet; one with the largest try is proven.
-        tight = ends.smallest(low, high, shards, False)
-        early, late = ends.cuts(low, shards, False), ends.cuts(tight, shards, True)
-        gaps = [ends.doubtful(a, b) for a, b in zip(early[1:], late[1:], strict=True)]
-        spans = _merged([g for g in gaps if g]) if low < tight or early != ends.cuts(low, shards, True) else []
+        # Proven by known ends alone, or by the bound that always holds.
+        high = ends.smallest(low, high, shards, False)
+        spans = ends.doubtful(ends.cuts(low, shards, False), ends.cuts(high, shards, True))
     return low, ends.cuts(low, shards, False)
 
 
