@@ -28,13 +28,13 @@ def greedy(sizes, capacity):
     return out
 
 
-@pytest.mark.parametrize("marks", [4, 64, 8192])
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("marks", [4, 8192])
+@pytest.mark.parametrize("seed", range(3))
 def test_cuts_are_the_best_and_greedy(spark, seed, marks):
     rng = random.Random(seed)
     top = rng.choice([1, 9, 400, 20_000])
     sizes = [rng.randint(1, top) for _ in range(rng.choice([3, 40, 160]))]
-    if seed == 3:
+    if seed == 2:
         sizes[5 % len(sizes)] = sum(sizes) // 2  # one group with a third of everything
     shards = rng.choice([2, 5, 16])
     ends = list(accumulate(sizes))
