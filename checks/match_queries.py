@@ -245,6 +245,7 @@ def candidates(spark, sf):
 
 
 CANDS = assign_base(0.85, "none")
+FALLBACK = assign_base(0.85, "all")
 
 
 @check("expand_candidates", f"{CANDS} select item_id, leaf_id class_id from cands")
@@ -288,12 +289,17 @@ def all_ranked(spark, sf, k):
     )
 
 
-@check("cosine_all", f"{ALL_SQL} select item_id, class_id, round(sim, 4) similarity from sims")
+@check(
+    "cosine_all",
+    f"""{FALLBACK} select item_id, rk::int rank, class_id, class_name, round(sim, 4) similarity
+        from ranked join per_item using (item_id) where n_hits = 0 and rk <= 3""",
+)
 def cosine_all(spark, sf):
-    every = all_ranked(spark, sf, leaves(spark, sf).count())
-    return every.select("item_id", F.explode("topk").alias("c")).select(
-        "item_id", "c.class_id", F.round("c.sim", 4).alias("similarity")
-    )
+    """The best three of all leaves for the items whose name matches no class."""
+    found = matching.fuzzy_hits(with_vec(spark, sf), side(spark, sf), threshold=0.85, **fx.NAMES)
+    unmatched = found.where("hits is null").select("item_id", "embedding")
+    ranked = similarity.cosine_top_k(unmatched, leaves(spark, sf), k=3, id="item_id")
+    return similarity.top_n_classes(ranked, 3, id="item_id")
 
 
 @check("cosine_similarity", f"{ALL_SQL} select item_id, class_id, round(sim, 4) similarity from ranked where rk = 1")
@@ -385,6 +391,30 @@ def assign_classes(spark, sf):
     return run_assign(spark, sf, threshold=0.6)
 
 
+TEXT_ID = "'C-' || lpad({}::varchar, 6, '0')"
+
+
+def text_id(c: str):
+    return F.format_string("C-%06d", F.col(c)).alias(c)
+
+
+@check(
+    "assign_classes_text_ids",
+    "select * replace ("
+    + ", ".join(f"{TEXT_ID.format(c)} as {c}" for c in (f"top_{r}_class_id" for r in (1, 2, 3)))
+    + f") from ({assign_select(0.85, 'none')})",
+)
+def assign_classes_text_ids(spark, sf):
+    """Class ids may be texts; ties then follow their order."""
+    nodes, vectors = fx.classes(spark, sf), fx.class_emb(spark, sf)
+    parent = F.when(F.col("parent_id").isNotNull(), text_id("parent_id")).alias("parent_id")
+    named = nodes.select(text_id("id"), "name", "level", "level_label", parent, "lowest_level_class")
+    return assign.assign_classes(
+        fx.items(spark, sf), named, fx.item_emb(spark, sf), vectors.select(text_id("id"), "embedding"),
+        threshold=0.85, **fx.NAMES,
+    )
+
+
 @check("assign_classes_strict", assign_select(0.85, "none"))
 def assign_classes_strict(spark, sf):
     return run_assign(spark, sf, threshold=0.85)
@@ -395,8 +425,6 @@ def assign_classes_fallback(spark, sf):
     return run_assign(spark, sf, threshold=0.85, on_no_candidates="all")
 
 
-FALLBACK = assign_base(0.85, "all")
-
 
 @check(
     "attach_items",

@@ -8,6 +8,7 @@ requests, answering equal requests once, reading replies) is plain DataFrame wor
 from __future__ import annotations
 
 import random
+import threading
 import time
 from collections.abc import Callable, Iterator
 
@@ -43,6 +44,32 @@ def distinct_requests(df: DataFrame, *, request: str = "request") -> DataFrame:
     )
 
 
+def _within(fn: Callable, seconds: float | None) -> Callable:
+    """A call that hangs longer fails; its thread is left behind."""
+    if seconds is None:
+        return fn
+
+    def call(batch: list) -> list:
+        got: dict = {}
+
+        def run() -> None:
+            try:
+                got["replies"] = fn(batch)
+            except Exception as e:  # handed to the caller's thread
+                got["error"] = e
+
+        thread = threading.Thread(target=run, daemon=True)
+        thread.start()
+        thread.join(seconds)
+        if thread.is_alive():
+            raise TimeoutError(f"no reply within {seconds} s")
+        if "error" in got:
+            raise got["error"]
+        return got["replies"]
+
+    return call
+
+
 def _call(fn: Callable, batch: list) -> list:
     replies = list(fn(batch))
     if len(replies) != len(batch):
@@ -77,14 +104,17 @@ def invoke_model(
     delay: float = DELAY_SECONDS,
     batch: int = 64,
     tasks: int | None = None,
+    timeout: float | None = None,
 ) -> DataFrame:
     """``request_hash, raw`` for distinct requests; a failed call gives ``ERROR: …``.
 
+    A call that takes over ``timeout`` seconds counts as failed.
+
     ``requests`` should be a stored table: it is counted before it is read.
     """
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = make_fn()
+        fn = _within(make_fn(), timeout)
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]
@@ -126,6 +156,7 @@ def embed_text(
     delay: float = EMBED_DELAY_SECONDS,
     batch: int = 64,
     tasks: int | None = None,
+    timeout: float | None = None,
     check_ids: bool = True,
 ) -> DataFrame:
     """``(id, embedding)`` of rows with text; rows whose call failed are absent.
@@ -140,7 +171,7 @@ def embed_text(
         require_unique({"text": (rows, "id")})
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = make_fn()
+        fn = _within(make_fn(), timeout)
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]

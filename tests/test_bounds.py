@@ -129,6 +129,19 @@ def test_requests_are_grouped_by_hash(spark):
     assert got == {"a": 2, "b": 1}
 
 
+def test_a_hanging_call_fails(spark):
+    def make():
+        import time
+
+        return lambda batch: [time.sleep(30 if r == "hang" else 0) or r.upper() for r in batch]
+
+    asked = models.distinct_requests(spark.createDataFrame([("hang",), ("b",)], "request string"))
+    with settle.scratch(spark):
+        stored = settle.settle(asked, "asked")
+        got = {r["raw"] for r in models.invoke_model(stored, make, retries=1, delay=0, timeout=0.5).collect()}
+    assert got == {"B", "ERROR: no reply within 0.5 s"}
+
+
 def test_duplicate_rows(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "b", 1)], "row_pos bigint, x string, y bigint")
     assert sorted(r["row_pos"] for r in rows.duplicate_report(df).collect()) == [1, 2]
