@@ -66,65 +66,52 @@ class Encoder:
             and not kind.get("add_prefix_space", True)
         )
         self.line_end = self._whole(["\n"])[0] if self.by_word else b""
-        # Ids of words at the start of a line, with the line end's, and of words after a
-        # space: those seen lately and before.
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        # Ids of words, those seen lately and before. A word after a space stands for itself
+        # with the space; one at the start of a line has the line end before it.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, after_space: int, words: set[str]) -> None:
-        known, older = self.known[after_space], self.older[after_space]
-        new = [w for w in words if w not in older]
-        known.update((w, older[w]) for w in words if w in older)
+    def _learn(self, words: set[str]) -> None:
+        self.known.update((w, self.older[w]) for w in words if w in self.older)
+        # Words with other white space at an end, or of nothing else, are no words.
+        new = [
+            w for w in words
+            if w not in self.older and w and not w[-1].isspace() and not w[w[0] == "\n"].isspace()
+        ]
         if not new:
             return
         # All at once, each after a line end, whose id then parts them.
-        mark = "\n " if after_space else "\n"
-        (raw,) = self._whole([mark + mark.join(new)])
-        ends = np.flatnonzero(np.frombuffer(raw, "<u4") == int.from_bytes(self.line_end, "little")) * 4
-        if len(ends) == len(new):
-            cut = [*ends.tolist(), len(raw)]
-            found = [raw[a + 4 * after_space : b] for a, b in zip(cut, cut[1:], strict=False)]
+        (raw,) = self._whole(["".join(w if w[0] == "\n" else "\n " + w for w in new)])
+        starts = (np.flatnonzero(np.frombuffer(raw, "<u4") == int.from_bytes(self.line_end, "little")) * 4).tolist()
+        if len(starts) == len(new):
+            cut = zip(new, starts, [*starts[1:], len(raw)], strict=True)
+            self.known.update((w, raw[a if w[0] == "\n" else a + 4 : b]) for w, a, b in cut)
         else:
-            found = self._whole([mark[after_space:] + w for w in new])
-        known.update(zip(new, found, strict=True))
+            found = self._whole([w if w[0] == "\n" else " " + w for w in new])
+            self.known.update(zip(new, found, strict=True))
         self.held += len(raw) // 4
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text."""
-        lines: list[list[list[str]] | None] = [None] * len(texts)
-        new: tuple[set[str], set[str]] = (set(), set())
+        made: list[bytes | None] = [None] * len(texts)
         if self.by_word:
-            first, later = self.known
-            for i, text in enumerate(texts):
-                lines[i] = [line.split(" ") for line in text.split("\n")]
-                firsts, laters = {line[0] for line in lines[i]}, set().union(*(line[1:] for line in lines[i]))
-                fresh = [w for w in firsts if w not in first], [w for w in laters if w not in later]
-                if any(not w or w[0].isspace() or w[-1].isspace() for words in fresh for w in words):
-                    lines[i] = None
-                else:
-                    new[0].update(fresh[0])
-                    new[1].update(fresh[1])
-            for after_space in (0, 1):
-                self._learn(after_space, new[after_space])
-        made = [b""] * len(texts)
-        whole = [i for i, text in enumerate(lines) if text is None]
+            split = [("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
+            parts = [list(map(self.known.get, words)) for words in split]
+            gaps = [(i, j) for i, p in enumerate(parts) if None in p for j, ids in enumerate(p) if ids is None]
+            self._learn({split[i][j] for i, j in gaps})
+            for i, j in gaps:
+                parts[i][j] = self.known.get(split[i][j])
+            made = [None if None in p else b"".join(p)[4:] for p in parts]
+        whole = [i for i, ids in enumerate(made) if ids is None]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             made[i] = ids
-        first, later = (k.__getitem__ for k in self.known)
-        for i, text in enumerate(lines):
-            if text is not None:
-                parts: list[bytes] = []
-                for line in text:
-                    parts.append(first(line[0]))
-                    parts.extend(map(later, line[1:]))
-                made[i] = b"".join(parts)[4:]
         if self.held > HELD_TOKENS:
-            self.known, self.older, self.held = ({}, {}), self.known, 0
+            self.known, self.older, self.held = {}, self.known, 0
         return [np.frombuffer(ids, "<u4") for ids in made]
 
 
