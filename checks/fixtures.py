@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from classmap.operators.hierarchy import build_hierarchy
@@ -30,10 +30,27 @@ def items(spark, sf_dir) -> DataFrame:
     return parts.unionByName(suppliers)
 
 
-def item_emb(spark, sf_dir) -> DataFrame:
+def vectors(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
 
+def item_emb(spark, sf_dir) -> DataFrame:
+    """A vector for every item: vectors are given out in turn."""
+    given = vectors(spark, sf_dir)
+    turn = F.pmod("item_id", F.lit(given.count())).alias("turn")
+    ids = items(spark, sf_dir).select("item_id", turn)
+    return ids.join(given, ids["turn"] == given["id"]).select(F.col("item_id").alias("id"), "embedding")
+
+
+def vector_text(embedding) -> Column:
+    """A whole vector as text, in millionths."""
+    whole = F.transform(embedding, lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    return F.array_join(whole, ",").alias("vector")
+
+
+VECTOR_SQL = "array_to_string(list_transform(embedding, lambda x: round(x::double * 1000000)::bigint), ',') vector"
+
+
 def class_sheet(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("row_pos"), F.col("p_type").alias("Level 1"),
@@ -62,8 +79,8 @@ def class_emb(spark, sf_dir) -> DataFrame:
 
     def build():
         ids = classes(spark, sf_dir).select(F.col("id").alias("class"), (F.col("id") * 7).alias("id"))
-        vectors = ids.join(item_emb(spark, sf_dir), "id")
-        return vectors.select(F.col("class").alias("id"), "embedding")
+        joined = ids.join(vectors(spark, sf_dir), "id")
+        return joined.select(F.col("class").alias("id"), "embedding")
 
     return once(spark, sf_dir, "class_vectors", build)
 
@@ -88,7 +105,8 @@ items as (
   select p_partkey*2 item_id, p_name item_name, p_brand "Brand", p_type "Type", p_size "Size" from part
   union all
   select s_suppkey*2+1, s_name, null, ' ', null from supplier),
-with_vec as (select i.*, e.embedding from items i join embeddings e on e.vec_id = i.item_id)"""
+with_vec as (select i.*, e.embedding from items i join embeddings e
+  on e.vec_id = i.item_id % (select count(*) from embeddings))"""
 
 NODES_SQL = """
 lv as (

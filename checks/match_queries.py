@@ -213,9 +213,9 @@ def group_counts(spark, sf):
 # --- joins of the assignment
 
 
-@check("item_embedding_join", f"with {fx.ITEMS_SQL} select item_id, item_name, len(embedding)::int dim from with_vec")
+@check("item_embedding_join", f"with {fx.ITEMS_SQL} select item_id, item_name, {fx.VECTOR_SQL} from with_vec")
 def item_embedding_join_(spark, sf):
-    return with_vec(spark, sf).select("item_id", "item_name", F.size("embedding").alias("dim"))
+    return with_vec(spark, sf).select("item_id", "item_name", fx.vector_text("embedding"))
 
 
 @check("intersect_ids", f"with {fx.ITEMS_SQL} select item_id from with_vec")

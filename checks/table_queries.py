@@ -66,13 +66,11 @@ def promote_header(spark, sf):
 
 @check(
     "scan_embeddings",
-    "select vec_id id, len(embedding)::int dim, embedding[1]::double first_value from embeddings",
+    f"select vec_id id, {fx.VECTOR_SQL} from embeddings",
 )
 def scan_embeddings(spark, sf):
     df = tables.scan_embeddings(spark, f"{sf}/embeddings.parquet", id="vec_id")
-    return df.select(
-        "id", F.size("embedding").alias("dim"), F.get("embedding", F.lit(0)).cast("double").alias("first_value")
-    )
+    return df.select("id", fx.vector_text("embedding"))
 
 
 @check("sink_table", "select p_partkey, p_name, p_retailprice from part")
@@ -92,23 +90,21 @@ def sink_sheets(spark, sf):
     return tables.scan_sheets(spark, path)
 
 
-@check("sink_embeddings", "select vec_id id, len(embedding)::int dim from embeddings")
+@check("sink_embeddings", f"select vec_id id, {fx.VECTOR_SQL} from embeddings")
 def sink_embeddings(spark, sf):
     path = new_path(spark, "embeddings")
-    sinks.sink_embeddings(fx.item_emb(spark, sf), path)
-    return tables.scan_embeddings(spark, path).select("id", F.size("embedding").alias("dim"))
+    sinks.sink_embeddings(fx.vectors(spark, sf), path)
+    return tables.scan_embeddings(spark, path).select("id", fx.vector_text("embedding"))
 
 
 @check(
     "embeddings_to_json",
-    "select vec_id id, len(embedding)::int dim, embedding[1] first_value from embeddings",
+    f"select vec_id id, {fx.VECTOR_SQL} from embeddings",
 )
 def embeddings_to_json(spark, sf):
-    out = sinks.embeddings_to_json(fx.item_emb(spark, sf))
+    out = sinks.embeddings_to_json(fx.vectors(spark, sf))
     back = out.select(F.from_json("json", "id bigint, embedding array<float>").alias("j"))
-    return back.select(
-        "j.id", F.size("j.embedding").alias("dim"), F.get("j.embedding", F.lit(0)).alias("first_value")
-    )
+    return back.select("j.id", fx.vector_text("j.embedding"))
 
 
 @check("normalize_columns", 'select p_partkey "part key", p_name "name" from part')
@@ -362,7 +358,7 @@ def union_sheets(spark, sf):
     """select count(*) "items", min(len(embedding))::int min_dim, max(len(embedding))::int max_dim from embeddings""",
 )
 def embedding_profile(spark, sf):
-    return profile.embedding_profile(fx.item_emb(spark, sf))
+    return profile.embedding_profile(fx.vectors(spark, sf))
 
 
 @check(
@@ -370,4 +366,4 @@ def embedding_profile(spark, sf):
     "select vec_id id, len(embedding)::int dim from embeddings order by 1 limit 3",
 )
 def embedding_preview(spark, sf):
-    return profile.embedding_preview(fx.item_emb(spark, sf))
+    return profile.embedding_preview(fx.vectors(spark, sf))

@@ -58,15 +58,19 @@ def numbers_preserved(spark, sf):
     )
 
 
-TITLE_SQL = rf"(select doc_id, string_split_regex(text, '[.\n]')[1] t, text from documents)"
+LINES_SQL = """(select doc_id, unnest(string_split(text, chr(10))) t,
+    generate_subscripts(string_split(text, chr(10)), 1) line from documents)"""
 VALID_SQL = rf"""(t <> '' and not regexp_matches(t, '\p{{Nd}}') and length(t) <= 60
     and len(list_filter(string_split_regex(t, '{SPACES}+'), lambda w: w <> '')) <= 8)"""
 
 
-@check("is_valid_main_name", f"select doc_id, {VALID_SQL} valid from {TITLE_SQL}")
+@check("is_valid_main_name", f"select doc_id, line, {VALID_SQL} valid from {LINES_SQL}")
 def is_valid_main_name(spark, sf):
-    first = F.get(F.split("text", "[.\n]"), F.lit(0))
-    return docs(spark, sf).select("doc_id", text.is_valid_main_name(first).alias("valid"))
+    """Every line of every document."""
+    lines = docs(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "t"))
+    return lines.select(
+        "doc_id", (F.col("at") + 1).cast("bigint").alias("line"), text.is_valid_main_name("t").alias("valid")
+    )
 
 
 def fallback_sql(x: str) -> str:
