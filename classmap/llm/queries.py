@@ -39,7 +39,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against those labelled as good."""
     docs = _read(spark, sf_dir, "documents")
-    good = _read(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    # Labels grow with the documents, so the plan does not lean on broadcasting them.
+    good = _read(spark, sf_dir, "labels").where("quality = 1").select("doc_id").hint("merge")
     return lm_scoring.cross_entropy_difference(docs, docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
 
 
