@@ -57,11 +57,15 @@ def cosine(a, b):
 
 def leaves_below(classes, top):
     """Ids of the flagged leaves at or below a class; classes are (id, parent, leaf)."""
-    by_id = {c[0]: c for c in classes}
-    if by_id[top][2]:
-        return {top}
-    out = set()
-    for cid, parent, _ in classes:
-        if parent == top:
-            out |= leaves_below(classes, cid)
-    return out
+    parent = {c[0]: c[1] for c in classes}
+    flagged = {c[0] for c in classes if c[2]}
+
+    def climbs(leaf):
+        at = parent[leaf]
+        while at is not None and at not in flagged:
+            if at == top:
+                return True
+            at = parent.get(at)
+        return False
+
+    return {leaf for leaf in flagged if leaf == top or climbs(leaf)}

@@ -138,21 +138,23 @@ def test_default_ids(spark):
 
 # --- enrichment
 
+TRANSFERRED = ["Type Code", "Type Description", "Coating", "Description_Expanded"]
+
 
 def test_enrichment_rules(spark):
     a = spark.createDataFrame([(0, 1.0, "", "first"), (1, 1.0, "late", "second")], "row_pos long, Id double, `Coating` string, `Type Code` string")
     b = spark.createDataFrame([(0, 1.0, "b"), (1, None, "lost")], "row_pos long, Id double, `Coating` string")
-    lookup = enrich.enrichment_lookup(rows.union_sheets({"A": a, "B": b}, key="Id"), id="Id")
+    lookup = enrich.enrichment_lookup(rows.union_sheets({"A": a, "B": b}, key="Id"), id="Id", columns=TRANSFERRED)
     assert lookup.select("lookup_key", "Coating", "`Type Code`", "`Type Description`").collect() == [
         ("1", "late", "first", None)
     ]
     target = spark.createDataFrame([(0, 1, ""), (1, 1, None), (2, 5, None)], "row_pos long, `No.` int, Coating string")
-    fill = enrich.enrich_items(target, lookup, key="No.").orderBy("row_pos").collect()
+    fill = enrich.enrich_items(target, lookup, key="No.", columns=TRANSFERRED).orderBy("row_pos").collect()
     assert [r["Coating"] for r in fill] == ["", "late", None]
     assert [r["Type Code"] for r in fill] == ["first", "first", None]
-    over = enrich.enrich_items(target, lookup, key="No.", overwrite=True).orderBy("row_pos").collect()
+    over = enrich.enrich_items(target, lookup, key="No.", columns=TRANSFERRED, overwrite=True).orderBy("row_pos").collect()
     assert [r["Coating"] for r in over] == ["late", "late", None]
-    assert enrich.enrich_items(target, lookup, key="absent") is target
+    assert enrich.enrich_items(target, lookup, key="absent", columns=TRANSFERRED) is target
 
 
 # --- sources and sinks
