@@ -32,7 +32,7 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 BLOCK_TOKENS = 1 << 21
 ENCODE_BYTES = 1 << 20
 # Ids of different words that an encoder remembers.
-HELD_TOKENS = 3_000_000
+HELD_TOKENS = 1_000_000
 SEQUENCES_PER_TASK = 1 << 40
 
 PIECES = (
