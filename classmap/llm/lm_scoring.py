@@ -6,8 +6,10 @@ number of tokens, so that both are smoothed alike. A document's score is the mea
 its tokens of the target's loss minus the background's: the lower, the more it reads like
 the target.
 
-All counts are over whole tables and added up by Spark. Only the two finished tables of
-losses are sent to the tasks; the vocabulary's size bounds them.
+All counts are over whole tables and added up by Spark. Every word counts as itself: word
+and pair counts are tables, and each document's different pairs meet their losses by a
+join. With ``vocabulary_size`` only the most frequent words are told apart, and the two
+finished tables of losses, which it bounds, are sent to the tasks.
 """
 
 from __future__ import annotations
@@ -22,12 +24,14 @@ from pyspark.sql import functions as F
 
 from classmap.functions.names import col
 from classmap.llm.common import byte_texts
+from classmap.plans.settle import settle
 
-# The vocabulary is the most frequent words of the documents; all others are one unknown
-# word. Two tables of (VOCABULARY + 2)^2 32-bit losses are broadcast: 34 MB.
-VOCABULARY = 2048
+# Longest word of a vocabulary of given size.
 WORD_BYTES = 64
 SMOOTHING = 2.0
+SEED = 42
+# Mixes the numbers of two words to that of a pair.
+MIX = np.uint64(0x9E3779B97F4A7C15)
 # Different words a task holds before it passes its counts on.
 HELD_WORDS = 1 << 18
 UNKNOWN = 0
@@ -55,7 +59,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> list[bytes]:
+def vocabulary(texts: DataFrame, size: int) -> list[bytes]:
     """The most frequent words; of equally frequent ones the smaller."""
     top = count_words(texts).orderBy(F.desc("n"), "word").limit(size)
     return [bytes(r["word"]) for r in top.select("word").collect()]
@@ -114,18 +118,99 @@ def losses(counts: np.ndarray, tokens: float, smoothing: float = SMOOTHING) -> n
     return -np.log((scaled + smoothing * share) / (rows + smoothing)).astype(np.float32)
 
 
+def word_pairs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the different pairs, of their first and second words, and how often each
+    occurs; the start mark before the first word is the empty word."""
+    import xxhash
+
+    digest = xxhash.xxh64_intdigest
+    words = [b"", *text.lower().split()]
+    found = np.fromiter((digest(w, SEED) for w in words), np.uint64, len(words))
+    before, own = found[:-1], found[1:]
+    pairs, first, n = np.unique(before * MIX + own, return_index=True, return_counts=True)
+    return pairs.view(np.int64), before[first].view(np.int64), own[first].view(np.int64), n
+
+
+def _text_pairs(texts: DataFrame) -> DataFrame:
+    """``pair, before, own, n`` of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in byte_texts(batch.column(0)):
+                columns = word_pairs(t)
+                if len(columns[0]):
+                    yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["pair", "before", "own", "n"])
+
+    return texts.mapInArrow(run, "pair bigint, before bigint, own bigint, n bigint")
+
+
+def _document_pairs(rows: DataFrame) -> DataFrame:
+    """``row, doc_id, pair, n``; a document without words is one row without a pair."""
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, t in enumerate(byte_texts(batch.column("text"))):
+                pairs, _, _, n = word_pairs(t)
+                own = (pa.array(pairs), pa.array(n, pa.int32())) if len(pairs) else (pa.nulls(1, pa.int64()), pa.array([0], pa.int32()))
+                place = pa.array(np.full(len(own[0]), at))
+                names = [batch.column(c).take(place) for c in ("row", "doc_id")]
+                yield pa.record_batch([*names, *own], ["row", "doc_id", "pair", "n"])
+
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return numbered.mapInArrow(run, f"row bigint, doc_id {id_type}, pair bigint, n int")
+
+
+def pair_losses(texts: DataFrame, target: DataFrame, smoothing: float) -> DataFrame:
+    """``pair, target_loss, background_loss`` of every pair of words of either table; the
+    losses are those of ``losses`` over all words."""
+    both = _text_pairs(texts).withColumns({"t": F.lit(0), "b": F.col("n")}).unionByName(
+        _text_pairs(target).withColumns({"t": F.col("n"), "b": F.lit(0)})
+    )
+    sums = [F.sum("t").alias("t"), F.sum("b").alias("b")]
+    pairs = settle(both.groupBy("pair", "before", "own").agg(*sums), "pairs")
+    singles = settle(pairs.groupBy("own").agg(*sums), "words")
+    words, t, b = singles.agg(F.count(F.lit(1)), F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    width, tokens = words + 2, float(max(1, t))
+    firsts = pairs.groupBy("before").agg(F.sum("t").alias("before_t"), F.sum("b").alias("before_b"))
+    ends = singles.select("own", F.col("t").alias("own_t"), F.col("b").alias("own_b"))
+
+    def loss(of: str, total: int):
+        scale = tokens / max(1, total)
+        share = (F.col(f"own_{of}") * scale + 1) / (scale * total + width)
+        return -F.log((F.col(of) * scale + smoothing * share) / (F.col(f"before_{of}") * scale + smoothing))
+
+    known = pairs.join(ends, "own").join(firsts, "before")
+    return known.groupBy("pair").agg(
+        F.min(loss("t", t)).alias("target_loss"), F.min(loss("b", b)).alias("background_loss")
+    )
+
+
+def _all_words(rows: DataFrame, target: DataFrame, smoothing: float) -> DataFrame:
+    known = settle(pair_losses(rows.select("text"), target, smoothing), "losses")
+    # A frequent pair's documents are a hot key, which adaptive execution splits.
+    met = _document_pairs(rows).join(known, "pair", "left")
+    sums = met.groupBy("row", "doc_id").agg(
+        F.sum("n").alias("n_tokens"), *[F.sum(F.col("n") * F.col(c)).alias(c) for c in ("target_loss", "background_loss")]
+    )
+    means = [F.when(F.col("n_tokens") > 0, F.col(c) / F.col("n_tokens")).alias(c) for c in ("target_loss", "background_loss")]
+    out = sums.select("doc_id", "n_tokens", *means)
+    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+
+
 def cross_entropy_difference(
     docs: DataFrame,
     target: DataFrame,
     *,
     doc_id: str = "doc_id",
     text: str = "text",
-    vocabulary_size: int = VOCABULARY,
+    vocabulary_size: int | None = None,
     smoothing: float = SMOOTHING,
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, target_loss, background_loss, score``.
 
-    Tokens are lower-cased (A-Z) words between white space. The background is all of
+    Tokens are lower-cased (A-Z) words between white space, all told apart by a 64-bit hash;
+    with ``vocabulary_size`` all but so many words are one unknown word. The background is all of
     ``docs``, the target all of ``target``'s texts. Losses are means per token in nats
     and ``score`` is the target's minus the background's; a null text or one without
     words has no tokens and null losses and score. With an empty target its model is
@@ -133,6 +218,8 @@ def cross_entropy_difference(
     other columns are ignored. An empty table gives an empty result.
     """
     rows = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
+    if vocabulary_size is None:
+        return _all_words(rows, target.select(col(text).alias("text")), smoothing)
     words = vocabulary(rows.select("text"), vocabulary_size)
     width = len(words) + 2
     background = count_table(count_pairs(rows.select("text"), words), width)
