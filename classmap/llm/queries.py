@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from classmap.llm import (
+    conversations,
     decontaminate,
     exact_dedup,
     line_dedup,
@@ -83,6 +84,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows with planted faults; those that are dropped stay, marked as not present."""
+    kind = F.crc32(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    worse = rows.select(
+        "conv_id", "turn", (kind != 0).alias("present"), F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1)).alias("copies"),
+    )
+    return worse.select("*", F.explode("copies").alias("copy")).drop("copies", "copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digests(damaged(_read(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 LINES_SQL = f"""
@@ -159,6 +176,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_cost_balanced_packing,
         op10_exact_dedup,
+        op12_conversation_repair,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
