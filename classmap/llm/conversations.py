@@ -226,18 +226,14 @@ def repair_plans(rows: DataFrame) -> DataFrame:
     """``conv_id``, the counts, the cost and the audit of each conversation of :func:`marked` rows."""
     first = F.left("role", F.lit(1))
     last = F.right(F.rtrim(F.col("text"), F.lit(SPACE)), F.lit(1))
-    same = Window.partitionBy("present", "conv_id", "m1", "m2").orderBy(F.col("turn").asc_nulls_first())
-    fault = (
-        F.when(last == "", BLANK)
-        .when(F.col("nth") > 1, DUPLICATE)
-        .when(~last.isin(".", "!", "?"), CUT)
-        .otherwise(SOUND)
-    )
+    fault = F.when(last == "", BLANK).when(~last.isin(".", "!", "?"), CUT).otherwise(SOUND)
     place = F.instr(F.lit(INITIALS), first)
     kind = F.when((first == "") | (place == 0), len(INITIALS)).otherwise(place - 1)
-    thin = rows.withColumn("nth", F.row_number().over(same)).select(
-        "_key", "conv_id", *ORDER, "nth", "present", first.alias("initial"), (kind * 4 + fault).alias("sign")
-    )
+    thin = rows.select("_key", "conv_id", *ORDER, "present", first.alias("initial"), kind.alias("kind"), fault.alias("fault"))
+    same = Window.partitionBy("present", "conv_id", "m1", "m2").orderBy(F.col("turn").asc_nulls_first())
+    again = (F.col("nth") > 1) & (F.col("fault") != BLANK)
+    sign = F.col("kind") * 4 + F.when(again, DUPLICATE).otherwise(F.col("fault"))
+    thin = thin.withColumn("nth", F.row_number().over(same)).withColumn("sign", sign)
     dealt = thin.repartition("conv_id").sortWithinPartitions(
         "_key", "conv_id", F.col("turn").desc_nulls_last(), *[F.col(c).desc() for c in (*ORDER[1:], "nth")]
     )

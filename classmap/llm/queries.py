@@ -17,6 +17,7 @@ from classmap.llm import (
     quality,
     sharding,
     simhash,
+    token_files,
     url_filter,
     warc,
 )
@@ -84,6 +85,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op11_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_documents(_read(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """Rows with planted faults; those that are dropped stay, marked as not present."""
     kind = F.crc32(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])) % 20
@@ -176,6 +181,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_cost_balanced_packing,
         op10_exact_dedup,
+        op11_simple8b_token_files,
         op12_conversation_repair,
     )
 }
