@@ -11,6 +11,7 @@ from classmap.llm import (
     conversations,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     line_dedup,
     lm_scoring,
     packing,
@@ -105,6 +106,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_digests(damaged(_read(spark, sf_dir, "conversations")), present=F.col("present"))
 
 
+def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), anchor=F.col("vec_id") % 50 == 0)
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 LINES_SQL = f"""
@@ -136,6 +143,28 @@ from t join g on t.body = g.body
 """
 
 
+NEGATIVES_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as codes
+  from embeddings
+  where label is not null and vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, v.vec_id, a.label = v.label as alike,
+         list_inner_product(a.codes, v.codes)::bigint as score
+  from v as a join v on a.vec_id <> v.vec_id where a.vec_id % 50 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where alike
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, s.vec_id as negative_id, positive_score, s.score as negative_score,
+       row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id)::int as rank
+from p join s using (anchor_id)
+where not alike and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+qualify rank <= 3
+"""
+
+
 def _url_sql() -> str:
     """The same rules and vocabulary, each term as a pattern of its own."""
     fits = {
@@ -183,9 +212,15 @@ QUERIES = {
         op10_exact_dedup,
         op11_simple8b_token_files,
         op12_conversation_repair,
+        op13_hard_negative_mining,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES = {"op5_line_dedup": LINES_SQL, "op7_url_filter": _url_sql(), "op10_exact_dedup": COPIES_SQL}
+ORACLES = {
+    "op5_line_dedup": LINES_SQL,
+    "op7_url_filter": _url_sql(),
+    "op10_exact_dedup": COPIES_SQL,
+    "op13_hard_negative_mining": NEGATIVES_SQL,
+}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
