@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from classmap.llm import packing
+from classmap.llm import packing, tokens
 from tests.llm.tables import awkward, frame
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -13,7 +14,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def token_ids(text):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -44,6 +44,22 @@ def test_every_id_lies_in_one_piece(spark, block):
         assert at & (at - 1) == 0  # full or a power of two: nothing to pad
 
 
+def test_words_one_by_one_give_the_ids_of_the_text():
+    rng, pieces = random.Random(3), ["a", "Word", "word", "don't", "won't.", "été", "1,5", "x1", "...", ".,", "a.,", "-", "é!", "<|endoftext|>", "\u00a0", "\t", "ª?", "二."]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", " ", "\n", " \n", "\n\n", "  "]) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    plain, encoder = Tokenizer.from_file(PATH), tokens.Encoder(PATH)
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        assert [e.tolist() for e in encoder.encode(part)] == [plain.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_forgotten_words_are_learnt_again(monkeypatch):
+    monkeypatch.setattr(tokens, "HELD_WORDS", 5)
+    plain, encoder = Tokenizer.from_file(PATH), tokens.Encoder(PATH)
+    for text in ["one two three. four, five six", "one. two seven", "nine ten one", "two. one three", ""] * 3:
+        assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_lowest_cost_sequence_comes_first():
     pieces, used = packing.balanced([3, 8, 5, 6, 2], capacity=8)
     assert used == [8, 8, 8]
