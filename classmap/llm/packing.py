@@ -15,12 +15,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from classmap.functions.names import col
 from classmap.llm.common import text_or_empty
 from classmap.llm.tokens import encoder as text_encoder
+from classmap.llm.tokens import with_end
 
 CAPACITY = 2048
 END_ID = 1
@@ -28,7 +30,7 @@ END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 # Tokens packed together; bounds a task's memory unless one document is longer.
 BLOCK_TOKENS = 1 << 21
-ENCODE_BYTES = 1 << 20
+ENCODE_BYTES = 4 << 20
 SEQUENCES_PER_TASK = 1 << 40
 
 PIECES = (
@@ -118,15 +120,15 @@ def pack(
             return pa.record_batch(columns, heads)
 
         for batch in batches:
-            sizes = np.asarray([len(x) for x in batch.column("text").cast(pa.large_binary()).to_pylist()])
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
             at = 0
             while at < batch.num_rows:
                 # Texts of about ENCODE_BYTES at a time, at least one.
                 n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), ENCODE_BYTES)))
                 part = batch.slice(at, n)
-                for ids in encoder.encode(part.column("text").to_pylist()):
-                    tokens.append(np.append(ids, np.array(end_id, "<u4")))
-                    waiting += len(tokens[-1])
+                ids, lengths = with_end(*encoder.encode_column(part.column("text")), end_id)
+                tokens += np.split(ids, np.cumsum(lengths)[:-1])
+                waiting += len(ids)
                 names.append(part.column("doc_id"))
                 at += n
                 if waiting >= block_tokens:

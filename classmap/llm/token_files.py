@@ -3,8 +3,7 @@
 A 64-bit word holds a selector in its upper four bits and, below, as many ids of one width
 as 60 bits take. Selector 0 is the escape: its 60 bits count the ids that follow as whole
 words because they need more than 60 bits. Words hold exactly as many ids as their
-selector says, and no word spans two documents, so documents can be coded apart, moved
-and put together.
+selector says, and no word spans two documents, so documents can be read apart.
 
 A file is ``magic``, the words of its documents (little-endian), an Arrow IPC stream of
 its documents, one of its blocks, the two streams' lengths and ``magic`` again. A document
@@ -12,9 +11,9 @@ has its id, its number of ids and of the ids before it, its number of words and
 words before it. A block is up to ``BLOCK_WORDS`` words with the number of ids before it,
 so blocks are decoded each by itself, selector by selector for all words at once.
 
-Documents are coded where they are read. Only their words are shuffled, into ranges of
-ascending ids; each range's task writes its files under a name of its own attempt, and the
-stored index names the files that count. Paths may be of any store that Arrow opens.
+Documents are dealt out by ranges of ascending ids. Each range's task codes them and writes
+its files under names of its own attempt, and the stored index names the files that count.
+Paths may be of any store that Arrow opens.
 """
 
 from __future__ import annotations
@@ -34,6 +33,7 @@ from pyspark.sql import functions as F
 from classmap.functions.names import col
 from classmap.llm.common import text_or_empty
 from classmap.llm.tokens import encoder as text_encoder
+from classmap.llm.tokens import with_end
 from classmap.plans.settle import new_path, settle
 
 MAGIC = b"S8BTOKEN"
@@ -41,11 +41,14 @@ END_ID = 2
 # Ids in a word and their width in bits, by selector; selector 0 is the escape.
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 WIDTHS = np.array([0, *[60 // n for n in COUNTS[1:15]], 0])
+# By bit length, the most ids in a word; by number of ids left, the largest number a word may hold.
+ROOM = np.array([max([n for n in COUNTS[1:15] if 60 // n >= max(1, bits)], default=0) for bits in range(66)], np.uint8)
+WHOLE = np.array([max([n for n in COUNTS[1:15] if n <= left], default=0) for left in range(61)], np.uint8)
 PAYLOAD = np.uint64((1 << 60) - 1)
 BLOCK_WORDS = 1 << 13
 # A file is closed once it holds so many bytes of words, at the end of a document.
 FILE_BYTES = 128 << 20
-ENCODE_BYTES = 1 << 20
+ENCODE_BYTES = 4 << 20
 # Words decoded at a time, at least one document.
 READ_WORDS = 1 << 20
 
@@ -54,24 +57,23 @@ def pack_ids(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Words of documents that lie one after the other in ``ids``, and each one's number of words."""
     ids = ids.astype(np.uint64)
     n = len(ids)
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    left = ends - np.arange(n)
-    # Width class: the largest number of ids of this size that a word takes; 0 needs an escape.
-    fits = np.zeros(n, np.int64)
-    for selector in range(14, 0, -1):
-        fits[ids >> np.uint64(WIDTHS[selector]) == 0] = COUNTS[selector]
-    step = np.where(fits > 0, 1, 0)
+    # The most ids of this one's size that a word takes; 0 needs an escape.
+    fits = ROOM[np.frexp(ids.astype(np.float64))[1]]
     # The most ids from here on that share a word: all of them must take that number.
-    window, size = fits.copy(), 1  # least class among the next ``size`` ids
+    step = np.minimum(fits, 1)
+    window, size = fits, 1  # the least of the next ``size`` ids
     for count in COUNTS[13:0:-1].tolist():
         while size < count and len(window) > 1:
             window = np.minimum(window[:-1], fits[size:])
             size += 1
-        if size < count or window.max(initial=0) < count:
+        if size < count or window.max() < count:
             break
-        good = np.flatnonzero(window >= count)
-        good = good[left[good] >= count]
-        step[good] = count
+        head = step[: len(window)]
+        np.copyto(head, np.uint8(count), where=window >= count)
+    ends = np.cumsum(lengths)
+    tail = np.concatenate([np.arange(max(e - 60, e - n_own), e) for e, n_own in zip(ends.tolist(), lengths.tolist(), strict=True)])
+    left = np.repeat(ends, np.minimum(lengths, 60)) - tail
+    step[tail] = np.minimum(step[tail], WHOLE[left])
     # Follow the words: each starts where the one before it ends.
     jumps, starts, at = np.maximum(step, 1).tolist(), [], 0
     while at < n:
@@ -136,35 +138,21 @@ def unpack_ids(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def coded(docs: DataFrame, tokenizer_path: str, *, doc_id: str, text: str, end_id: int) -> DataFrame:
-    """``doc_id, n_tokens, words, mark, row`` per row of ``docs``."""
-    rows = docs.select(col(doc_id).alias("doc_id"), text_or_empty(col(text)).alias("text"))
-    name = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(tokenizer_path)
-        last = np.array([end_id], "<u4")
-        for batch in batches:
-            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-            before, at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), 0
-            while at < batch.num_rows:
-                # Texts of about ENCODE_BYTES at a time, at least one.
-                n = max(1, int(np.searchsorted(before, before[at] + ENCODE_BYTES)) - 1 - at)
-                part = batch.slice(at, n)
-                found = [np.append(ids, last) for ids in encoder.encode(part.column("text").to_pylist())]
-                lengths = np.array([len(f) for f in found], np.int64)
-                words, own = pack_ids(np.concatenate(found), lengths)
-                ends = np.concatenate(([0], np.cumsum(own)))
-                held = [words[a:b].astype("<u8").tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.record_batch(
-                    [part.column("doc_id"), pa.array(lengths), pa.array(held, pa.binary())], ["doc_id", "n_tokens", "words"]
-                )
-                at += n
-
-    found = rows.mapInArrow(run, f"doc_id {name}, n_tokens bigint, words binary")
-    # Rows that repeat an id come in the order of their ids' checksum; the row number deals
-    # many copies out over several ranges.
-    return found.select("*", F.crc32("words").alias("mark"), F.monotonically_increasing_id().alias("row"))
+def coded(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, list[bytes]]]:
+    """Ids of documents, their numbers of tokens and their words, for stretches of rows."""
+    encoder = text_encoder(tokenizer_path)
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        before, at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), 0
+        while at < batch.num_rows:
+            # Texts of about ENCODE_BYTES at a time, at least one.
+            n = max(1, int(np.searchsorted(before, before[at] + ENCODE_BYTES)) - 1 - at)
+            part = batch.slice(at, n)
+            ids, lengths = with_end(*encoder.encode_column(part.column("text")), end_id)
+            words, own = pack_ids(ids, lengths)
+            raw, ends = words.astype("<u8").tobytes(), np.cumsum(own).tolist()
+            yield part.column("doc_id"), lengths, [raw[8 * a : 8 * b] for a, b in zip([0, *ends], ends, strict=False)]
+            at += n
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -234,14 +222,16 @@ def write_token_files(
     documents, ids`` and ``start``, the number of ids in all files before.
 
     Documents stand in ascending order of their ids, null ids first; rows that repeat an id
-    are documents of their own, in an order that depends on their ids only. Each document
-    is the ids of its whole text (null: empty) and ``end_id``; other columns are ignored.
-    An empty table gives an empty index. A task that is run again writes new files, and
-    those it left behind are in no index.
+    are documents of their own, in the order of a hash of their texts. Each document is the
+    ids of its whole text (null: empty) and ``end_id``; other columns are ignored. An empty
+    table gives an empty index. A task that is run again writes new files, and those it
+    left behind are in no index.
     """
-    stored = settle(coded(docs, tokenizer_path, doc_id=doc_id, text=text, end_id=end_id), "coded")
-    keys = [F.col("doc_id").asc_nulls_first(), "n_tokens", "mark", "row"]
-    dealt = stored.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = docs.select(col(doc_id).alias("doc_id"), text_or_empty(col(text)).alias("text"))
+    # The row number deals many copies under one id out over several ranges.
+    rows = rows.select("*", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("row"))
+    keys = [F.col("doc_id").asc_nulls_first(), "mark", "row"]
+    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -257,9 +247,8 @@ def write_token_files(
                 ["path", "place", "documents", "ids"],
             )
 
-        for batch in batches:
-            words = batch.column("words").to_pylist()
-            tokens, at = batch.column("n_tokens").to_numpy(zero_copy_only=False), 0
+        for ids, tokens, words in coded(batches, tokenizer_path, end_id):
+            at = 0
             while at < len(words):
                 if writer is None:
                     writer = FileWriter(folder, f"{task:06d}-{number:04d}-{uuid.uuid4().hex}.s8b")
@@ -267,7 +256,7 @@ def write_token_files(
                 while end < len(words) and (room > 0 or end == at):
                     room -= len(words[end])
                     end += 1
-                writer.add(batch.column("doc_id").slice(at, end - at), tokens[at:end], words[at:end])
+                writer.add(ids.slice(at, end - at), tokens[at:end], words[at:end])
                 at = end
                 if writer.bytes >= file_bytes:
                     yield closed()
@@ -276,7 +265,7 @@ def write_token_files(
             yield closed()
 
     schema = "path string, place bigint, documents bigint, ids bigint"
-    files = settle(dealt.select("doc_id", "n_tokens", "words").mapInArrow(run, schema), "token-files")
+    files = settle(dealt.select("doc_id", "text").mapInArrow(run, schema), "token-files")
     # One row per file.
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))

@@ -7,15 +7,16 @@ import os
 import sys
 import types
 from collections.abc import Callable, Iterable
-from itertools import chain
 from typing import TypeVar
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 T = TypeVar("T")
 # Different words that an encoder remembers, seen lately and as many from before.
-HELD_WORDS = 250_000
-# What may end a word; each run of these is a piece of its own after a letter.
+HELD_WORDS = 500_000
+# Marks that may end a word; one is a piece of its own after a letter.
 TAIL = ".,;:!?"
 
 
@@ -82,25 +83,22 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         known, older = self.known, self.older
-        again = words & older.keys()
-        known.update((w, older[w]) for w in again)
-        ended, fresh = [], set()
-        for w in words - again:
+        again = {w: older[w] for w in words if w in older}
+        known.update(again)
+        fresh, rest = [], []
+        for w in words.difference(again):
+            (fresh if w.isalpha() else rest).append(w)
+        # A word that ends in one of the marks is its letters' ids and the mark's.
+        ended = [w for w in rest if w[:-1].isalpha() and w[-1] in TAIL]
+        cores = {w[:-1] for w in ended}
+        known.update({w: older[w] for w in cores if w in older})
+        fresh += cores.difference(known, fresh)
+        for w in set(rest).difference(ended):
             # Words with other white space at an end, or of nothing else, are no words.
             if not w or w[-1].isspace() or w[w[0] == "\n"].isspace():
                 known[w] = None
-                continue
-            if w[-1] in TAIL:
-                core = w.rstrip(TAIL)
-                if core and core[-1].isalpha():
-                    ended.append((w, core))
-                    w = core
-                    if w in known:
-                        continue
-                    if w in older:
-                        known[w] = older[w]
-                        continue
-            fresh.add(w)
+            else:
+                fresh.append(w)
         spaced = [w for w in fresh if w[0] != "\n"]
         if spaced:
             found = self._encoded([" " + w for w in spaced], " ", lambda ids: self.spaced[ids])
@@ -108,31 +106,70 @@ class Encoder:
         lines = [w for w in fresh if w[0] == "\n"]
         if lines:
             known.update(zip(lines, self._encoded(lines, "\n", lambda ids: ids == self.line_end), strict=True))
-        for w, core in ended:
-            tail = w[len(core) :]
-            if tail not in self.tails:
-                (self.tails[tail],) = self._whole([tail])
-            known[w] = known[core] + self.tails[tail]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Little-endian 32-bit ids of each text."""
-        made: list[bytes | None] = [None] * len(texts)
+        for mark in TAIL:
+            if mark not in self.tails:
+                (self.tails[mark],) = self._whole([mark])
+        tails = self.tails
+        known.update({w: known[w[:-1]] + tails[w[-1]] for w in ended})
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, their number per text, and which texts must be encoded whole."""
+        lines = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+        split = pc.split_pattern(lines, " ")
+        coded = split.flatten().dictionary_encode()
+        different = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        words, codes = pc.binary_join(different, " ")[0].as_py().split(" "), coded.indices.to_numpy()
+        found = list(map(self.known.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if gaps:
+            self._learn({words[i] for i in gaps})
+            for i in gaps:
+                found[i] = self.known[words[i]]
+        bad = np.zeros(len(found), bool)
+        for i in gaps:
+            if found[i] is None:
+                bad[i], found[i] = True, b""
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        own = size[codes]
+        ends, starts = np.cumsum(own), (np.cumsum(size) - size)[codes]
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(starts - ends + own, own) + np.arange(own.sum())]
+        first = split.offsets.to_numpy()[:-1].astype(np.int64)
+        lengths = np.add.reduceat(own, first)
+        whole = np.logical_or.reduceat(bad[codes], first)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        # The line end before a text's first word is not the text's.
+        keep = np.ones(len(ids), bool)
+        has = lengths > 0
+        keep[(np.cumsum(lengths) - lengths)[has & ~bad[codes[first]]]] = False
+        lengths -= has & ~bad[codes[first]]
+        return ids[keep], lengths, whole
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """32-bit ids of all texts, one after the other, and their number per text."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         if self.by_word:
-            split = [("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
-            new = set(chain.from_iterable(split)).difference(self.known)
-            if new:
-                self._learn(new)
-            for i, words in enumerate(split):
-                parts = list(map(self.known.__getitem__, words))
-                # The line end before the first word is not the text's.
-                made[i] = None if None in parts else b"".join(parts)[4:]
-            for content in self.added:
-                for i, t in enumerate(texts):
-                    if content in t:
-                        made[i] = None
-        whole = [i for i, ids in enumerate(made) if ids is None]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
-            made[i] = ids
+            ids, lengths, whole = self._by_words(texts)
+        else:
+            ids, lengths, whole = np.zeros(0, "<u4"), np.zeros(len(texts), np.int64), np.ones(len(texts), bool)
+        if whole.any():
+            at = np.flatnonzero(whole)
+            made = self._whole([texts[i].as_py() for i in at.tolist()])
+            parts = np.split(ids, np.cumsum(lengths)[:-1])
+            for i, raw in zip(at.tolist(), made, strict=True):
+                parts[i] = np.frombuffer(raw, "<u4")
+            ids, lengths = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
         if len(self.known) > HELD_WORDS:
             self.known, self.older = {}, self.known
-        return [np.frombuffer(ids, "<u4") for ids in made]
+        return ids, lengths
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """32-bit ids of each text."""
+        ids, lengths = self.encode_column(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(lengths)[:-1]) if texts else []
+
+
+def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Put an id behind each document."""
+    return np.insert(ids, np.cumsum(lengths), np.array(end_id, ids.dtype)), lengths + 1
