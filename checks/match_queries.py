@@ -253,9 +253,9 @@ def expand_candidates(spark, sf):
     return candidates(spark, sf)
 
 
-@check("distinct_candidates", f"{CANDS} select distinct leaf_id class_id from cands")
+@check("distinct_candidates", f"{CANDS} select distinct item_id, leaf_id class_id from cands")
 def distinct_candidates(spark, sf):
-    return candidates(spark, sf).select("class_id").distinct()
+    return matching.distinct_candidates(candidates(spark, sf), item_id="item_id")
 
 
 @check("candidate_count", f"{CANDS} select item_id, count(*) fuzzy_candidates_count from cands group by 1")
@@ -269,12 +269,10 @@ def candidate_count(spark, sf):
         join cands c on c.item_id = s.item_id and c.leaf_id = s.class_id""",
 )
 def cosine_candidates(spark, sf):
-    pairs = candidates(spark, sf)
-    vectors = pairs.join(with_vec(spark, sf).select("item_id", F.col("embedding").alias("a")), "item_id")
-    both = vectors.join(leaves(spark, sf).select("class_id", F.col("embedding").alias("b")), "class_id")
-    return both.select(
-        "item_id", "class_id", F.round(vector.cosine_similarity("a", "b"), 4).alias("similarity")
+    scored = similarity.cosine_candidates(
+        candidates(spark, sf), with_vec(spark, sf), leaves(spark, sf), item_id="item_id"
     )
+    return scored.withColumn("similarity", F.round("similarity", 4))
 
 
 ALL_SQL = f"""with {fx.ITEMS_SQL}, {fx.NODES_SQL},
@@ -297,7 +295,7 @@ def all_ranked(spark, sf, k):
 def cosine_all(spark, sf):
     """The best three of all leaves for the items whose name matches no class."""
     found = matching.fuzzy_hits(with_vec(spark, sf), side(spark, sf), threshold=0.85, **fx.NAMES)
-    unmatched = found.where("hits is null").select("item_id", "embedding")
+    unmatched = found.where("n_hits is null").select("item_id", "embedding")
     ranked = similarity.cosine_top_k(unmatched, leaves(spark, sf), k=3, id="item_id")
     return similarity.top_n_classes(ranked, 3, id="item_id")
 

@@ -15,6 +15,8 @@ recurrence with one NumPy lane per (pattern, window).
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -23,7 +25,10 @@ from pyspark.sql import functions as F
 LANES = 1 << 15
 # Entries of a pattern table (patterns x letters) built at a time.
 TABLE = 1 << 23
-BUCKETS = 64
+# Buckets of letter counts: lower-case letters and digits get one each.
+BUCKETS = 97
+# Names of a group that is ruled out at once.
+GROUP = 16
 ONE_SPACE = {c: " " for c in range(0x3001) if chr(c).isspace()}
 
 
@@ -38,12 +43,6 @@ class Encoded:
         self.flat[self.start + self.size] = 0
         self.codes = len(alphabet) + 2
 
-    def histogram(self) -> np.ndarray:
-        row = np.repeat(np.arange(len(self.size)), self.size + 1)
-        cell = (row * BUCKETS + self.flat % BUCKETS)[self.flat > 0]
-        counts = np.bincount(cell, minlength=len(self.size) * BUCKETS)
-        return counts.reshape(-1, BUCKETS).astype(np.int32)
-
 
 def encode(*groups: list[str]) -> list[Encoded]:
     letters = "".join(sorted(set().union(*(set(t) for g in groups for t in g))))
@@ -185,45 +184,114 @@ def lcs_lengths(left, right, ia, ib) -> np.ndarray:
 
 
 class NameBlock:
-    """A block of names prepared once, to be matched against many batches of names."""
+    """A block of names prepared once, to be matched against many batches of names.
+
+    Its tokens are numbered in text order; a name is a sorted stretch of token numbers, and
+    a token has a stretch of the names that hold it. Names of like length and letters form
+    groups with the most letters of each kind that a member has.
+    """
 
     def __init__(self, names: list[str]):
         self.names = names
-        self.tokens = [frozenset(n.split()) for n in names]
-        self.sorted = [" ".join(sorted(t)) for t in self.tokens]
-        self.owner: dict[str, list[int]] = {}
-        for row, toks in enumerate(self.tokens):
-            for t in toks:
-                self.owner.setdefault(t, []).append(row)
-
-
-class Interned:
-    """Texts numbered on first sight, starting from a given list."""
-
-    def __init__(self, texts: list[str]):
-        self.texts = list(texts)
-        self.seen: dict[str, int] = {}
-
-    def row(self, tokens: frozenset[str]) -> int:
-        text = " ".join(sorted(tokens))
-        if text not in self.seen:
-            self.seen[text] = len(self.texts)
-            self.texts.append(text)
-        return self.seen[text]
+        tokens = [sorted(set(n.split())) for n in names]
+        self.sorted = [" ".join(t) for t in tokens]
+        self.codes = {t: c for c, t in enumerate(sorted(set().union(*tokens)))}
+        self.texts = list(self.codes)
+        self.flat = np.array([self.codes[t] for own in tokens for t in own], np.int64)
+        self.count = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.count) - self.count
+        self.length = np.array([len(t) for t in self.texts], np.int64)
+        owner, order = np.repeat(np.arange(len(names)), self.count), np.argsort(self.flat, kind="stable")
+        self.holders = owner[order]
+        self.held_from = np.searchsorted(self.flat[order], np.arange(len(self.texts) + 1))
+        self.touched = 0  # pairs looked at one by one
+        plain = [n.translate(ONE_SPACE) for n in names]
+        self.size = np.fromiter(map(len, plain), np.int64, len(plain))
+        points = np.frombuffer("".join(plain).encode("utf-32-le"), np.uint32)
+        cell = np.repeat(np.arange(len(plain)) * BUCKETS, self.size) + points % BUCKETS
+        counts = np.bincount(cell, minlength=len(plain) * BUCKETS).reshape(-1, BUCKETS)
+        self.letters = np.minimum(counts, np.iinfo(np.uint16).max).astype(np.uint16)
+        self.text_size = np.fromiter(map(len, self.sorted), np.int64, len(names))
+
+    @cached_property
+    def groups(self) -> tuple[np.ndarray, ...]:
+        """Members by group, where groups start,
+        and each group's most letters, least length and least token text.
+
+        The block is halved again and again by the letter whose number differs most.
+        """
+        traits, open_, done = self.letters.astype(np.float32), [np.arange(len(self.names))], []
+        while open_:
+            rows = open_.pop()
+            if len(rows) <= GROUP:
+                done.append(rows)
+                continue
+            own = traits[rows]
+            order = np.argsort(own[:, own.var(axis=0).argmax()], kind="stable")
+            half = len(rows) // 2
+            open_ += [rows[order[:half]], rows[order[half:]]]
+        order = np.concatenate(done)
+        first = np.cumsum([0, *map(len, done[:-1])])
+        return order, first, *[
+            f.reduceat(x[order], first, axis=0)
+            for f, x in ((np.maximum, self.letters), (np.minimum, self.size), (np.minimum, self.text_size))
+        ]
+
+
+def stretches(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers start..start+count of all stretches, one after the other."""
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - start, count)
+
+
+def _tokens_of(block: NameBlock, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token of ``block[rows]``: which of the rows, its number, its place in the name."""
+    count = block.count[rows]
+    at = stretches(block.start[rows], count)
+    return np.repeat(np.arange(len(rows)), count), block.flat[at], at - np.repeat(block.start[rows], count)
+
+
+def _held(block: NameBlock, rows: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether ``block[rows]`` hold these tokens, given by the block's numbers or -1."""
+    wide = len(block.texts) + 1
+    keys = np.repeat(np.arange(len(block.count)), block.count) * wide + block.flat
+    wanted = rows * wide + codes
+    at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+    return (codes >= 0) & (keys[at] == wanted) if len(keys) else np.zeros(len(rows), bool)
+
+
+def _translated(source: NameBlock, target: NameBlock) -> np.ndarray:
+    """Numbers of the source's tokens in the target, -1 where it has none."""
+    return np.array([target.codes.get(t, -1) for t in source.texts], np.int64)
+
+
+def _rest(block: NameBlock, rows: np.ndarray, pair: np.ndarray, place: np.ndarray, shared: np.ndarray):
+    """Texts of what is left of ``block[rows]`` without the shared tokens: all texts of the
+    block, then one for each different rest, and the text of each row."""
+    taken = np.zeros((len(rows), 1 + int(block.count.max(initial=0)) // 63), np.int64)
+    np.bitwise_or.at(taken, (pair[shared], place[shared] // 63), np.int64(1) << (place[shared] % 63))
+    some = np.flatnonzero(taken.any(axis=1))
+    different, of = np.unique(np.column_stack([rows[some], taken[some]]), axis=0, return_inverse=True)
+    texts = list(block.sorted)
+    for row, *bits in different.tolist():
+        own = block.flat[block.start[row] : block.start[row] + block.count[row]].tolist()
+        texts.append(" ".join(block.texts[c] for k, c in enumerate(own) if not bits[k // 63] >> (k % 63) & 1))
+    out = rows.copy()
+    out[some] = len(block.sorted) + of.ravel()
+    return texts, out
 
 
 def token_set_ratios(left: NameBlock, right: NameBlock, ia, ib) -> np.ndarray:
     """Token-set ratio of left[ia], right[ib]."""
-    xs, ys = Interned(left.sorted), Interned(right.sorted)
-    rx, ry = ia.copy(), ib.copy()
-    n = np.zeros(len(ia), dtype=np.int64)
-    for row, (i, j) in enumerate(zip(ia.tolist(), ib.tolist())):
-        a, b = left.tokens[i], right.tokens[j]
-        if not a.isdisjoint(b):
-            both = a & b
-            n[row] = sum(map(len, both)) + len(both) - 1
-            rx[row], ry[row] = xs.row(a - both), ys.row(b - both)
-    ex, ey = encode(xs.texts, ys.texts)
+    pa, ca, ka = _tokens_of(left, ia)
+    pb, cb, kb = _tokens_of(right, ib)
+    both_a = _held(right, ib[pa], _translated(left, right)[ca])
+    both_b = _held(left, ia[pb], _translated(right, left)[cb])
+    shared = np.bincount(pa[both_a], minlength=len(ia))
+    letters = np.bincount(pa[both_a], left.length[ca[both_a]], minlength=len(ia)).astype(np.int64)
+    n = np.where(shared > 0, letters + shared - 1, 0)
+    xs, rx = _rest(left, ia, pa, ka, both_a)
+    ys, ry = _rest(right, ib, pb, kb, both_b)
+    ex, ey = encode(xs, ys)
     common = lcs_lengths(ex, ey, rx, ry)
     lx, ly = ex.size[rx], ey.size[ry]
     gap = (n > 0).astype(np.int64)
@@ -237,33 +305,59 @@ def token_set_ratios(left: NameBlock, right: NameBlock, ia, ib) -> np.ndarray:
 
 
 def _possible(probe: NameBlock, block: NameBlock, threshold: float):
-    """Two masks of pairs, False only where shared letters rule out the threshold.
+    """Pairs that may reach the threshold, and by which of the two ratios.
 
     With ``c`` letters in common (as multisets), no window ratio exceeds
     ``2c / (m + c)`` for a shorter length ``m``, and without a shared token the
-    token-set ratio is at most ``2c`` over the two token-text lengths.
+    token-set ratio is at most ``2c`` over the two token-text lengths. Both bounds rise
+    with ``c`` and fall with the lengths, so a group's most letters and least lengths
+    bound all its members; only members of groups that pass are bounded one by one. Pairs
+    with a shared token are found by the tokens' holders.
     """
-    ea, eb = encode(*([n.translate(ONE_SPACE) for n in b.names] for b in (probe, block)))
-    sa, sb = (np.array([len(t) for t in b.sorted], dtype=np.int64) for b in (probe, block))
-    ha, hb = ea.histogram(), eb.histogram()
-    shared = np.zeros((len(ha), len(hb)), dtype=np.int32)
-    for k in np.flatnonzero(ha.any(axis=0) & hb.any(axis=0)):
-        shared += np.minimum.outer(ha[:, k], hb[:, k])
+    order, first, letters, sizes, texts = block.groups
     need = threshold - 1e-9
-    windows = 2.0 * shared >= need * (np.minimum.outer(ea.size, eb.size) + shared)
-    tokens = 2.0 * shared >= need * np.add.outer(sa, sb)
-    for row, words in enumerate(probe.tokens):
-        for t in words & block.owner.keys():
-            tokens[row, block.owner[t]] = True
-    return tokens, windows
+
+    def passes(c, m, n, p, q):
+        return 2.0 * c >= need * (np.minimum(m, n) + c), 2.0 * c >= need * (p + q)
+
+    most = np.zeros((len(probe.names), len(first)), dtype=np.int32)
+    for k in np.flatnonzero(probe.letters.any(axis=0) & letters.any(axis=0)):
+        most += np.minimum.outer(probe.letters[:, k], letters[:, k])
+    windows, tokens = passes(most, probe.size[:, None], sizes[None, :], probe.text_size[:, None], texts[None, :])
+    i, g = np.nonzero(windows | tokens)
+    members = np.diff(np.append(first, len(order)))[g]
+    ia, ib = np.repeat(i, members), order[stretches(first[g], members)]
+    by_window, by_token = np.zeros(len(ia), bool), np.zeros(len(ia), bool)
+    for at in range(0, len(ia), LANES):
+        x, y = ia[at : at + LANES], ib[at : at + LANES]
+        c = np.minimum(probe.letters[x], block.letters[y]).sum(axis=1, dtype=np.int64)
+        bounds = passes(c, probe.size[x], block.size[y], probe.text_size[x], block.text_size[y])
+        by_window[at : at + LANES], by_token[at : at + LANES] = bounds
+    keep = by_window | by_token
+    block.touched += len(ia)
+    ia, ib, by_window, by_token = ia[keep], ib[keep], by_window[keep], by_token[keep]
+
+    holders, starts = block.holders, block.held_from
+    row, code, _ = _tokens_of(probe, np.arange(len(probe.count)))
+    code = _translated(probe, block)[code]
+    row, code = row[code >= 0], code[code >= 0]
+    count = starts[code + 1] - starts[code]
+    wide = len(block.count)
+    found = np.unique(np.repeat(row, count) * wide + holders[stretches(starts[code], count)])
+    block.touched += len(found)
+    keys = ia * wide + ib
+    every = np.union1d(keys, found)
+    window, token = np.zeros(len(every), bool), np.zeros(len(every), bool)
+    window[np.searchsorted(every, keys)] = by_window
+    token[np.searchsorted(every, keys)] = by_token
+    token[np.searchsorted(every, found)] = True
+    return every // max(1, wide), every % max(1, wide), token, window
 
 
 def match_names(names: list[str], block: NameBlock, threshold: float):
     """Indices and scores of every (name, block name) pair scoring at least ``threshold``."""
     probe = NameBlock(names)
-    by_token, by_window = _possible(probe, block, threshold)
-    ia, ib = np.nonzero(by_token | by_window)
-    by_token, by_window = by_token[ia, ib], by_window[ia, ib]
+    ia, ib, by_token, by_window = _possible(probe, block, threshold)
     # Scores below the threshold need not be exact.
     score = np.full(len(ia), np.nextafter(threshold, -1.0))
     score[by_token] = np.maximum(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from classmap.functions.names import col, cols
 from classmap.functions.text import strip
 from classmap.operators.ordering import forward_fill, number_rows
 from classmap.operators.rows import drop_all_null_rows, select_level_columns
-from classmap.plans.settle import settle
+from classmap.plans.settle import release, settle
 
 
 def level_path(levels: Sequence[str]) -> Column:
@@ -97,6 +98,42 @@ def build_hierarchy(
     return mark_leaf_nodes(link_parents(nodes))
 
 
+def _climb(tree: DataFrame, leaves: DataFrame) -> DataFrame:
+    """``leaf_id, anc_id, distance`` from every leaf to itself and the inner nodes above it.
+
+    ``tree`` is ``id, parent_id, leaf``; the way up ends below a node flagged as a leaf.
+    A round joins ways with ways: it knows all ancestors up to twice as far as the one
+    before, so a tree of depth d takes log2(d) rounds. Each is written, and the jumps of a
+    round take the place of those of the one before.
+    """
+    inner = tree.where("not leaf").select(F.col("id").alias("parent_id"))
+    jumps = tree.select("id", "parent_id").join(inner, "parent_id", "left_semi")
+    jumps = settle(jumps.select("id", F.col("parent_id").alias("up"), F.lit(1).cast("bigint").alias("far")).distinct(), "jumps")
+    nodes, open_ = tree.count(), not jumps.isEmpty()
+    parts = [settle(leaves.select(F.col("id").alias("leaf_id"), F.col("id").alias("anc_id"), F.lit(0).cast("bigint").alias("distance")), "climb")]
+    far = 1
+    while open_:
+        if far > nodes:
+            raise ValueError("parent_id has a cycle")
+        reached = reduce(DataFrame.unionByName, parts)
+        step = reached.join(jumps.withColumnRenamed("id", "anc_id"), "anc_id")
+        parts.append(settle(step.select("leaf_id", F.col("up").alias("anc_id"), (F.col("distance") + F.col("far")).alias("distance")).distinct(), "climb"))
+        after = jumps.select(F.col("id").alias("up"), F.col("up").alias("_up"))
+        last, jumps = jumps, settle(
+            jumps.join(after, "up").select("id", F.col("_up").alias("up"), (F.col("far") * 2).alias("far")).distinct(), "jumps"
+        )
+        release(last)
+        far, open_ = far * 2, not jumps.isEmpty()
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _tree(classes: DataFrame, class_id: str, parent_id: str, leaf: str) -> DataFrame:
+    return classes.select(
+        col(class_id).alias("id"), col(parent_id).alias("parent_id"),
+        F.coalesce(col(leaf), F.lit(False)).alias("leaf"),
+    )
+
+
 def hierarchy_closure(
     classes: DataFrame,
     *,
@@ -107,36 +144,34 @@ def hierarchy_closure(
     """``(anc_id, leaf_id)``: every leaf below each class; a leaf is below itself only.
 
     Descent stops at a flagged leaf, and without a flag column every class is its own
-    leaf. Each round extends all open paths by one level and is written to the shared
-    folder; ``classes`` is read once per level, so it should be a stored table. Trees may
-    be of any depth. A class that reaches itself raises: every class starts a path, so a
-    cycle of n classes is seen in round n.
+    leaf. Trees may be of any depth: paths are joined with paths, so their length doubles
+    from round to round. A class that reaches itself raises.
     """
     if leaf not in classes.columns:
         return classes.select(col(class_id).alias("anc_id"), col(class_id).alias("leaf_id"))
-    tree = classes.select(
-        col(class_id).alias("id"), col(parent_id).alias("parent_id"),
-        F.coalesce(col(leaf), F.lit(False)).alias("leaf"),
+    tree = _tree(classes, class_id, parent_id, leaf)
+    return _climb(tree, tree.where("leaf")).select("anc_id", "leaf_id").distinct()
+
+
+def nested_leaves(side: DataFrame, leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leaves numbered depth first, so that those below a class are one range.
+
+    ``side`` is a class table (``class_pos, class_id, parent_id, leaf``), ``leaves`` the
+    leaves to number. Gives the leaves with ``leaf_no`` (from 0) and ``class_pos, lo, hi``
+    of the classes that have any: their leaves are ``lo`` to ``hi - 1``.
+    """
+    tree = side.select(F.col("class_id").alias("id"), "parent_id", "leaf")
+    ways = _climb(tree, leaves.select(F.col("class_id").alias("id")))
+    places = side.select(F.col("class_id").alias("anc_id"), F.col("class_pos").alias("anc_pos"))
+    ways = ways.join(places, "anc_id")
+    # The way from the top down sorts the leaves depth first.
+    down = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), "anc_pos"))), lambda x: x["anc_pos"])
+    order = ways.groupBy("leaf_id").agg(down.alias("way"))
+    numbered = number_rows(order, position="way", out="_n").select("leaf_id", (F.col("_n") - 1).alias("leaf_no"))
+    numbered = settle(numbered, "leaf-numbers")
+    number = F.col("leaf_no")
+    ranges = ways.join(numbered, "leaf_id").groupBy(F.col("anc_pos").alias("class_pos")).agg(
+        F.min(number).alias("lo"), (F.max(number) + 1).alias("hi")
     )
-    links = tree.select(F.col("id").alias("child"), F.col("parent_id").alias("at"), "leaf")
-    reached = tree.select(F.col("id").alias("anc_id"), F.col("id").alias("at"), "leaf")
-    found = reached.where("leaf")
-    # Drop childless non-leaves at once: they can never reach a leaf.
-    inner = tree.select(F.col("parent_id").alias("at")).where("at is not null").distinct()
-    frontier = reached.where("not leaf").join(inner, "at", "left_semi")
-    while True:
-        step = settle(
-            frontier.select("anc_id", "at").join(links, "at").select(
-                "anc_id", F.col("child").alias("at"), "leaf"
-            ).distinct(),
-            "closure",
-        )
-        open_paths, cycles = step.agg(
-            F.count_if(~F.col("leaf")), F.count_if(F.col("anc_id") == F.col("at"))
-        ).first()
-        if cycles:
-            raise ValueError(f"{parent_id} has a cycle")
-        found = found.unionByName(step.where("leaf"))
-        if not open_paths:
-            return found.select("anc_id", F.col("at").alias("leaf_id")).distinct()
-        frontier = step.where("not leaf")
+    placed = leaves.join(numbered.withColumnRenamed("leaf_id", "class_id"), "class_id")
+    return settle(placed, "leaves"), settle(ranges, "class-ranges")

@@ -1,16 +1,16 @@
 """Fuzzy join: every (name, class) pair whose fuzzy score reaches a threshold.
 
 The comparison is not an equality, so it cannot be hashed into place. Its cost is kept
-down by comparing distinct lower-cased names only, by a lossless letter-count filter
-before any scoring, and by shipping the class names (never the items) to the tasks, in
-blocks of proven size.
+down by comparing distinct lower-cased names only, by lossless letter-count filters on
+groups of names and then on pairs, and by token postings. Names and class names are dealt
+into splits and blocks that meet in tasks; hits are rows, and no array grows with them.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from classmap.functions.names import col, cols
@@ -18,17 +18,19 @@ from classmap.functions import fuzzy
 from classmap.functions.text import level_label
 from classmap.operators.joins import require_columns, spread_join
 from classmap.operators.ordering import number_rows
-from classmap.plans.settle import fetch_block, row_blocks, settle, task_count
+from classmap.plans.blocks import BLOCK, SPLIT, block_count, pair_blocks
+from classmap.plans.settle import settle, task_count
 
 # How many hits are listed by name, and the text for none.
 LISTED_HITS = 20
 NO_MATCH = "No fuzzy match"
-# Bytes of class names per broadcast (their token sets take several times as much).
-NAME_BYTES = 16 << 20
+# Class names of a block.
+BLOCK_NAMES = 8192
 # Fewest and most pairs a task should compare (about 0.1 s and 20 s of work).
 PAIRS_PER_TASK = (100_000, 20_000_000)
 # Cells of the name x class matrix a task holds at a time.
 CELLS = 1 << 20
+PAIR_HEADS = ["name_no", "match_name", "score"]
 
 
 def class_table(
@@ -69,108 +71,71 @@ def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(counts.sum())) - np.repeat(offset - starts, counts)
 
 
-def _hit_lists(names, block: fuzzy.NameBlock, owners, table: pa.Table, threshold: float):
-    """Per name: matched class rows in class order, with scores and the first labels."""
-    starts, counts, rows_of = owners
-    i, j, score = fuzzy.match_names(names, block, threshold)
-    reps = counts[j]
-    who, rows = np.repeat(i, reps), rows_of[_ragged(starts[j], reps)]
-    score = np.repeat(score, reps)
-    order = np.lexsort((rows, who))
-    who, rows, score = who[order], rows[order], score[order]
-    found, n = np.unique(who, return_counts=True)
-    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-    hits = pa.StructArray.from_arrays(
-        [
-            table["class_pos"].combine_chunks().take(pa.array(rows)).cast(pa.int32()),
-            table["class_id"].combine_chunks().take(pa.array(rows)),
-            pa.array(score),
-        ],
-        names=["class_pos", "class_id", "score"],
-    )
-    shown = np.minimum(n, LISTED_HITS)
-    labels = table["label"].combine_chunks().take(pa.array(rows[_ragged(ends[:-1].astype(np.int64), shown)]))
-    label_ends = np.concatenate([[0], np.cumsum(shown)]).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([names[k] for k in found], pa.string()),
-            pa.ListArray.from_arrays(pa.array(ends), hits),
-            pa.ListArray.from_arrays(pa.array(label_ends), labels),
-        ],
-        names=["match_name", "hits", "labels"],
-    )
-
-
-def name_hits(
+def name_pairs(
     names: DataFrame,
     classes: DataFrame,
     *,
     threshold: float = 0.6,
-    max_bytes: int = NAME_BYTES,
-    tasks: int | None = None,
+    count: int | None = None,
+    block_names: int = BLOCK_NAMES,
+    splits: int | None = None,
 ) -> DataFrame:
-    """``match_name, hits array<struct(class_pos, class_id, score)>, labels`` for names
-    with at least one hit. ``names`` is a stored table of distinct ``match_name``;
-    ``classes`` comes from :func:`class_table`."""
+    """``name_no, match_name, score`` for each class name that a name is near to.
+
+    ``names`` is a stored table of distinct ``match_name`` with ``name_no``; ``classes``
+    comes from :func:`class_table`. Class names are compared once each, whatever the number
+    of classes that bear them. They are dealt into blocks by length and letters, so that
+    like names are in one block and whole groups of them can be ruled out at once.
+    """
     spark = names.sparkSession
-    side = classes.where(F.col("match_name").isNotNull()).select(
-        "class_pos", "class_id", "match_name", "label"
-    )
-    blocks = row_blocks(side, "class_pos", texts=("match_name", "label"), max_bytes=max_bytes)
-    kind = classes.schema["class_id"].dataType.simpleString()
-    schema = (
-        f"match_name string, hits array<struct<class_pos:int,class_id:{kind},score:double>>, "
-        "labels array<string>"
-    )
-    compared = names.count() * (blocks[-1][1] if blocks else 0)
-    probe = names.select("match_name").repartition(
-        tasks or task_count(spark, compared, *PAIRS_PER_TASK)
-    )
-    parts = []
-    for number, block in enumerate(blocks):
-        shipped = spark.sparkContext.broadcast(fetch_block(side, "class_pos", block))
-
-        def match(batches, shipped=shipped):
-            table = shipped.value
-            distinct, owner = np.unique(
-                np.array(table["match_name"].to_pylist(), dtype=object), return_inverse=True
-            )
-            counts = np.bincount(owner, minlength=len(distinct))
-            owners = (np.cumsum(counts) - counts, counts, np.argsort(owner, kind="stable"))
-            prepared = fuzzy.NameBlock(list(distinct))
-            step = max(1, CELLS // max(1, len(distinct)))
-            for batch in batches:
-                texts = batch.column(0).to_pylist()
-                for at in range(0, len(texts), step):
-                    yield _hit_lists(texts[at : at + step], prepared, owners, table, threshold)
-
-        parts.append(probe.mapInArrow(match, schema).withColumn("_block", F.lit(number)))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    if len(parts) == 1:
-        return parts[0].drop("_block")
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    merged = every.groupBy("match_name").agg(
-        F.array_sort(F.collect_list(F.struct("_block", "hits", "labels"))).alias("m")
-    )
-    return merged.select(
-        "match_name",
-        F.flatten("m.hits").alias("hits"),
-        F.slice(F.flatten("m.labels"), 1, LISTED_HITS).alias("labels"),
-    )
+    each = classes.where(F.col("match_name").isNotNull()).select("match_name").distinct()
+    total, n = each.count(), names.count() if count is None else count
+    blocks = block_count(total, block_names)
+    each = each.select(F.col("match_name").alias("class_name"), F.pmod(F.xxhash64("match_name"), F.lit(blocks)).cast("int").alias(BLOCK))
+    parts = splits or task_count(spark, n * total, *PAIRS_PER_TASK)
+    dealt = names.select("name_no", "match_name", F.pmod(F.xxhash64("match_name"), F.lit(parts)).cast("int").alias(SPLIT))
+
+    def match(a: pa.Table, b: pa.Table) -> pa.Table:
+        texts, others = a["match_name"].to_pylist(), b["class_name"].to_pylist()
+        out = []
+        if others:
+            prepared = fuzzy.NameBlock(others)
+            step = max(1, CELLS // len(others))
+            number, theirs = a["name_no"].combine_chunks(), b["class_name"].combine_chunks()
+            for at in range(0, len(texts), step):
+                i, j, score = fuzzy.match_names(texts[at : at + step], prepared, threshold)
+                out.append(pa.table([number.take(pa.array(i + at)), theirs.take(pa.array(j)), pa.array(score)], PAIR_HEADS))
+        return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in (pa.int64(), pa.string(), pa.float64())], PAIR_HEADS)
+
+    return pair_blocks(dealt, each, parts, blocks, match, "name_no bigint, match_name string, score double")
+
+
+def class_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of names with every class that bears the matched name."""
+    side = classes.where(F.col("match_name").isNotNull()).select("match_name", "class_pos", "class_id", "label")
+    return pairs.join(side, "match_name").select("name_no", "class_pos", "class_id", "label", "score")
+
+
+def name_summary(pairs: DataFrame) -> DataFrame:
+    """``name_no, n_hits, labels`` of :func:`class_pairs`: the first labels in class order."""
+    order = Window.partitionBy("name_no").orderBy("class_pos")
+    first = pairs.withColumn("_at", F.row_number().over(order))
+    shown = F.when(F.col("_at") <= LISTED_HITS, F.struct("_at", "label"))
+    listed = first.groupBy("name_no").agg(F.count(F.lit(1)).cast("int").alias("n_hits"), F.array_sort(F.collect_list(shown)).alias("_shown"))
+    return listed.select("name_no", "n_hits", F.col("_shown.label").alias("labels"))
 
 
 def distinct_names(items: DataFrame, *, item_name: str) -> DataFrame:
-    """Distinct lower-cased item names with their number of rows ``n``.
+    """Distinct lower-cased item names with their number of rows ``n``, written once and
+    numbered by ``name_no`` (without an order).
 
     A missing name never matches anything.
     """
     names = items.select(F.lower(col(item_name).cast("string")).alias("match_name"))
-    return names.where(F.col("match_name").isNotNull()).groupBy("match_name").agg(
+    counted = names.where(F.col("match_name").isNotNull()).groupBy("match_name").agg(
         F.count(F.lit(1)).alias("n")
     )
+    return settle(counted.withColumn("name_no", F.monotonically_increasing_id()), "names")
 
 
 def with_match_name(items: DataFrame, item_name: str) -> DataFrame:
@@ -186,15 +151,17 @@ def fuzzy_hits(
     threshold: float = 0.6,
     **limits,
 ) -> DataFrame:
-    """Items with their ``hits`` and ``labels`` (null without a hit).
+    """Items with the number of classes their name matches, ``n_hits``, and the first
+    ``labels`` (null without a hit).
 
     Names are counted once: the counts feed the comparison and tell which names are too
     frequent for one task of the join back to the items.
     """
-    names = settle(distinct_names(items, item_name=item_name), "names")
-    hits = settle(name_hits(names, classes, threshold=threshold, **limits), "hits")
+    names = distinct_names(items, item_name=item_name)
+    pairs = settle(name_pairs(names, classes, threshold=threshold, **limits), "pairs")
+    told = names.join(name_summary(class_pairs(pairs, classes)), "name_no").select("match_name", "n_hits", "labels")
     return spread_join(
-        with_match_name(items, item_name), hits, "match_name", "left",
+        with_match_name(items, item_name), told, "match_name", "left",
         spread_by=item_id, counts=names,
     ).drop("match_name")
 
@@ -211,19 +178,23 @@ def fuzzy_join(
     order: str | None = None,
     **limits,
 ) -> DataFrame:
-    """``(item id, class_id, score)`` for every pair at or above the threshold."""
+    """``(item id, class_id, score)`` for every pair at or above the threshold.
+
+    Pairs stay rows throughout: names meet class names, matched names their classes, and
+    the rows of hot item names are spread over tasks.
+    """
     side = class_table(classes, class_id=class_id, class_name=class_name, order=order)
-    hit = fuzzy_hits(
-        items.select(*cols([item_id, item_name])), side,
-        item_id=item_id, item_name=item_name, threshold=threshold, **limits,
-    )
-    pairs = hit.select(col(item_id), F.explode("hits").alias("h"))
-    return pairs.select(col(item_id), F.col("h.class_id").alias("class_id"), F.col("h.score").alias("score"))
+    thin = items.select(*cols([item_id, item_name]))
+    names = distinct_names(thin, item_name=item_name)
+    pairs = settle(name_pairs(names, side, threshold=threshold, **limits), "pairs")
+    told = names.join(class_pairs(pairs, side), "name_no").select("match_name", F.col("class_id").alias("_class"), F.col("score").alias("_score"))
+    found = spread_join(with_match_name(thin, item_name), told, "match_name", "inner", spread_by=item_id, counts=names)
+    return found.select(col(item_id), F.col("_class").alias("class_id"), F.col("_score").alias("score"))
 
 
-def hit_names(hits="hits", labels="labels") -> Column:
+def hit_names(n_hits="n_hits", labels="labels") -> Column:
     """First hits in class order by label, the number left out, or a no-match text."""
-    n = F.coalesce(F.size(col(hits)), F.lit(0))
+    n = F.coalesce(col(n_hits), F.lit(0))
     more = F.when(
         n > LISTED_HITS,
         F.array(F.concat(F.lit("...(+"), (n - LISTED_HITS).cast("string"), F.lit(" more)"))),
@@ -243,5 +214,10 @@ def expand_candidates(pairs: DataFrame, closure: DataFrame, leaves: DataFrame, *
     return below.select(col(item_id), F.col("leaf_id").alias("class_id")).distinct()
 
 
+def distinct_candidates(candidates: DataFrame, *, item_id: str | None = None) -> DataFrame:
+    """The different candidate classes of each item, or of all items without ``item_id``."""
+    return candidates.select(*([col(item_id)] if item_id else []), "class_id").distinct()
+
+
 def candidate_count(candidates: DataFrame, *, item_id: str) -> DataFrame:
     return candidates.groupBy(col(item_id)).agg(F.count(F.lit(1)).alias("fuzzy_candidates_count"))

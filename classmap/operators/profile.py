@@ -19,7 +19,7 @@ def embedding_preview(embeddings: DataFrame, n: int = 3, *, id: str = "id") -> D
     return embeddings.select(id, F.size("embedding").alias("dim")).orderBy(id).limit(n)
 
 
-def group_counts(hits: DataFrame, *, hit_list: str = "hits") -> DataFrame:
+def group_counts(hits: DataFrame, *, n_hits: str = "n_hits") -> DataFrame:
     """How many items matched some class by name and how many matched none."""
-    branch = F.when(F.coalesce(F.size(hit_list), F.lit(0)) > 0, "fuzzy").otherwise("no fuzzy match")
+    branch = F.when(F.coalesce(F.col(n_hits), F.lit(0)) > 0, "fuzzy").otherwise("no fuzzy match")
     return hits.groupBy(branch.alias("branch")).agg(F.count(F.lit(1)).alias("items"))

@@ -1,8 +1,8 @@
 """Cosine top-k of item vectors against class vectors, as blocked matrix products.
 
-Class vectors are shipped to the tasks in blocks of proven size; items stream past in
-Arrow batches. Each block yields a partial top-k per item, and with several blocks the
-partial results are merged per item.
+Class vectors are rows dealt into blocks, items are dealt into splits, and a task compares
+one split with one block. Each block yields a partial top-k per item, and with several
+blocks the partial results are merged per item. Nothing of either side passes the driver.
 """
 
 from __future__ import annotations
@@ -11,17 +11,22 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from classmap.functions.names import col, cols
 from classmap.functions.vector import usable_vector
 from classmap.operators.matching import _ragged
 from classmap.operators.ordering import number_rows
-from classmap.plans.settle import BROADCAST_BYTES, fetch_block, row_blocks, settle
+from classmap.plans.blocks import BLOCK, SPLIT, block_count, pair_blocks, split_rows
+from classmap.plans.settle import settle
 
 # Cells of the item x class similarity matrix a task holds at a time.
 CELLS = 1 << 22
+# Leaves of a block, and the fewest and most items of a split.
+BLOCK_LEAVES = 8192
+SPLIT_ROWS = (2048, 65536)
 # Similarities closer than this are ties (matrix products vary in the last bits).
 TIE_DIGITS = 12
 
@@ -81,111 +86,132 @@ def _struct_lists(cols, vals, table: pa.Table) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), structs)
 
 
+def merge_ranges(ranges: DataFrame, by: str) -> DataFrame:
+    """Overlapping and touching ``lo, hi`` of each ``by`` made one."""
+    order = Window.partitionBy(by).orderBy("lo", "hi")
+    before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ranges.select(by, "lo", "hi", F.coalesce(F.col("lo") > before, F.lit(True)).cast("int").alias("_new"))
+    placed = opened.withColumn("_at", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return placed.groupBy(by, "_at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_at")
+
+
+def _inside(names: np.ndarray, ranges: pa.Table, first: int, width: int) -> np.ndarray:
+    """Which of ``width`` leaf numbers from ``first`` on lie in the ranges of each name."""
+    order = np.argsort(ranges["name_no"].to_numpy(), kind="stable")
+    of = ranges["name_no"].to_numpy()[order]
+    lo, hi = (np.clip(ranges[c].to_numpy()[order] - first, 0, width) for c in ("lo", "hi"))
+    a, b = np.searchsorted(of, names), np.searchsorted(of, names, "right")
+    row, at = np.repeat(np.arange(len(names)), b - a), _ragged(a, b - a)
+    edges = np.zeros((len(names), width + 1), np.int32)
+    np.add.at(edges, (row, lo[at]), 1)
+    np.add.at(edges, (row, hi[at]), -1)
+    return np.cumsum(edges[:, :-1], axis=1) > 0
+
+
 def cosine_top_k(
     items: DataFrame,
     leaves: DataFrame,
     *,
     k: int,
     id: str,
-    closure: DataFrame | None = None,
-    on_no_candidates: str = "all",
+    ranges: DataFrame | None = None,
     keep: Sequence[str] = (),
-    max_bytes: int = BROADCAST_BYTES,
+    rows: int | None = None,
+    block_leaves: int = BLOCK_LEAVES,
+    split: tuple[int, int] = SPLIT_ROWS,
 ) -> DataFrame:
     """``id, <keep>, candidates_count, topk array<struct(class_pos, class_id, class_name, sim)>``.
 
-    ``items`` holds ``id``, ``embedding`` and, with ``closure``, ``hit_pos``: the class
-    positions an item matched by name. ``closure`` is ``(anc_pos, leaf_pos)``; an item is
-    compared with the leaves below its hits. Without hits it is compared with all leaves;
-    with hits but no embedded leaf below them, ``on_no_candidates`` decides: "all" or
-    "none".
+    ``items`` holds ``id`` and ``embedding``; ``leaves`` a dense number ``leaf_no`` or
+    ``leaf_pos``. With ``ranges`` (``name_no, lo, hi``, none of a name overlapping) items
+    also hold ``name_no`` and are compared with the leaves in their name's ranges; a null
+    ``name_no`` means all leaves, which are not counted as candidates.
+
+    Item splits meet leaf blocks in tasks (``plans.blocks``). Items of one name go to one
+    split, hot names to several, so that a name's ranges are sent once or a few times.
+    With several blocks the partial results are merged per item. ``rows`` is the number of
+    items, or a bound of it; without it they are counted.
     """
-    if on_no_candidates not in ("all", "none"):
-        raise ValueError("on_no_candidates must be 'all' or 'none'")
     spark = items.sparkSession
     kind = leaves.schema["class_id"].dataType.simpleString()
+    number = "leaf_no" if "leaf_no" in leaves.columns else "leaf_pos"
     carried = [id, *keep]
     best = f"array<struct<class_pos:bigint,class_id:{kind},class_name:string,sim:double>>"
     heads = ", ".join(f"`{c}` {items.schema[c].dataType.simpleString()}" for c in carried)
     schema = f"{heads}, n int, topk {best}"
+    name = F.col("name_no") if ranges is not None else F.lit(None)
     probe = items.select(
-        *cols(carried),
-        F.col("embedding").alias("_vector"),
-        *([F.col("hit_pos").alias("_hits")] if closure is not None else []),
-    )
-    blocks = row_blocks(
-        leaves, "leaf_pos", vectors=("embedding",), texts=("class_name",), max_bytes=max_bytes
+        *cols(carried), F.col("embedding").alias("_vector"), name.cast("bigint").alias("_name"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    if len(blocks) > 1:
+    last = leaves.agg(F.coalesce(F.max(number) + 1, F.lit(0))).first()[0]
+    blocks = block_count(last, block_leaves)
+    if blocks > 1:
         # Partial results are merged by row: ids may repeat.
-        probe = settle(probe.withColumn("_row", F.monotonically_increasing_id()), "vectors")
+        probe = settle(probe, "vectors")
         carried, schema = [*carried, "_row"], schema.replace(", n int,", ", _row bigint, n int,")
-        closure = settle(closure, "below") if closure is not None else None
-    parts = []
-    for block in blocks:
-        table = fetch_block(leaves, "leaf_pos", block)
-        below = None
-        if closure is not None:
-            inside = (F.col("leaf_pos") >= block[0]) & (F.col("leaf_pos") < block[1])
-            below = closure.where(inside).toArrow().sort_by([("anc_pos", "ascending"), ("leaf_pos", "ascending")])
-        shipped = spark.sparkContext.broadcast((table, below))
-
-        def compare(batches, shipped=shipped, first=block[0]):
-            table, below = shipped.value
-            classes = _unit(_matrix(table["embedding"]))
-            if below is not None:
-                anc = below["anc_pos"].to_numpy()
-                leaf = below["leaf_pos"].to_numpy() - first
-            step = max(1, CELLS // max(1, len(classes)))
-            for whole in batches:
-                for at in range(0, whole.num_rows, step):
-                    batch = whole.slice(at, step)
-                    vectors = _unit(_matrix(batch.column("_vector")))
-                    sims = vectors @ classes.T
-                    n = np.zeros(len(sims), dtype=np.int32)
-                    if below is None:
-                        board = np.round(sims, TIE_DIGITS)
-                    else:
-                        hits = batch.column("_hits")
-                        flat = hits.flatten().to_numpy(zero_copy_only=False)
-                        size = hits.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                        a, b = np.searchsorted(anc, flat), np.searchsorted(anc, flat, "right")
-                        row = np.repeat(np.repeat(np.arange(len(sims)), size), b - a)
-                        leaf_at = leaf[_ragged(a, b - a)]
-                        board = np.full_like(sims, -np.inf)
-                        board[row, leaf_at] = np.round(sims[row, leaf_at], TIE_DIGITS)
-                        n = np.isfinite(board).sum(axis=1).astype(np.int32)
-                        free = n == 0 if on_no_candidates == "all" else size == 0
-                        board[free] = np.round(sims[free], TIE_DIGITS)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *[batch.column(c) for c in carried],
-                            pa.array(n),
-                            _struct_lists(*_best(board, k), table),
-                        ],
-                        names=[*carried, "n", "topk"],
-                    )
-
-        parts.append(probe.mapInArrow(compare, schema))
-    if not parts:
-        empty = F.array().cast(best)
-        return items.select(*cols(carried), F.lit(0).alias("candidates_count"), empty.alias("topk"))
-    if len(parts) == 1:
-        return parts[0].withColumnRenamed("n", "candidates_count")
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    # A block without candidates of an item ranked it against all its leaves; that
-    # counts only if no other block had candidates.
-    among = F.flatten(F.collect_list(F.when(F.col("n") > 0, F.col("topk"))))
-    merged = every.groupBy("_row").agg(
+    total = items.count() if rows is None else rows
+    size = split_rows(total, spark.sparkContext.defaultParallelism, *split)
+    splits = block_count(total, size)
+    parts, shared = F.lit(1), None
+    if ranges is not None:
+        ranges = ranges.select(F.col("name_no").cast("bigint").alias("_name"), "lo", "hi")
+        # At most rows / split size names are hot.
+        hot = probe.groupBy("_name").agg(F.count(F.lit(1)).alias("_n")).where("_name is not null").where(F.col("_n") > size)
+        hot = settle(hot.select("_name", F.ceil(F.col("_n") / size).cast("int").alias("_parts")), "hot-names")
+        probe = probe.join(F.broadcast(hot), "_name", "left")
+        parts = F.coalesce("_parts", F.lit(1))
+        spread = ranges.join(F.broadcast(hot), "_name", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        shared = spread.select(
+            F.pmod(F.xxhash64("_name", "_part"), F.lit(splits)).cast("int").alias(SPLIT),
+            F.col("_name").alias("name_no"), "lo", "hi",
+        ).distinct()
+        shared = shared.withColumn(
+            BLOCK, F.explode(F.sequence(*[F.floor(c / block_leaves).cast("int") for c in (F.col("lo"), F.col("hi") - 1)]))
+        )
+    part = F.pmod(F.xxhash64("_row"), parts.cast("bigint")).cast("int")
+    place = F.when(F.col("_name").isNull(), F.xxhash64("_row")).otherwise(F.xxhash64("_name", part))
+    dealt = probe.withColumn(SPLIT, F.pmod(place, F.lit(splits)).cast("int")).drop("_parts")
+    sides = leaves.select(
+        F.floor(F.col(number) / block_leaves).cast("int").alias(BLOCK), F.col(number).cast("bigint").alias("leaf_no"),
+        F.col("class_pos").cast("bigint").alias("class_pos"), "class_id", "class_name", "embedding",
+    )
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        table = b.filter(pc.is_valid(b["class_pos"])).sort_by("class_pos").combine_chunks()
+        inside = b.filter(pc.is_valid(b["lo"])) if "lo" in b.column_names else None
+        classes = _unit(_matrix(table["embedding"]))
+        leaf = table["leaf_no"].to_numpy()
+        first, width = (int(leaf.min()), int(leaf.max() - leaf.min()) + 1) if len(leaf) else (0, 0)
+        names = a["_name"].combine_chunks().fill_null(-1).to_numpy(zero_copy_only=False)
+        step, out = max(1, CELLS // max(1, len(leaf))), []
+        for at in range(0, a.num_rows, step):
+            some, own = a.slice(at, step), names[at : at + step]
+            vectors = _unit(_matrix(some["_vector"]))
+            board = np.round(vectors @ classes.T, TIE_DIGITS) if len(leaf) else np.zeros((len(own), 0))
+            n = np.zeros(len(own), np.int32)
+            if inside is not None and (own >= 0).any():
+                different, which = np.unique(own, return_inverse=True)
+                good = _inside(different, inside, first, width)[:, leaf - first][which] if width else np.zeros(board.shape, bool)
+                masked = own >= 0
+                n[masked] = good[masked].sum(axis=1)
+                board[masked[:, None] & ~good] = -np.inf
+            columns = [some[c] for c in carried] + [pa.array(n), _struct_lists(*_best(board, k), table)]
+            out.append(pa.table(columns, [*carried, "n", "topk"]))
+        return pa.concat_tables(out)
+
+    if shared is None:
+        found = pair_blocks(dealt, sides, splits, blocks, compare, schema)
+    else:
+        found = pair_blocks(dealt, sides, splits, blocks, compare, schema, also=shared)
+    if blocks == 1:
+        return found.select(*cols(carried), F.col("n").alias("candidates_count"), "topk")
+    merged = found.groupBy("_row").agg(
         *[F.first(col(c)).alias(c) for c in [id, *keep]],
         F.sum("n").cast("int").alias("candidates_count"),
-        _ranked(among, k).alias("among"),
-        _ranked(F.flatten(F.collect_list("topk")), k).alias("overall"),
+        _ranked(F.flatten(F.collect_list("topk")), k).alias("topk"),
     )
-    chosen = F.when(F.col("candidates_count") > 0, F.col("among")).otherwise(F.col("overall"))
-    return merged.select(*cols([id, *keep]), "candidates_count", chosen.alias("topk"))
+    return merged.select(*cols([id, *keep]), "candidates_count", "topk")
 
 
 def _ranked(entries: Column, k: int) -> Column:
@@ -239,3 +265,43 @@ def margin_gate(topk="topk", below: float | None = None) -> Column:
     if below is None:
         return F.lit(True)
     return F.coalesce(margin(topk) < below, F.lit(True))
+
+
+def cosine_candidates(
+    candidates: DataFrame, items: DataFrame, leaves: DataFrame, *, item_id: str, rows: int | None = None,
+    block_leaves: int = BLOCK_LEAVES, split: tuple[int, int] = SPLIT_ROWS,
+) -> DataFrame:
+    """``(item id, class_id, similarity)`` of a given set of candidates.
+
+    Vectors are not copied onto pairs: a task holds the vectors of a split of items and of
+    a block of leaves and works out the pairs between them.
+    """
+    spark = items.sparkSession
+    total = items.count() if rows is None else rows
+    splits = block_count(total, split_rows(total, spark.sparkContext.defaultParallelism, *split))
+    blocks = block_count(leaves.count(), block_leaves)
+    split_of = F.pmod(F.xxhash64("_item"), F.lit(splits)).cast("int").alias(SPLIT)
+    block_of = F.pmod(F.xxhash64("class_id"), F.lit(blocks)).cast("int").alias(BLOCK)
+    probe = items.select(col(item_id).alias("_item"), F.col("embedding").alias("_vector")).select("*", split_of)
+    side = leaves.select("class_id", "embedding", block_of)
+    asked = candidates.select(col(item_id).alias("_item"), "class_id").select("_item", F.col("class_id").alias("_class"), split_of, block_of)
+    heads = ["_item", "class_id", "similarity"]
+    kinds = [items.schema[item_id].dataType.simpleString(), leaves.schema["class_id"].dataType.simpleString(), "double"]
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        pairs, table = b.filter(pc.is_valid(b["_item"])), b.filter(pc.is_valid(b["class_id"]))
+        i = pc.index_in(pairs["_item"], a["_item"].combine_chunks())
+        j = pc.index_in(pairs["_class"], table["class_id"].combine_chunks())
+        good = pc.and_(pc.is_valid(i), pc.is_valid(j))
+        pairs, i, j = pairs.filter(good), i.filter(good).to_numpy(), j.filter(good).to_numpy()
+        sims = np.zeros(len(i))
+        if len(i):
+            left, right = _unit(_matrix(a["_vector"])), _unit(_matrix(table["embedding"]))
+            for at in range(0, len(i), CELLS // 64):
+                cut = slice(at, at + CELLS // 64)
+                sims[cut] = np.einsum("ij,ij->i", left[i[cut]], right[j[cut]])
+        return pa.table([pairs["_item"], pairs["_class"], pa.array(sims)], heads)
+
+    schema = ", ".join(f"{h} {k}" for h, k in zip(heads, kinds, strict=True))
+    found = pair_blocks(probe, side, splits, blocks, compare, schema, also=asked)
+    return found.select(F.col("_item").alias(item_id), "class_id", "similarity")

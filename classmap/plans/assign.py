@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from classmap.functions.names import col, cols
-from classmap.operators.hierarchy import hierarchy_closure
+from classmap.operators.hierarchy import nested_leaves
 from classmap.operators.joins import (
     item_embedding_join,
     require_columns,
@@ -15,14 +15,16 @@ from classmap.operators.joins import (
 )
 from classmap.operators.matching import (
     NO_MATCH,
+    class_pairs,
     class_table,
     distinct_names,
     hit_names,
-    name_hits,
+    name_pairs,
+    name_summary,
     with_match_name,
 )
 from classmap.operators.rows import prefix_columns
-from classmap.operators.similarity import class_embedding_join, cosine_top_k, pivot_top_n
+from classmap.operators.similarity import class_embedding_join, cosine_top_k, merge_ranges, pivot_top_n
 from classmap.plans.settle import settle, together
 
 
@@ -46,8 +48,12 @@ def rank_classes(
     """Per item with a vector: ``topk``, candidate count and the matched class names.
 
     Only id, name and vector travel through the matching stages, so the width of the
-    item table does not matter.
+    item table does not matter. Leaves are numbered depth first, so the candidates of a
+    name are a few ranges, worked out once per distinct name; items carry the name's
+    number.
     """
+    if on_no_candidates not in ("all", "none"):
+        raise ValueError("on_no_candidates must be 'all' or 'none'")
     require_columns(items, item_id, item_name)
     require_columns(classes, class_id, class_name, "parent_id")
     thin = items.select(col(item_id), col(item_name).cast("string").alias(item_name))
@@ -59,42 +65,41 @@ def rank_classes(
                 "class": (classes, class_id), "class embedding": (class_emb, "id"),
             })
 
-    def count_names() -> DataFrame:
-        return settle(distinct_names(thin, item_name=item_name), "names")
-
     def read_classes() -> tuple[DataFrame, DataFrame, DataFrame]:
         side = class_table(classes, class_id=class_id, class_name=class_name, leaf=leaf, order=order)
-        leaves, below = together(
-            lambda: class_embedding_join(side, class_emb),
-            lambda: hierarchy_closure(side, class_id="class_id", leaf="leaf"),
-        )
-        return side, leaves, below
-
-    _, names, (side, leaves, below) = together(check, count_names, read_classes)
-    ancestors = side.select(F.col("class_id").alias("anc_id"), F.col("class_pos").alias("anc_pos"))
-    closure = (
-        below.join(ancestors, "anc_id")
-        .join(leaves.select(F.col("class_id").alias("leaf_id"), "leaf_pos"), "leaf_id")
-        .select("anc_pos", "leaf_pos")
+        return side, *nested_leaves(side, class_embedding_join(side, class_emb))
+
+    _, rows, names, (side, leaves, below) = together(
+        check, thin.count, lambda: distinct_names(thin, item_name=item_name), read_classes
     )
-    # Names are joined before vectors, so that a vector is shuffled only once, by id.
-    hits = settle(name_hits(names, side, threshold=threshold), "hits")
-    found = hits.select(
-        "match_name", F.col("hits.class_pos").alias("hit_pos"), hit_names().alias("_shown")
+    pairs = settle(name_pairs(names, side, threshold=threshold), "pairs")
+    hits = class_pairs(pairs, side)
+    ranges = settle(merge_ranges(hits.join(below, "class_pos").select("name_no", "lo", "hi"), "name_no"), "ranges")
+    known = ranges.select("name_no").distinct().withColumn("_known", F.lit(True))
+    summary = name_summary(hits).join(known, "name_no", "left")
+    told = settle(
+        names.join(summary, "name_no").select(
+            "match_name", "n", "name_no", hit_names().alias("fuzzy_candidate_names"), F.coalesce("_known", F.lit(False)).alias("_known")
+        ),
+        "named",
     )
+    # Items carry a name's number and their vector only. A name without hits has no number,
+    # and one without embedded leaves has none where such items are compared with all leaves.
+    numbered = told if on_no_candidates == "none" else told.where("_known")
     matched = spread_join(
-        with_match_name(thin, item_name), found, "match_name", "left",
+        with_match_name(thin, item_name), numbered.select("match_name", "name_no"), "match_name", "left",
         spread_by=item_id, counts=names,
     )
-    probe = item_embedding_join(matched, item_emb, id=item_id).select(
-        *cols([item_id, item_name, "embedding", "hit_pos"]),
-        F.coalesce("_shown", F.lit(NO_MATCH)).alias("fuzzy_candidate_names"),
-    )
+    probe = item_embedding_join(matched, item_emb, id=item_id)
     best = cosine_top_k(
-        probe, leaves, k=k, id=item_id, closure=closure, on_no_candidates=on_no_candidates,
-        keep=(item_name, "fuzzy_candidate_names"),
+        probe, leaves, k=k, id=item_id, ranges=ranges, keep=(item_name, "match_name"), rows=rows,
+    )
+    shown = told.select("match_name", F.col("fuzzy_candidate_names").alias("_shown"))
+    named = spread_join(best, shown, "match_name", "left", spread_by=item_id, counts=names)
+    return named.select(
+        *cols([item_id, item_name]), F.col("candidates_count").alias("fuzzy_candidates_count"),
+        F.coalesce("_shown", F.lit(NO_MATCH)).alias("fuzzy_candidate_names"), "topk",
     )
-    return best.withColumnRenamed("candidates_count", "fuzzy_candidates_count")
 
 
 def assign_classes(

@@ -12,6 +12,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from classmap.functions.names import col
 
@@ -39,16 +41,24 @@ def pair_blocks(
     blocks: int,
     compare: Callable[[pa.Table, pa.Table], pa.Table],
     schema: str,
+    *,
+    also: DataFrame | None = None,
 ) -> DataFrame:
     """``compare(left rows, right rows)`` for each split of ``left`` (by its column
     ``_split``) and each block of ``right`` (by ``_block``), put together. Pairs without
-    rows on the left are not compared."""
+    rows on the left are not compared. Rows of ``also`` carry both numbers and join the
+    right rows of just that pair; columns that either lacks are null."""
     every = left.withColumn(BLOCK, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     # Both sides may come from one table; the right one gets columns of its own.
     other = right.select(*[col(c).alias(c) for c in right.columns]).withColumn(SPLIT, F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+    if also is not None:
+        other = other.unionByName(also, allowMissingColumns=True)
     keys = [SPLIT, BLOCK]
+    kinds = {f.name: to_arrow_type(f.dataType) for f in DataType.fromDDL(schema)}
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in kinds.items()})
         return compare(a.combine_chunks(), b.combine_chunks())
 
     return every.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInArrow(run, schema)

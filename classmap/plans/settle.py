@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 import pyarrow as pa
@@ -20,9 +21,10 @@ T = TypeVar("T")
 BROADCAST_BYTES = 128 << 20
 
 
-# Folders written so far and not yet dropped, and those of local sessions without a setting.
-_written: list[str] = []
+# Folders of local sessions without a setting.
 _local: list[tempfile.TemporaryDirectory] = []
+# Folders written inside the innermost scratch of a thread, to be dropped at its end.
+_scope: ContextVar[set[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,8 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    _written.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return _written[-1]
+    path, scope = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", _scope.get()
+    if scope is not None:
+        scope.add(path)
+    return path
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -51,36 +55,47 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Drop at the end what was written inside; a plan's result must be written out or
-    collected before that."""
-    before = len(_written)
+    """Drop at the end what was written inside, by this plan alone; its result must be
+    written out or collected before that."""
+    written: set[str] = set()
+    token = _scope.set(written)
     try:
         yield
     finally:
-        for path in _written[before:]:
+        _scope.reset(token)
+        for path in written:
             drop_folder(spark, path)
-        del _written[before:]
 
 
 @contextmanager
 def lasting() -> Iterator[None]:
     """Tables written inside outlive the ``scratch`` around them."""
-    before = len(_written)
-    yield
-    del _written[before:]
+    token = _scope.set(None)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
 
 
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table once and read it back: cut lineage that survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._settled_at = path
+    return stored
+
+
+def release(*tables: DataFrame) -> None:
+    """Drop settled tables that nothing reads any more."""
+    for table in tables:
+        drop_folder(table.sparkSession, table._settled_at)
 
 
 def together(*jobs: Callable[[], T]) -> list[T]:
     """Run independent Spark jobs at the same time; the first failure is raised."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
+        return [f.result() for f in [pool.submit(copy_context().run, job) for job in jobs]]
 
 
 def task_count(spark: SparkSession, work: int, smallest: int, largest: int) -> int:

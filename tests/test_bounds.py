@@ -18,6 +18,37 @@ def test_deep_tree_closes(spark):
     assert sorted(map(tuple, got.collect())) == [(i, 120) for i in range(121)]
 
 
+def test_a_chain_of_a_thousand_takes_few_jobs(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i else None, i == 1000) for i in range(1001)], "id bigint, parent_id bigint, lowest_level_class boolean")
+    chain = settle.settle(chain, "chain")
+    before, written = settle.settle, []
+    hierarchy.settle = lambda df, name: written.append(name) or before(df, name)
+    try:
+        got = hierarchy.hierarchy_closure(chain).collect()
+    finally:
+        hierarchy.settle = before
+    assert sorted(map(tuple, got)) == [(i, 1000) for i in range(1001)]
+    assert written.count("climb") <= 11
+
+
+def test_leaves_below_a_class_are_one_range(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, i, f"c{i}", rng.randrange(i) if i and rng.random() < 0.9 else None) for i in range(80)]
+    parents = {r[3] for r in rows}
+    side = spark.createDataFrame([(p, c, n, u, p not in parents or rng.random() < 0.1) for p, c, n, u in rows], "class_pos bigint, class_id bigint, class_name string, parent_id bigint, leaf boolean")
+    leaves = side.where("leaf and class_id % 5 != 0")
+    numbered, ranges = hierarchy.nested_leaves(side, leaves)
+    number = {r["class_id"]: r["leaf_no"] for r in numbered.collect()}
+    assert sorted(number.values()) == list(range(len(number)))
+    below = {}
+    for r in hierarchy.hierarchy_closure(side, class_id="class_id", leaf="leaf").collect():
+        if r["leaf_id"] in number:
+            below.setdefault(r["anc_id"], set()).add(number[r["leaf_id"]])
+    assert {r["class_pos"]: set(range(r["lo"], r["hi"])) for r in ranges.collect()} == below
+
+
 def test_cycle_raises(spark):
     ring = spark.createDataFrame([(0, None, False), (1, 3, False), (2, 1, False), (3, 2, False)], "id bigint, parent_id bigint, lowest_level_class boolean")
     with pytest.raises(ValueError, match="cycle"):
@@ -49,8 +80,8 @@ def test_repeated_ids_in_one_block_and_in_many(spark):
     leaves = spark.createDataFrame([(i, i, i, f"c{i}", [1.0, float(i)]) for i in range(6)], "leaf_pos bigint, class_pos bigint, class_id bigint, class_name string, embedding array<double>")
     items = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "id bigint, embedding array<double>")
     got = [
-        sorted(str(r) for r in similarity.cosine_top_k(items, leaves, k=3, id="id", max_bytes=size).collect())
-        for size in (80, 1 << 20)
+        sorted(str(r) for r in similarity.cosine_top_k(items, leaves, k=3, id="id", block_leaves=size).collect())
+        for size in (2, 1 << 20)
     ]
     assert got[0] == got[1] and len(got[0]) == 3
 

@@ -38,6 +38,32 @@ def test_matching_loses_nothing(left, right, threshold):
     assert got == want
 
 
+def test_many_tokens_and_repeated_rests():
+    rng = random.Random(5)
+    words = [f"t{i}" for i in range(140)]
+    left = [" ".join(rng.sample(words, n)) for n in (1, 3, 70, 130, 130)]
+    right = [" ".join(rng.sample(words, n)) for n in (2, 64, 65, 129)] + left[:2]
+    ia, ib = (x.ravel() for x in np.meshgrid(range(len(left)), range(len(right)), indexing="ij"))
+    got = fuzzy.token_set_ratios(fuzzy.NameBlock(left), fuzzy.NameBlock(right), ia, ib)
+    assert got.tolist() == [brute.token_set_ratio(left[i], right[j]) for i, j in zip(ia, ib)]
+
+
+def test_few_pairs_are_touched():
+    """Groups of names that differ in letters or length are ruled out as a whole."""
+    rng = random.Random(9)
+    alphabets = ["abc", "def", "ghi", "jkl", "mno", "pqr", "stu", "vwx"]
+    word = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    make = lambda k: [f"{word(a, rng.randint(5, 8))} {word(a, rng.randint(3, 30))}" for a in alphabets for _ in range(k)]
+    names, block = make(6), fuzzy.NameBlock(make(60))
+    i, j, _ = fuzzy.match_names(names, block, 0.85)
+    want = {
+        (a, b) for a, x in enumerate(names) for b, y in enumerate(block.names)
+        if set(x) & set(y) - {" "} and max(brute.partial_ratio(x, y), brute.token_set_ratio(x, y)) >= 0.85
+    }
+    assert set(zip(i.tolist(), j.tolist())) == want and want
+    assert block.touched < 0.25 * len(names) * len(block.names)
+
+
 def test_score_is_symmetric_and_bounded():
     rng = random.Random(3)
     words = ["".join(rng.choice("abcxyz ") for _ in range(rng.randint(0, 30))) for _ in range(40)]
@@ -74,12 +100,12 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("tasks", [1, 7])
-@pytest.mark.parametrize("max_bytes", [1 << 20, 200])
-def test_join_equals_brute_force(tables, tasks, max_bytes):
+@pytest.mark.parametrize("block_names", [1 << 20, 2])
+def test_join_equals_brute_force(tables, tasks, block_names):
     """Also with class names cut into several blocks, and for any number of tasks."""
     items, classes = tables
     joined = matching.fuzzy_join(
-        items, classes, item_id="id", item_name="name", threshold=0.6, tasks=tasks, max_bytes=max_bytes
+        items, classes, item_id="id", item_name="name", threshold=0.6, splits=tasks, block_names=block_names
     )
     got = {(r[0], r[1]): r[2] for r in joined.collect()}
     want = {
@@ -90,8 +116,8 @@ def test_join_equals_brute_force(tables, tasks, max_bytes):
     assert got == want
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 2000])
-def test_hit_names_are_cut_after_twenty(spark, max_bytes):
+@pytest.mark.parametrize("block_names", [1 << 20, 7])
+def test_hit_names_are_cut_after_twenty(spark, block_names):
     classes = spark.createDataFrame(
         [(i, "bolt %d" % i, 1, None, True) for i in range(1, 26)],
         "id long, name string, level int, parent_id long, lowest_level_class boolean",
@@ -99,7 +125,7 @@ def test_hit_names_are_cut_after_twenty(spark, max_bytes):
     side = matching.class_table(classes)
     items = spark.createDataFrame([(1, "bolt"), (2, None)], "id long, name string")
     hits = matching.fuzzy_hits(
-        items, side, item_id="id", item_name="name", threshold=0.6, max_bytes=max_bytes
+        items, side, item_id="id", item_name="name", threshold=0.6, block_names=block_names
     )
     got = dict(hits.select("id", matching.hit_names()).collect())
     listed = "; ".join(f"bolt {i} (L1)" for i in range(1, 21))

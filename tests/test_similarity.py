@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from classmap.functions.vector import cosine_similarity
-from classmap.operators import matching, similarity
+from classmap.operators import hierarchy, matching, similarity
 from classmap.plans import assign
 from tests import brute
 
@@ -77,31 +77,56 @@ def test_assignment_equals_row_by_row(spark, tree, policy, threshold):
     assert got == expected(rows, item_vecs, class_vecs, threshold, policy)
 
 
-@pytest.mark.parametrize("policy", ["none", "all"])
-def test_class_blocks_change_nothing(spark, tree, policy):
-    """Partial rankings of several class blocks merge to the ranking of one."""
+@pytest.mark.parametrize("size", [1, 2, 1 << 20])
+def test_class_blocks_change_nothing(spark, tree, size):
+    """Partial rankings of several class blocks merge to the ranking of one; a name's
+    ranges meet its items in every split of a hot name."""
     _, classes = tree
     side = matching.class_table(classes)
     _, class_emb = vectors(spark, [4, 5, 6], seed=2)
-    leaves = similarity.class_embedding_join(side, class_emb)
-    closure = spark.createDataFrame(
-        [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (2, 2), (3, 0), (4, 1), (5, 2)],
-        "anc_pos long, leaf_pos long",
-    )
+    leaves, ranges = hierarchy.nested_leaves(side, similarity.class_embedding_join(side, class_emb))
+    found = {(r["class_pos"], r["hi"] - r["lo"]) for r in ranges.collect()}
+    assert found == {(0, 3), (1, 2), (2, 1), (3, 1), (4, 1), (5, 1)}
     _, item_emb = vectors(spark, range(20), seed=5)
-    hits = F.when(F.col("id") % 4 == 0, F.array(F.lit(1))).when(F.col("id") % 4 == 1, F.array(F.lit(6)))
-    items = item_emb.withColumn("hit_pos", hits)
-    runs = []
-    for size in (1 << 20, 1):
-        best = similarity.cosine_top_k(
-            items, leaves, k=2, id="id", closure=closure, on_no_candidates=policy, max_bytes=size
-        )
-        runs.append(sorted(best.select("id", "candidates_count", "topk.class_id").collect()))
-    assert runs[0] == runs[1]
-    by_id = {r[0]: r for r in runs[0]}
-    assert by_id[0][1] == 2 and set(by_id[0][2]) == {4, 5}
-    assert len(by_id[1][2]) == (2 if policy == "all" else 0)
-    assert len(by_id[2][2]) == 2
+    # Name 7 is below class 2, name 8 has no leaf, all others are compared with all leaves.
+    items = item_emb.withColumn("name_no", F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 4 == 1, 8))
+    own = ranges.where("class_pos = 1").select(F.lit(7).cast("bigint").alias("name_no"), "lo", "hi")
+    best = similarity.cosine_top_k(items, leaves, k=2, id="id", ranges=own, block_leaves=size, split=(3, 3))
+    by_id = {r["id"]: r for r in best.collect()}
+    plain = {r["id"]: r for r in similarity.cosine_top_k(item_emb, leaves, k=2, id="id").collect()}
+    assert len(by_id) == 20
+    for i, r in by_id.items():
+        ids = [c["class_id"] for c in r["topk"]]
+        assert r["candidates_count"] == (2 if i % 4 == 0 else 0)
+        assert set(ids) == {4, 5} if i % 4 == 0 else ids == [] if i % 4 == 1 else ids == [c["class_id"] for c in plain[i]["topk"]]
+
+
+def test_one_block_and_fifty(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (i * 7) % 200, i, f"c{i}", [float(x) for x in rng.integers(-2, 3, 3)]) for i in range(200)]
+    leaves = spark.createDataFrame(rows, "leaf_no bigint, class_pos bigint, class_id bigint, class_name string, embedding array<double>")
+    items = spark.createDataFrame([(i, [float(x) for x in rng.integers(-2, 3, 3)], i % 5) for i in range(60)], "id bigint, embedding array<double>, name_no bigint")
+    own = spark.createDataFrame([(n, 31 * n, 31 * n + 40) for n in range(4)] + [(0, 120, 160)], "name_no bigint, lo bigint, hi bigint")
+    runs = [
+        sorted(str(r) for r in similarity.cosine_top_k(items, leaves, k=5, id="id", ranges=own, block_leaves=size, split=(10, 20)).collect())
+        for size in (200, 4)
+    ]
+    assert runs[0] == runs[1] and len(runs[0]) == 60
+
+
+def test_ranges_are_merged(spark):
+    df = spark.createDataFrame([(1, 0, 5), (1, 2, 3), (1, 5, 7), (1, 9, 10), (2, 4, 6), (2, 4, 6)], "name_no bigint, lo bigint, hi bigint")
+    got = sorted(tuple(r) for r in similarity.merge_ranges(df, "name_no").collect())
+    assert got == [(1, 0, 7), (1, 9, 10), (2, 4, 6)]
+
+
+def test_given_candidates_are_scored_in_blocks(spark):
+    leaves = spark.createDataFrame([(i, i, i, f"c{i}", [float(i), 1.0]) for i in range(9)], "leaf_pos bigint, class_pos bigint, class_id bigint, class_name string, embedding array<double>")
+    items = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(7)], "item bigint, embedding array<double>")
+    asked = [(i, c) for i in range(7) for c in range(9) if (i + c) % 3 == 0] + [(99, 1), (1, 99)]
+    pairs = spark.createDataFrame(asked, "item bigint, class_id bigint")
+    got = similarity.cosine_candidates(pairs, items, leaves, item_id="item", block_leaves=2, split=(2, 2)).collect()
+    assert sorted(map(tuple, got)) == [(i, c, pytest.approx(brute.cosine([1.0, float(i)], [float(c), 1.0]))) for i, c in sorted(asked) if i < 9 and c < 9]
 
 
 @pytest.mark.parametrize("parts", [1, 7])
