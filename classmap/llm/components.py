@@ -2,7 +2,7 @@
 
 All steps are joins and aggregations; nothing is gathered on the driver but two numbers
 per round. Every round is written to the shared folder, so a lost executor costs at most
-one round.
+one round, and takes the place of the one before.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from classmap.plans.settle import settle
+from classmap.plans.settle import release, settle
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,4 +39,5 @@ def components(edges: DataFrame) -> DataFrame:
             return at.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = tuple(row)
         large = _large_star(at).distinct()
-        at = settle(_small_star(large).distinct(), "edges")
+        last, at = at, settle(_small_star(large).distinct(), "edges")
+        release(last)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classmap.functions.names import col, quoted
+from classmap.functions.names import col
 from classmap.llm.common import ascii_lower, sha256_hex, text_or_empty
 from classmap.plans.settle import settle
 
@@ -105,11 +105,12 @@ def keep_rows(
     docs: DataFrame, kept: DataFrame, mark: str, of_row: Column, doc_id: str, text: str
 ) -> DataFrame:
     """Rows of ``docs`` whose id is in ``kept`` with the same mark (a digest or
-    fingerprint of the text), once each: rows repeating id and text count as one.
+    fingerprint of the text), once each: rows repeating id and mark count as one.
 
-    The join is on the id alone, so that the text is shuffled once for both steps; the
-    marks of an id (one, unless ids clash) are compared beside it.
+    Id and mark are one key, in which a null id equals itself, so that the text is
+    shuffled once for both steps.
     """
-    marks = kept.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.collect_set(mark).alias("_marks"))
-    same = docs[quoted(doc_id)].eqNullSafe(marks["_kept_id"]) & F.array_contains(marks["_marks"], of_row)
-    return docs.join(marks, same, "left_semi").dropDuplicates([doc_id, text])
+    key = "_classmap_key"
+    marks = kept.select(F.struct(F.col("doc_id").alias("i"), F.col(mark).alias("m")).alias(key)).distinct()
+    marked = docs.withColumn(key, F.struct(col(doc_id).alias("i"), of_row.alias("m")))
+    return marked.join(marks, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -7,13 +7,13 @@ import corpus_pipeline
 from checks import compare
 from classmap.llm import exact_dedup, quality
 from classmap.llm.queries import ORACLES, QUERIES
-from tests.llm import test_decontaminate, test_exact_dedup, test_packing, test_simhash
+from tests.llm import test_decontaminate, test_exact_dedup, test_near_copies, test_packing, test_simhash
 from tests.llm.tables import SF_DIR
 
 
 def test_registered():
     assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
-    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in QUERIES) for i in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -34,7 +34,7 @@ def test_pipeline_against_brute_force(spark):
     good = {r["doc_id"] for r in quality.score(docs, model).where("predicted = 1").collect()}
     rows = {i: t for i, t in rows.items() if i in good}
     rows = {i: rows[i] for i, _, _, kept, _ in test_exact_dedup.brute(list(rows.items())) if kept}
-    rows = {i: rows[i] for i, _, least in test_simhash.brute(list(rows.items())) if i == least}
+    rows = {i: rows[i] for i in test_near_copies.brute(list(rows.items()))}
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
     bad = {d for d, _, _ in test_decontaminate.brute(list(rows.items()), items)}
     rows = {i: t for i, t in rows.items() if i not in bad}
