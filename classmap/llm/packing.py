@@ -30,7 +30,9 @@ END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 # Tokens packed together; bounds a task's memory unless one document is longer.
 BLOCK_TOKENS = 1 << 21
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 1 << 20
+# Words remembered during a task; its worker may serve other stages as well.
+HELD_WORDS = 100_000
 SEQUENCES_PER_TASK = 1 << 40
 
 PIECES = (
@@ -92,7 +94,7 @@ def pack(
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString()) + ", ids array<bigint>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(tokenizer_path)
+        encoder = text_encoder(tokenizer_path, HELD_WORDS)
         task = TaskContext.get().partitionId()
         sequences, names, tokens, waiting = 0, [], [], 0
 
@@ -135,5 +137,7 @@ def pack(
                     yield flush()
         if tokens:
             yield flush()
+        encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)

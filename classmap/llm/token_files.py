@@ -49,6 +49,8 @@ BLOCK_WORDS = 1 << 13
 # A file is closed once it holds so many bytes of words, at the end of a document.
 FILE_BYTES = 128 << 20
 ENCODE_BYTES = 4 << 20
+# Words an encoder remembers here.
+HELD_WORDS = 500_000
 # Words decoded at a time, at least one document.
 READ_WORDS = 1 << 20
 
@@ -140,7 +142,7 @@ def unpack_ids(words: np.ndarray) -> np.ndarray:
 
 def coded(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, list[bytes]]]:
     """Ids of documents, their numbers of tokens and their words, for stretches of rows."""
-    encoder = text_encoder(tokenizer_path)
+    encoder = text_encoder(tokenizer_path, HELD_WORDS)
     for batch in batches:
         sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
         before, at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), 0

@@ -14,8 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 T = TypeVar("T")
-# Different words that an encoder remembers, seen lately and as many from before.
-HELD_WORDS = 500_000
+# Different words that an encoder remembers, seen lately and as many from before; some 200
+# bytes each.
+HELD_WORDS = 250_000
 # Marks that may end a word; one is a piece of its own after a letter.
 TAIL = ".,;:!?"
 
@@ -28,8 +29,8 @@ def kept_in_worker(key: str, make: Callable[[], T]) -> T:
     return held.__dict__[key]
 
 
-def encoder(path: str) -> Encoder:
-    return kept_in_worker(f"encoder {path}", lambda: Encoder(path))
+def encoder(path: str, held_words: int | None = None) -> Encoder:
+    return kept_in_worker(f"encoder {path} {held_words}", lambda: Encoder(path, held_words))
 
 
 class Encoder:
@@ -42,7 +43,8 @@ class Encoder:
     encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, held_words: int | None = None):
+        self.held_words = held_words or HELD_WORDS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
@@ -160,10 +162,14 @@ class Encoder:
             for i, raw in zip(at.tolist(), made, strict=True):
                 parts[i] = np.frombuffer(raw, "<u4")
             ids, lengths = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
-        if len(self.known) > HELD_WORDS:
+        if len(self.known) > self.held_words:
             self.known, self.older = {}, self.known
         return ids, lengths
 
+    def forget(self) -> None:
+        """Drop the words, where a worker's memory is needed for other stages."""
+        self.known, self.older = {}, {}
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """32-bit ids of each text."""
         ids, lengths = self.encode_column(pa.array(texts, pa.string()))
