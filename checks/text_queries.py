@@ -322,10 +322,9 @@ SHEETS_SQL = """sheets as (select p_type sheet, p_partkey row_pos, p_brand || '
         from sheets s left join pairs p using (sheet)""",
 )
 def sheet_lookup(spark, sf):
-    looked = ab.sheet_lookup(
-        sheet_items(spark, sf), ab.replacement_map(trimmed(spark, sf)), sheet="sheet", spread_by="row_pos"
-    )
-    return looked.select("sheet", "row_pos", F.when(F.col("pairs").isNotNull(), F.size("pairs")).alias("n_pairs"))
+    codes = ab.first_descriptions(trimmed(spark, sf))
+    looked = ab.sheet_lookup(sheet_items(spark, sf), codes, sheet="sheet", spread_by="row_pos")
+    return looked.select("sheet", "row_pos", "n_pairs")
 
 
 UNMATCHED_SQL = f"""with {TRIMMED_SQL}, {SHEETS_SQL} select sheet from pairs
@@ -334,7 +333,7 @@ UNMATCHED_SQL = f"""with {TRIMMED_SQL}, {SHEETS_SQL} select sheet from pairs
 
 @check("unmatched_sheets", UNMATCHED_SQL)
 def unmatched_sheets(spark, sf):
-    return ab.unmatched_sheets(sheet_items(spark, sf), ab.replacement_map(trimmed(spark, sf)), sheet="sheet")
+    return ab.unmatched_sheets(sheet_items(spark, sf), ab.first_descriptions(trimmed(spark, sf)), sheet="sheet")
 
 
 # Without lookaround, neighbours are captured; applying twice catches touching codes.
@@ -349,10 +348,11 @@ replaced as (select s.sheet, s.row_pos, s.p_size, case when q.pairs is null then
 
 @check("replace_abbreviations", f"with {REPLACED_SQL} select sheet, row_pos, text from replaced")
 def replace_abbreviations(spark, sf):
-    looked = ab.sheet_lookup(
-        sheet_items(spark, sf), ab.replacement_map(trimmed(spark, sf)), sheet="sheet", spread_by="row_pos"
-    )
-    return looked.select("sheet", "row_pos", ab.replace_abbreviations("text", "pairs").alias("text"))
+    items = sheet_items(spark, sf).withColumn("id", F.struct("sheet", "row_pos"))
+    codes = ab.first_descriptions(trimmed(spark, sf))
+    found = ab.matched_pairs(items, codes, row="id", texts=["text"])
+    looked = items.join(found, "id", "left")
+    return looked.select("sheet", "row_pos", ab.replace_abbreviations("text", F.col("pairs")["text"]).alias("text"))
 
 
 NUMBER_SQL = """numbers as (select distinct p_type sheet, p_size::varchar code, p_size || ' units' descr from part),
@@ -378,14 +378,15 @@ def number_codes(spark, sf):
            then p_retailprice::bigint::varchar else p_retailprice::varchar end""",
 )
 def replace_numeric_cell(spark, sf):
-    pairs = ab.replacement_map(ab.trim_fields(number_codes(spark, sf)))
+    codes = ab.first_descriptions(ab.trim_fields(number_codes(spark, sf)))
     cells = fx.table(spark, sf, "part").select(
         F.col("p_partkey").alias("row_pos"), F.col("p_type").alias("sheet"), "p_size", "p_retailprice"
     )
-    looked = ab.sheet_lookup(cells, pairs, sheet="sheet", spread_by="row_pos")
+    found = ab.matched_pairs(cells, codes, row="row_pos", numbers=["p_size", "p_retailprice"])
+    looked = cells.join(found, "row_pos", "left")
     return looked.select(
-        "row_pos", ab.replace_numeric_cell("p_size", "int", "pairs").alias("size_text"),
-        ab.replace_numeric_cell("p_retailprice", "double", "pairs").alias("price_text"),
+        "row_pos", ab.replace_numeric_cell("p_size", "int", F.col("pairs")["p_size"]).alias("size_text"),
+        ab.replace_numeric_cell("p_retailprice", "double", F.col("pairs")["p_retailprice"]).alias("price_text"),
     )
 
 
@@ -459,9 +460,21 @@ def enrich_overwrite(spark, sf):
     return enrich.enrich_items(target(spark, sf), lookup(spark, sf), key="No.", columns=COLUMNS, overwrite=True)
 
 
-@check("enrich_items", FILLED_SQL.format(SOURCES_SQL, "coalesce(t.coat, l.coat)"))
+@check(
+    "enrich_items",
+    f"""with {SOURCES_SQL} select 'parts' sheet, row_pos, coalesce(t.coat, l.coat) coating, l.tc type_code
+        from tgt t left join look l on l.id = t.no::varchar
+        union all select 'unnumbered', row_pos, coat, null from tgt""",
+)
 def enrich_items(spark, sf):
-    return enrich.enrich_items(target(spark, sf), lookup(spark, sf), key="No.", columns=COLUMNS)
+    """Two target sheets; the one without the key column stays as it is."""
+    parts = target(spark, sf)
+    sheets = enrich.enrich_sheets(
+        {"parts": parts, "unnumbered": parts.drop("No.")}, lookup(spark, sf), key="No.", columns=COLUMNS
+    )
+    code = {n: F.col("Type Code") if "Type Code" in df.columns else F.lit(None).cast("string") for n, df in sheets.items()}
+    rows = [df.select(F.lit(n).alias("sheet"), "row_pos", F.col("Coating").alias("coating"), code[n].alias("type_code")) for n, df in sheets.items()]
+    return rows[0].unionByName(rows[1])
 
 
 @check(

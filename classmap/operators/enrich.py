@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,8 +54,8 @@ def enrich_items(
 ) -> DataFrame:
     """Fill null target cells from the lookup, or with ``overwrite`` let it win.
 
-    ``counts`` (``lookup_key, n``) splits hot keys ahead of the join. An empty text counts as present in the target. A target without the key column is
-    returned unchanged.
+    ``counts`` (``lookup_key, n``) splits hot keys ahead of the join. An empty text
+    counts as present in the target. A target without the key column is returned unchanged.
     """
     if key not in target.columns:
         return target
@@ -77,6 +77,14 @@ def enrich_items(
     return joined.select(*[merged(c) for c in full.columns])
 
 
+def enrich_sheets(
+    targets: Mapping[str, DataFrame], lookup: DataFrame, *, key: str, columns: Sequence[str], **options
+) -> dict[str, DataFrame]:
+    """Every target sheet enriched from one lookup; sheets without the key column are
+    returned as they are."""
+    return {name: enrich_items(df, lookup, key=key, columns=columns, **options) for name, df in targets.items()}
+
+
 def extract_unique_rows(
     df: DataFrame,
     *,

@@ -89,9 +89,9 @@ def test_repeated_ids_in_one_block_and_in_many(spark):
 def test_lookup_columns_do_not_depend_on_size(spark, monkeypatch):
     items = spark.createDataFrame([("x", "s", 1)], "a string, sheet string, row_pos bigint")
     pairs = spark.createDataFrame([("s", [("k", "d")])], "sheet string, pairs array<struct<code:string,descr:string>>")
-    small = abbreviations.sheet_lookup(items, pairs, sheet="sheet", spread_by="row_pos")
+    small = abbreviations.sheet_pairs(items, pairs, sheet="sheet", spread_by="row_pos")
     monkeypatch.setattr(abbreviations, "PAIR_BYTES", -1)
-    large = abbreviations.sheet_lookup(items, pairs, sheet="sheet", spread_by="row_pos")
+    large = abbreviations.sheet_pairs(items, pairs, sheet="sheet", spread_by="row_pos")
     assert small.columns == large.columns == ["a", "sheet", "row_pos", "pairs"]
     assert small.collect() == large.collect()
 

@@ -192,7 +192,35 @@ def test_replacement(spark, value, options, want):
 
 def test_many_pairs_are_joined_instead_of_broadcast(spark, monkeypatch):
     monkeypatch.setattr(ab, "PAIR_BYTES", 0)
-    assert replaced(spark, "ATR AT")[0]["t"] == "Anchor At At"
+    assert replaced(spark, "XATX", whole_tokens=False)[0]["t"] == "XAtX"
+
+
+def test_only_codes_that_can_apply_reach_a_cell(spark):
+    """Of a thousand codes in a sheet a cell gets those its words bring in, also by way of
+    descriptions."""
+    rows = [(i, f"C{i}", f"word{i}", "S") for i in range(1000)]
+    rows += [(2000, "LONGCODE", "see MID and C7", "S"), (2001, "MIDX", "never", "S"), (2002, "MID", "C5-C6", "S"), (2003, "##", "hash C9", "S")]
+    codes = ab.first_descriptions(ab.trim_fields(spark.createDataFrame(rows, "row_pos long, Code string, Description string, Sheet string")))
+    items = spark.createDataFrame([(0, "S", "LONGCODE x C1", 5.0), (1, "S", "none", 1.0), (2, "T", "C1", 2.0), (3, "S", "a ## b", 3.0)], "id long, sheet string, t string, n double")
+    found = {r["id"]: {c: [p["code"] for p in own] for c, own in r["pairs"].items()} for r in ab.matched_pairs(items, codes, row="id", texts=["t"], numbers=["n"]).collect()}
+    assert found == {0: {"t": ["LONGCODE", "MID", "C1", "C5", "C6", "C7"]}, 3: {"t": ["##"]}}  # C9 comes before ##
+
+
+def test_matched_codes_replace_like_all_codes(spark):
+    import random
+
+    rng = random.Random(6)
+    words = ["a", "B", "ab", "A-b", "#", "b#", "é", "x_1", "K", "\u212a", "a b", "\u017f"]
+    abbr = [(i, rng.choice(words), " ".join(rng.choice(words) for _ in range(rng.randint(1, 3))), "S") for i in range(12)]
+    texts = ["".join(rng.choice([*words, " ", "-", " "]) for _ in range(rng.randint(1, 8))) for _ in range(150)]
+    table = spark.createDataFrame(abbr, "row_pos long, Code string, Description string, Sheet string")
+    items = spark.createDataFrame([("S", i, t) for i, t in enumerate(texts)], "sheet string, row_pos long, t string")
+    pairs = ab.replacement_map(ab.trim_fields(table))
+    for case in (True, False):
+        every = ab.sheet_pairs(items, pairs, sheet="sheet", spread_by="row_pos")
+        want = dict(every.select("row_pos", ab.replace_abbreviations("t", "pairs", case_sensitive=case)).collect())
+        got = ab.replace_in_sheets(items, table, case_sensitive=case)[0]
+        assert dict(got.select("row_pos", "t").collect()) == want
 
 
 # --- validation
