@@ -521,9 +521,16 @@ def validation_summary(spark, sf):
     return validation.validation_summary(validation.match_bucket(mapped(spark, sf), mapping="mapping"))
 
 
-@check("validate_assignments", SUMMARY_SQL)
+@check(
+    "validate_assignments",
+    f"""select 'row' part, item_id::varchar name, match_bucket "value" from ({BUCKET_SQL} select * from bucketed)
+        union all select 'summary', metric, "value" from ({SUMMARY_SQL})""",
+)
 def validate_assignments(spark, sf):
-    return validation.validate_assignments(mapped(spark, sf), mapping="mapping")[1]
+    """Both results: the rows with their buckets and the lines of the summary."""
+    rows, summary = validation.validate_assignments(mapped(spark, sf), mapping="mapping")
+    shown = rows.select(F.lit("row").alias("part"), F.col("item_id").cast("string").alias("name"), F.col("match_bucket").alias("value"))
+    return shown.unionByName(summary.select(F.lit("summary").alias("part"), F.col("metric").alias("name"), "value"))
 
 
 @check(

@@ -317,6 +317,17 @@ def carry_forward(spark, sf):
     return out.select("item_id", "llm_class_id", "llm_class_name", "llm_reasoning")
 
 
+@check(
+    "resume_by_item",
+    f"{RERANK} select item_id, llm_class_id, llm_class_name, llm_reasoning from verdict join asked using (item_id) where shape = 1",
+)
+def resume_by_item(spark, sf):
+    """Choices of the items that an earlier run has done, whatever is asked now."""
+    path = first_run(spark, sf)
+    incremental.log_items(requests(spark, sf), path, item_id="item_id")
+    return incremental.resume_items(spark, path, like=fx.assigned(spark, sf), item_id="item_id")
+
+
 @check("incremental_rerank", VERDICT_SQL)
 def incremental_rerank(spark, sf):
     out = incremental.incremental_rerank(

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classmap.functions.names import col, cols
+from classmap.functions.names import col, cols, quoted
 from classmap.functions.replies import join_extraction, parse_extraction
 from classmap.functions.text import (
     accept_expansion,
@@ -20,7 +20,7 @@ from classmap.functions.text import (
     strip,
     text_of,
 )
-from classmap.operators.joins import require_columns, spread_join
+from classmap.operators.joins import require_columns
 from classmap.operators.models import answer
 from classmap.operators.ordering import head_limit
 from classmap.operators.rows import context_map, first_column_id
@@ -28,6 +28,8 @@ from classmap.plans.settle import settle
 
 # Fixed value: rows per call of the value extraction model.
 EXTRACT_BATCH = 8
+# Most sheets without text that are sent to all tasks.
+BROADCAST_SHEETS = 100_000
 
 
 def expansion_requests(
@@ -63,20 +65,21 @@ def expand_abbreviations(
     """
     if text not in df.columns:
         return df
+    # The input is read once. Requests travel alone, by row number, and meet the wide rows
+    # in one join.
+    rows = settle(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     request = expansion_requests(df, text=text, id=id, sheet=sheet, position=position)
-    asked = df.withColumn("_request", request)
-    replied = answer(asked, make_fn, request="_request", spread_by=[sheet, position], **calls)
-    flags = df.groupBy(col(sheet)).agg(
-        F.max(nonblank(text)).alias("_has_text"), F.count(F.lit(1)).alias("n")
-    )
-    marked = spread_join(
-        replied, flags.drop("n"), sheet, "left",
-        spread_by=position, null_safe=True, counts=flags.drop("_has_text"),
-    )
+    thin = rows.select("_row", request.alias("_request")).where(F.col("_request").isNotNull())
+    replied = answer(thin, make_fn, request="_request", spread_by="_row", **calls).select("_row", "raw")
+    blank = rows.groupBy(col(sheet).alias("_sheet")).agg(F.max(nonblank(text)).alias("_has")).where("not _has")
+    blank = settle(blank.select("_sheet", F.lit(True).alias("_blank")), "blank-sheets")
+    few = blank.count() <= BROADCAST_SHEETS
+    joined = rows.join(replied, "_row", "left")
+    marked = joined.join(F.broadcast(blank) if few else blank, joined[quoted(sheet)].eqNullSafe(blank["_sheet"]), "left")
     expanded = (
         F.when(nonblank(text), accept_expansion(strip(text), "raw"))
-        .when(F.col("_has_text"), col(text))
-        .otherwise(F.lit(""))
+        .when(F.col("_blank"), F.lit(""))
+        .otherwise(col(text))
     )
     return marked.select(*cols(c for c in df.columns if c != out), expanded.alias(out))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -38,9 +38,10 @@ def scan_table(
 ) -> DataFrame:
     """One table with a ``row_pos`` column.
 
-    ``row_pos`` may name an existing order column. Otherwise Parquet rows are numbered
-    by their place in the file (files in path order) and other formats by input split.
-    NaN cells become null.
+    ``row_pos`` may name an existing order column. Otherwise rows are numbered from 0 in
+    file order, files in path order: Parquet rows by their place in the file, rows of
+    other formats by their place in the split that reads them, of which each begins at
+    the number of rows before it. NaN cells become null.
     """
     reader = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {}))
     if schema is not None:
@@ -49,20 +50,27 @@ def scan_table(
     wanted = list(columns) if columns else [c for c in df.columns if c != "row_pos"]
     if row_pos is not None:
         return _no_nan(df.select(col(row_pos).cast("bigint").alias("row_pos"), *cols(wanted)))
-    if fmt != "parquet":
-        return _no_nan(df.select(F.monotonically_increasing_id().alias("row_pos"), *cols(wanted)))
-    place = F.col("_metadata.row_index")
     files = df.inputFiles()
-    if len(files) == 1:
-        return _no_nan(df.select(place.alias("row_pos"), *cols(wanted)))
-    located = df.select(F.col("_metadata.file_path").alias("_file"), place.alias("_place"), *cols(wanted))
-    sizes = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    starts = F.broadcast(starts) if len(files) <= BROADCAST_FILES else starts
-    return _no_nan(
-        located.join(starts, "_file").select((F.col("_start") + F.col("_place")).alias("row_pos"), *cols(wanted))
-    )
+    if fmt == "parquet":
+        place = F.col("_metadata.row_index")
+        if len(files) == 1:
+            return _no_nan(df.select(place.alias("row_pos"), *cols(wanted)))
+        return _no_nan(_numbered_by(df, [F.col("_metadata.file_path")], place, wanted, len(files) <= BROADCAST_FILES))
+    # A task reads the rows of a split one after the other, so their numbers in the task
+    # differ from those in the split by that of the split's first row.
+    split = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    return _no_nan(_numbered_by(df, split, F.monotonically_increasing_id(), wanted, len(files) <= BROADCAST_FILES))
+
+
+def _numbered_by(df: DataFrame, split: Sequence[Column], place: Column, wanted: Sequence[str], few: bool) -> DataFrame:
+    """``row_pos`` and the wanted columns: splits in order, rows by their place in a split."""
+    keys = [f"_split_{i}" for i in range(len(split))]
+    located = df.select(*[c.alias(k) for c, k in zip(split, keys)], place.alias("_place"), *cols(wanted))
+    sizes = located.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    starts = sizes.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    joined = located.join(F.broadcast(starts) if few else starts, keys)
+    return joined.select((F.col("_start") + F.col("_place")).alias("row_pos"), *cols(wanted))
 
 
 def scan_sheets(
@@ -76,18 +84,21 @@ def scan_sheets(
     """Every sheet of a workbook under one schema, tagged by name.
 
     ``paths`` maps sheet names to tables, or is one folder partitioned by ``sheet=``, whose
-    sheets come in order of their names. Its rows keep the ``row_pos`` they were written
+    sheets come in order of their names, as texts. Its rows keep the ``row_pos`` they were written
     with, if any.
     """
     if isinstance(paths, str):
-        if row_pos is None and "row_pos" in spark.read.format(fmt).options(**options).load(paths).columns:
+        header = {"header": True} if fmt == "csv" else {}
+        found = spark.read.format(fmt).options(**header, **options).load(paths).schema
+        # Names of sheets stay as they are written: 01 and 1 are two sheets.
+        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "sheet" else f for f in found])
+        if row_pos is None and "row_pos" in found.names:
             row_pos = "row_pos"
-        whole = scan_table(spark, paths, fmt=fmt, row_pos=row_pos, **options)
-        whole = whole.withColumn("sheet", F.col("sheet").cast("string"))
-        names = whole.groupBy("sheet").agg(F.min("row_pos").alias("_first"))
-        order = (F.row_number().over(Window.orderBy("sheet")) - 1).alias("sheet_pos")
-        places = names.select("sheet", "_first", order)  # as many rows as the folder has parts
-        tagged = whole.join(F.broadcast(places), "sheet", "left")
+        whole = scan_table(spark, paths, fmt=fmt, schema=schema, row_pos=row_pos, **options)
+        names = whole.groupBy(F.col("sheet").alias("_sheet")).agg(F.min("row_pos").alias("_first"))
+        order = (F.row_number().over(Window.orderBy("_sheet")) - 1).alias("sheet_pos")
+        places = names.select("_sheet", "_first", order)  # as many rows as the folder has parts
+        tagged = whole.join(F.broadcast(places), whole["sheet"].eqNullSafe(places["_sheet"]), "left")
         place = F.col("row_pos") - (F.col("_first") if row_pos is None else 0)
         data = [c for c in whole.columns if c not in ("sheet", "row_pos")]
         return tagged.select("sheet", "sheet_pos", place.alias("row_pos"), *cols(data))

@@ -251,3 +251,52 @@ def test_second_run_asks_only_for_what_failed(spark, assigned, tmp_path):
     out = run(picker({"bolt": "no", "nut": GOOD, "pin": GOOD, "cap": "no"}, second))
     assert asked(first) == ["bolt", "cap", "nut", "pin"] and asked(second) == ["nut", "pin"]
     assert {r["item_id"]: r["llm_class_id"] for r in out.collect()} == {1: "10", 2: "10", 3: "10", 4: "10"}
+
+
+def test_done_items_stay_done_when_the_question_changes(spark, assigned, tmp_path):
+    rows, items, _ = assigned
+    path, first, second = str(tmp_path / "replies"), tmp_path / "one", tmp_path / "two"
+    first.mkdir(), second.mkdir()
+    run = lambda model, **options: incremental.incremental_rerank(
+        rows, items, model, responses_path=path, calls=QUICK, **KEYS, **options
+    )
+    run(picker({"bolt": GOOD, "nut": "ERROR: x", "pin": GOOD, "cap": "zzz"}, first))
+    # Another context makes all requests new, another margin lets no item through but those
+    # with one candidate; the items done keep their choice.
+    out = run(picker({"bolt": "no", "nut": GOOD, "pin": "no", "cap": GOOD}, second), context=[])
+    assert asked(second) == ["cap", "nut"]
+    choices = {r["item_id"]: r["llm_class_id"] for r in out.collect()}
+    assert choices == {1: "10", 2: "10", 3: "10", 4: "10"}
+    third = tmp_path / "three"
+    third.mkdir()
+    out = run(picker({}, third), margin_below=-1.0)
+    assert asked(third) == [] and {r["item_id"]: r["llm_class_id"] for r in out.collect()} == choices
+
+
+def test_a_killed_run_keeps_the_replies_of_its_ended_tasks(spark, assigned, tmp_path):
+    rows, items, _ = assigned
+    path, second = str(tmp_path / "replies"), tmp_path / "two"
+    second.mkdir()
+    good = GOOD
+
+    def dying():
+        import json
+        import os
+        import time
+
+        def call(texts):
+            if any(json.loads(t)["item"]["item_name"] == "cap" for t in texts):
+                time.sleep(8)
+                os._exit(1)
+            return [good] * len(texts)
+
+        return call
+
+    run = lambda model: incremental.incremental_rerank(
+        rows, items, model, responses_path=path, autosave_every=1, calls=QUICK, **KEYS
+    )
+    with pytest.raises(Exception):
+        run(dying)
+    out = run(picker({"cap": GOOD}, second))
+    assert asked(second) == ["cap"]
+    assert {r["item_id"]: r["llm_class_id"] for r in out.collect()} == {1: "10", 2: "10", 3: "10", 4: "10"}

@@ -138,20 +138,20 @@ def test_default_ids(spark):
 
 # --- enrichment
 
-TRANSFERRED = ["Type Code", "Type Description", "Coating", "Description_Expanded"]
+TRANSFERRED = ["Kind Code", "Kind Text", "Coating", "Finish"]
 
 
 def test_enrichment_rules(spark):
-    a = spark.createDataFrame([(0, 1.0, "", "first"), (1, 1.0, "late", "second")], "row_pos long, Id double, `Coating` string, `Type Code` string")
+    a = spark.createDataFrame([(0, 1.0, "", "first"), (1, 1.0, "late", "second")], "row_pos long, Id double, `Coating` string, `Kind Code` string")
     b = spark.createDataFrame([(0, 1.0, "b"), (1, None, "lost")], "row_pos long, Id double, `Coating` string")
     lookup = enrich.enrichment_lookup(rows.union_sheets({"A": a, "B": b}, key="Id"), id="Id", columns=TRANSFERRED)
-    assert lookup.select("lookup_key", "Coating", "`Type Code`", "`Type Description`").collect() == [
+    assert lookup.select("lookup_key", "Coating", "`Kind Code`", "`Kind Text`").collect() == [
         ("1", "late", "first", None)
     ]
     target = spark.createDataFrame([(0, 1, ""), (1, 1, None), (2, 5, None)], "row_pos long, `No.` int, Coating string")
     fill = enrich.enrich_items(target, lookup, key="No.", columns=TRANSFERRED).orderBy("row_pos").collect()
     assert [r["Coating"] for r in fill] == ["", "late", None]
-    assert [r["Type Code"] for r in fill] == ["first", "first", None]
+    assert [r["Kind Code"] for r in fill] == ["first", "first", None]
     over = enrich.enrich_items(target, lookup, key="No.", columns=TRANSFERRED, overwrite=True).orderBy("row_pos").collect()
     assert [r["Coating"] for r in over] == ["late", "late", None]
     assert enrich.enrich_items(target, lookup, key="absent", columns=TRANSFERRED) is target
@@ -191,3 +191,30 @@ def test_header_is_guessed_and_promoted(spark):
     named = tables.promote_header(grid)
     assert named.columns == ["row_pos", "Name", "Size", "_c2"] and named.count() == 1
     assert tables.promote_header(grid, 2).count() == 0
+
+
+def test_text_files_are_numbered_in_path_order(spark, tmp_path):
+    """Files of unequal size, the largest last and cut into several splits."""
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("v\n" + "".join(f"a{i}\n" for i in range(3)))
+    (folder / "b.csv").write_text("v\n" + "".join(f"b{i}\n" for i in range(20_000)))
+    (folder / "c.csv").write_text("v\n" + "".join(f"c{i}\n" for i in range(700)))
+    (folder / "d.csv").write_text("v\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = tables.scan_table(spark, str(folder), fmt="csv")
+        got = [r["v"] for r in sorted(df.collect(), key=lambda r: r["row_pos"])]
+        assert [r[0] for r in df.select("row_pos").orderBy("row_pos").collect()] == list(range(20_703))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [f"a{i}" for i in range(3)] + [f"b{i}" for i in range(20_000)] + [f"c{i}" for i in range(700)]
+
+
+def test_sheet_names_stay_texts(spark, tmp_path):
+    rows = [("01", 1), ("1", 2), ("1e3", 3), (None, 4), ("1", 5)]
+    spark.createDataFrame(rows, "sheet string, v int").write.partitionBy("sheet").parquet(str(tmp_path / "book"))
+    got = tables.scan_sheets(spark, str(tmp_path / "book")).collect()
+    assert {(r["sheet"], r["sheet_pos"]) for r in got} == {(None, 0), ("01", 1), ("1", 2), ("1e3", 3)}
+    assert sorted(r["v"] for r in got if r["sheet"] == "1") == [2, 5]
