@@ -5,11 +5,13 @@ as 60 bits take. Selector 0 is the escape: its 60 bits count the ids that follow
 words because they need more than 60 bits. Words hold exactly as many ids as their
 selector says, and no word spans two documents, so documents can be read apart.
 
-A file is ``magic``, the words of its documents (little-endian), an Arrow IPC stream of
-its documents, one of its blocks, the two streams' lengths and ``magic`` again. A document
-has its id, its number of ids and of the ids before it, its number of words and of the
-words before it. A block is up to ``BLOCK_WORDS`` words with the number of ids before it,
-so blocks are decoded each by itself, selector by selector for all words at once.
+A file is ``magic``, the words of its blocks (little-endian), an Arrow IPC stream of its
+documents, one of its blocks, the two streams' lengths and ``magic`` again. A document has
+its id, its number of ids and of words. A block is a stretch of documents: it has the
+number of its first document, of the words and of the ids before it, and its different
+ids, the most frequent first; its words hold places in that list, which are small where
+ids are not. So blocks are decoded each by itself, selector by selector for all words at
+once.
 
 Documents are dealt out by ranges of ascending ids. Each range's task codes them and writes
 its files under names of its own attempt, and the stored index names the files that count.
@@ -45,14 +47,14 @@ WIDTHS = np.array([0, *[60 // n for n in COUNTS[1:15]], 0])
 ROOM = np.array([max([n for n in COUNTS[1:15] if 60 // n >= max(1, bits)], default=0) for bits in range(66)], np.uint8)
 WHOLE = np.array([max([n for n in COUNTS[1:15] if n <= left], default=0) for left in range(61)], np.uint8)
 PAYLOAD = np.uint64((1 << 60) - 1)
-BLOCK_WORDS = 1 << 13
 # A file is closed once it holds so many bytes of words, at the end of a document.
 FILE_BYTES = 128 << 20
+# Text of a block, at least one document.
 ENCODE_BYTES = 4 << 20
 # Words an encoder remembers here.
 HELD_WORDS = 500_000
-# Words decoded at a time, at least one document.
-READ_WORDS = 1 << 20
+# Largest id that is counted in a table.
+COUNTED = 1 << 22
 
 
 def pack_ids(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,6 +115,22 @@ def _with_escapes(ids, words, starts, took, lengths):
     return out, own
 
 
+def ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids, the most frequent first, and each id's place among them."""
+    if len(ids) and int(ids.max()) < COUNTED:
+        counts = np.bincount(ids)
+        different = np.flatnonzero(counts)
+        order = np.argsort(-counts[different], kind="stable")
+        place = np.zeros(len(counts), np.uint32)
+        place[different[order]] = np.arange(len(order))
+        return different[order].astype(np.uint64), place[ids]
+    different, at, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    place = np.zeros(len(order), np.uint32)
+    place[order] = np.arange(len(order))
+    return different[order].astype(np.uint64), place[at]
+
+
 def unpack_ids(words: np.ndarray) -> np.ndarray:
     """Ids of whole documents' words, or of whole blocks."""
     words = words.astype(np.uint64, copy=False)
@@ -140,8 +158,11 @@ def unpack_ids(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def coded(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, list[bytes]]]:
-    """Ids of documents, their numbers of tokens and their words, for stretches of rows."""
+def coded(
+    batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int
+) -> Iterator[tuple[pa.Array, np.ndarray, list[bytes], np.ndarray]]:
+    """Names of documents, their numbers of ids, their words and the different ids, for
+    stretches of rows."""
     encoder = text_encoder(tokenizer_path, HELD_WORDS)
     for batch in batches:
         sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
@@ -151,9 +172,10 @@ def coded(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -
             n = max(1, int(np.searchsorted(before, before[at] + ENCODE_BYTES)) - 1 - at)
             part = batch.slice(at, n)
             ids, lengths = with_end(*encoder.encode_column(part.column("text")), end_id)
-            words, own = pack_ids(ids, lengths)
+            different, places = ranked(ids)
+            words, own = pack_ids(places, lengths)
             raw, ends = words.astype("<u8").tobytes(), np.cumsum(own).tolist()
-            yield part.column("doc_id"), lengths, [raw[8 * a : 8 * b] for a, b in zip([0, *ends], ends, strict=False)]
+            yield part.column("doc_id"), lengths, [raw[8 * a : 8 * b] for a, b in zip([0, *ends], ends, strict=False)], different
             at += n
 
 
@@ -183,31 +205,32 @@ class FileWriter:
         self.path = f"{folder}/{name}"
         self.out = store.open_output_stream(f"{inside}/{name}")
         self.out.write(MAGIC)
-        self.ids: list[pa.Array] = []
+        self.names: list[pa.Array] = []
         self.tokens: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
+        self.different: list[np.ndarray] = []
         self.bytes = 0
 
-    def add(self, ids: pa.Array, n_tokens: np.ndarray, words: list[bytes]) -> None:
+    def add(self, names: pa.Array, n_tokens: np.ndarray, words: list[bytes], different: np.ndarray) -> None:
+        """Append a block."""
         raw = b"".join(words)
         self.out.write(raw)
         self.bytes += len(raw)
-        self.ids.append(ids)
+        self.names.append(names)
         self.tokens.append(n_tokens)
         self.words.append(np.array([len(w) // 8 for w in words], np.int64))
+        self.different.append(different)
 
     def close(self) -> tuple:
         """Path, documents and ids of the finished file."""
         tokens, words = np.concatenate(self.tokens), np.concatenate(self.words)
-        before, at = np.cumsum(tokens) - tokens, np.cumsum(words) - words
-        documents = pa.record_batch(
-            [pa.concat_arrays(self.ids), pa.array(tokens), pa.array(before), pa.array(words), pa.array(at)],
-            ["doc_id", "n_tokens", "ids_before", "n_words", "words_before"],
-        )
-        # A block begins with a document and ends before the one that would overfill it.
-        first = np.flatnonzero(np.diff(at // BLOCK_WORDS, prepend=-1)) if len(at) else np.zeros(0, np.int64)
+        documents = pa.record_batch([pa.concat_arrays(self.names), pa.array(tokens), pa.array(words)], ["doc_id", "n_tokens", "n_words"])
+        first = np.cumsum([0, *map(len, self.tokens[:-1])])
+        before = [np.concatenate(([0], np.cumsum(x)))[first] for x in (words, tokens)]
+        ends = pa.array(np.cumsum([0, *map(len, self.different)]), pa.int32())
+        different = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(self.different)))
         blocks = pa.record_batch(
-            [pa.array(first), pa.array(at[first]), pa.array(before[first])], ["document", "words_before", "ids_before"]
+            [pa.array(first), *map(pa.array, before), different], ["document", "words_before", "ids_before", "ids"]
         )
         tail = [_stream(documents), _stream(blocks)]
         for part in (*tail, np.array([len(t) for t in tail], "<u8").tobytes(), MAGIC):
@@ -249,7 +272,7 @@ def write_token_files(
                 ["path", "place", "documents", "ids"],
             )
 
-        for ids, tokens, words in coded(batches, tokenizer_path, end_id):
+        for names, tokens, words, different in coded(batches, tokenizer_path, end_id):
             at = 0
             while at < len(words):
                 if writer is None:
@@ -258,7 +281,7 @@ def write_token_files(
                 while end < len(words) and (room > 0 or end == at):
                     room -= len(words[end])
                     end += 1
-                writer.add(ids.slice(at, end - at), tokens[at:end], words[at:end])
+                writer.add(names.slice(at, end - at), tokens[at:end], words[at:end], different)
                 at = end
                 if writer.bytes >= file_bytes:
                     yield closed()
@@ -273,8 +296,8 @@ def write_token_files(
     return files.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
-def read_documents(path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Stretches of a file: rows of its document table and all their ids, block by block."""
+def read_blocks(path: str) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
+    """Blocks of a file: rows of its document table, the ids before them, and all their ids."""
     store, inside = _store(path)
     with store.open_input_file(inside) as file:
         end = file.size()
@@ -287,15 +310,13 @@ def read_documents(path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         file.seek(end - 24 - blocks_size - size)
         documents = pa.ipc.open_stream(file.read(size)).read_next_batch()
         blocks = pa.ipc.open_stream(file.read(blocks_size)).read_next_batch()
-        first = blocks.column("document").to_numpy()
-        starts = np.append(blocks.column("words_before").to_numpy(), (end - 24 - blocks_size - size - 8) // 8)
-        row, i = np.append(first, documents.num_rows), 0
-        while i < len(first):
-            j = max(i + 1, int(np.searchsorted(starts, starts[i] + READ_WORDS, "right")) - 1)
-            file.seek(8 + 8 * int(starts[i]))
-            words = np.frombuffer(file.read(8 * int(starts[j] - starts[i])), "<u8")
-            yield documents.slice(int(row[i]), int(row[j] - row[i])), unpack_ids(words)
-            i = j
+        first = [*blocks.column("document").to_pylist(), documents.num_rows]
+        starts = [*blocks.column("words_before").to_pylist(), (end - 24 - blocks_size - size - 8) // 8]
+        for i, before in enumerate(blocks.column("ids_before").to_pylist()):
+            file.seek(8 + 8 * starts[i])
+            words = np.frombuffer(file.read(8 * (starts[i + 1] - starts[i])), "<u8")
+            different = blocks.column("ids")[i].values.to_numpy()
+            yield documents.slice(first[i], first[i + 1] - first[i]), before, different[unpack_ids(words)]
 
 
 def read_token_files(index: DataFrame, id_type: str, *, with_ids: bool = False) -> DataFrame:
@@ -307,12 +328,12 @@ def read_token_files(index: DataFrame, id_type: str, *, with_ids: bool = False)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                for documents, ids in read_documents(path):
+                for documents, before, ids in read_blocks(path):
                     lengths = documents.column("n_tokens").to_numpy()
                     raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(lengths) * 4
                     crcs = [zlib.crc32(raw[e - 4 * n : e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                     columns = [
-                        documents.column("doc_id"), pc.add(documents.column("ids_before"), start),
+                        documents.column("doc_id"), pa.array(start + before + np.cumsum(lengths) - lengths),
                         documents.column("n_tokens"), pa.array(crcs, pa.int64()),
                     ]
                     heads = ["doc_id", "start", "n_tokens", "ids_crc32"]

@@ -36,6 +36,14 @@ def test_round_trip(documents):
     assert token_files.unpack_ids(words).tolist() == [i for d in documents for i in d]
 
 
+def test_frequent_ids_have_small_places(monkeypatch):
+    ids = np.array([9, 5, 9, 50_000, 9, 5], np.uint32)
+    for limit in (token_files.COUNTED, 0):
+        monkeypatch.setattr(token_files, "COUNTED", limit)
+        different, places = token_files.ranked(ids)
+        assert different.tolist() == [9, 5, 50_000] and places.tolist() == [0, 1, 0, 2, 0, 1]
+
+
 def test_words_are_as_full_as_they_can_be():
     words, _ = token_files.pack_ids(np.zeros(60, np.uint64), np.array([60]))
     assert len(words) == 1 and int(words[0]) >> 60 == 1
@@ -47,8 +55,7 @@ def test_words_are_as_full_as_they_can_be():
 
 @pytest.mark.parametrize("file_bytes", [token_files.FILE_BYTES, 5_000])
 def test_files_against_brute_force(spark, monkeypatch, file_bytes):
-    monkeypatch.setattr(token_files, "BLOCK_WORDS", 64)
-    monkeypatch.setattr(token_files, "READ_WORDS", 200)
+    monkeypatch.setattr(token_files, "ENCODE_BYTES", 2_000)
     rows = [r for r in awkward() if r[0] != 6 and r[0] is not None] + [(None, "no id"), (7_000, "a <|endoftext|> b"), (7_001, "<|endoftext|>")]
     rows = [*dict(rows).items(), (5, dict(rows)[5])]
     found = token_files.token_documents(frame(spark, rows).repartition(3), PATH, file_bytes=file_bytes, with_ids=True).collect()
