@@ -88,9 +88,9 @@ def drop_repeated_lines(
     Texts are split at line feeds; null or empty text is one empty line. Lines whose key
     has ``min_chars`` code points and occurs in ``min_docs`` documents are dropped except
     in the largest id that holds it; the other lines stay in order. Ids must be numbers.
-    Rows that repeat id and text count as one document and get the same result; rows
-    that repeat only the id are separate documents, and all of them keep a line for which
-    theirs is the largest id. A null id is smaller than any other. Other columns are
+    Rows that repeat an id count as one document for that, whatever their texts; each is
+    rewritten by itself, and all of them keep a line for which theirs is the largest id.
+    Rows without an id are not counted and lose what others repeat. Other columns are
     ignored. An empty table gives an empty result.
     """
     body = text_or_empty(col(text))
@@ -108,8 +108,8 @@ def drop_repeated_lines(
     )
     runs = Runs(docs.sparkSession, min_docs, fanout)
     for i in range(n_batches):
-        held = lines.where(F.col("batch") == i).select("key", "doc_id", "mark").distinct()
-        runs.add(held.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_id")))
+        held = lines.where(F.col("batch") == i).select("key", "doc_id").distinct()
+        runs.add(held.groupBy("key").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("last_id")))
     repeated = runs.totals().where(F.col("n_docs") >= min_docs).select("key", "last_id")
     extra = lines.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("last_id")))
     drops = extra.groupBy(F.col("doc_id").alias("drop_id"), F.col("mark").alias("drop_mark")).agg(

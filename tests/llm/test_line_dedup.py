@@ -17,15 +17,15 @@ def brute(rows):
     for i, t in rows:
         for line in (t or "").split("\n"):
             if len(key(line)) >= 20:
-                holders.setdefault(key(line), set()).add((i, t or ""))
+                holders.setdefault(key(line), set()).add(i)
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
         kept = []
         for line in lines:
             docs = holders.get(key(line), ())
-            last = max((d for d, _ in docs if d is not None), default=None)
-            if len(docs) < 3 or i == last:
+            docs = {d for d in docs if d is not None}
+            if len(docs) < 3 or i == max(docs):
                 kept.append(line)
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return Counter(out)
@@ -48,6 +48,12 @@ def test_many_batches_and_compactions(spark):
     check(spark, rows, batches=1)
 
 
+def test_an_id_counts_once(spark):
+    line = "a line of over twenty letters"
+    check(spark, [(1, line), (1, f"{line}\nmore"), (2, line), (None, line), (None, f"{line}\nx")])
+    check(spark, [(1, line), (2, line), (3, line), (None, line)])
+
+
 def test_line_in_every_document(spark):
     rows = [(i, "This very line is in all of the documents\nown") for i in range(600)]
     check(spark, rows)
