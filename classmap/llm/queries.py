@@ -143,6 +143,76 @@ from t join g on t.body = g.body
 """
 
 
+def _repair_sql() -> str:
+    """The same damage, and the cheapest edits row by row from the end, by whole audits."""
+    follow, names = {1: 3, 2: 3, 3: 4, 4: 3}, {1: "user", 2: "user", 3: "assistant", 4: "user"}
+    keeps = {1: {"s": 2, "u": 3}, 2: {"u": 3}, 3: {"a": 4}, 4: {"u": 3}}
+    entry = "{{'c': {c}, 'a': {a}, 't': {t}}}".format
+
+    def best(q: int) -> str:
+        then = follow[q]
+        ways = [entry(c=f"s[{q}].c + 4", a=f"'D' || s[{q}].a", t=f"s[{q}].t")]
+        for initial, to in keeps[q].items():
+            kept = entry(c=f"s[{to}].c + cut", a=f"'K' || s[{to}].a", t=f"chr(10) || role || ':' || text || s[{to}].t")
+            ways.append(f"case when stays and initial = '{initial}' then {kept} end")
+        moved = entry(c=f"s[{then}].c + cut + 3", a=f"'R' || s[{then}].a", t=f"chr(10) || '{names[q]}:' || text || s[{then}].t")
+        return f"list_min([{', '.join([*ways, f'case when stays then {moved} end'])}])"
+
+    def inserted(q: int) -> str:
+        put = entry(c=f"s[{follow[q]}].c + 3", a=f"'I' || s[{follow[q]}].a", t=f"chr(10) || '{names[q]}:' || s[{follow[q]}].t")
+        return f"list_min([s[{q}], {put}])"
+
+    each = lambda f: "[" + ", ".join(map(f, (1, 2, 3, 4))) + "]"
+    ended = each({1: entry(c=0, a="''", t="''"), 2: entry(c=6, a="'II'", t="chr(10) || 'user:' || chr(10) || 'assistant:'"),
+                  3: entry(c=3, a="'I'", t="chr(10) || 'assistant:'"), 4: entry(c=0, a="''", t="''")}.get)
+    step = f"select conv_id, place, {each(best)} as s from (select r.*, rec.s from rec join turns r on r.conv_id is not distinct from rec.conv_id and r.place = rec.place - 1)"
+    for _ in range(3):
+        step = f"select conv_id, place, {each(inserted)} as s from ({step})"
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+with recursive
+crc as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) as r(i)),
+named as (
+  select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+coded as (
+  select named.*, xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(name, ''), lambda x: ascii(x)::bigint)),
+                      lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as kind
+  from named, crc),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else coalesce(role, ' ') end as role,
+         case kind when 1 then '' when 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text,
+         unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from coded where kind <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as place, left(role, 1) as initial,
+         right(rtrim(text, {space}), 1) as ends
+  from damaged),
+faults as (
+  select *, ends = '' as blank, ends <> '' and row_number() over (partition by conv_id, role, text order by place) > 1 as again,
+         lag(initial) over (partition by conv_id order by place) as before
+  from placed),
+judged as (
+  select *, not blank and not again as stays, not blank and not again and ends not in ('.', '!', '?') as short from faults),
+counts as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (blank) as blank, count(*) filter (again) as duplicate, count(*) filter (short) as truncated,
+         count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id),
+rec as (
+  select c.conv_id, coalesce(n, 0) + 1 as place, {ended} as s
+  from (select distinct conv_id from conversations) as c left join counts on counts.conv_id is not distinct from c.conv_id
+  union all
+  {step.replace("join turns r", "join (select *, case when short then 3 else 0 end as cut from judged) r")})
+select rec.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, s[1].c::bigint as cost, s[1].a as audit,
+       sha256(substr(s[1].t, 2)) as repaired_sha256
+from rec left join counts on counts.conv_id is not distinct from rec.conv_id
+where rec.place = 1
+"""
+
+
 NEGATIVES_SQL = """
 with v as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
@@ -220,6 +290,7 @@ ORACLES = {
     "op5_line_dedup": LINES_SQL,
     "op7_url_filter": _url_sql(),
     "op10_exact_dedup": COPIES_SQL,
+    "op12_conversation_repair": _repair_sql(),
     "op13_hard_negative_mining": NEGATIVES_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
