@@ -26,6 +26,8 @@ from classmap.plans.settle import settle, task_count
 RETRIES, DELAY_SECONDS = 3, 2.0
 EMBED_RETRIES, EMBED_DELAY_SECONDS, EMBED_BACKOFF, EMBED_JITTER = 8, 1.0, 2.0, 0.1
 
+# Most calls of a task that may hang at the same time.
+MOST_HUNG = 16
 # Most requests one task should hold: what a lost task has to ask again.
 REQUESTS_PER_TASK = 4096
 
@@ -45,12 +47,17 @@ def distinct_requests(df: DataFrame, *, request: str = "request") -> DataFrame:
 
 
 def _within(fn: Callable, seconds: float | None) -> Callable:
-    """A call that hangs longer fails; its thread is left behind."""
+    """A call that hangs longer fails; its thread is left behind. While ``MOST_HUNG`` such
+    threads of a task still run, further calls fail at once."""
     if seconds is None:
         return fn
+    left: list[threading.Thread] = []
 
     def call(batch: list) -> list:
         got: dict = {}
+        left[:] = [t for t in left if t.is_alive()]
+        if len(left) >= MOST_HUNG:
+            raise TimeoutError(f"{len(left)} calls hang")
 
         def run() -> None:
             try:
@@ -62,6 +69,7 @@ def _within(fn: Callable, seconds: float | None) -> Callable:
         thread.start()
         thread.join(seconds)
         if thread.is_alive():
+            left.append(thread)
             raise TimeoutError(f"no reply within {seconds} s")
         if "error" in got:
             raise got["error"]

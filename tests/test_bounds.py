@@ -173,6 +173,18 @@ def test_a_hanging_call_fails(spark):
     assert got == {"B", "ERROR: no reply within 0.5 s"}
 
 
+def test_hanging_calls_are_bounded(monkeypatch):
+    import threading
+    import time
+
+    monkeypatch.setattr(models, "MOST_HUNG", 2)
+    before, call = threading.active_count(), models._within(lambda batch: time.sleep(5), 0.05)
+    for said in ("no reply", "no reply", "2 calls hang", "2 calls hang"):
+        with pytest.raises(TimeoutError, match=said):
+            call(["x"])
+    assert threading.active_count() == before + 2
+
+
 def test_duplicate_rows(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "b", 1)], "row_pos bigint, x string, y bigint")
     assert sorted(r["row_pos"] for r in rows.duplicate_report(df).collect()) == [1, 2]
