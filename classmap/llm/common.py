@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,15 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def give_back() -> None:
+    """Hand a task's free memory back to the system: its Python worker lives on and shares
+    the executor's memory with the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(
     df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
 ) -> DataFrame:
@@ -36,6 +46,7 @@ def map_batches(
         for batch in batches:
             if batch.num_rows:
                 yield step(batch)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

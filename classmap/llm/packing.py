@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from classmap.functions.names import col
-from classmap.llm.common import text_or_empty
+from classmap.llm.common import give_back, text_or_empty
 from classmap.llm.tokens import encoder as text_encoder
 from classmap.llm.tokens import with_end
 
@@ -31,8 +31,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 # Tokens packed together; bounds a task's memory unless one document is longer.
 BLOCK_TOKENS = 1 << 21
 ENCODE_BYTES = 1 << 20
-# Words remembered during a task; its worker may serve other stages as well.
-HELD_WORDS = 100_000
+# Words remembered by a worker, and during a task whose worker serves other stages as well.
+HELD_WORDS, LEAN_WORDS = 400_000, 50_000
 SEQUENCES_PER_TASK = 1 << 40
 
 PIECES = (
@@ -78,6 +78,7 @@ def pack(
     quadratic: float = QUADRATIC,
     block_tokens: int = BLOCK_TOKENS,
     with_ids: bool = False,
+    lean: bool = False,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, sequence_tokens`` and, with ``with_ids``, the piece's ``ids``.
@@ -88,13 +89,15 @@ def pack(
     power of two below it, so none needs padding. ``ids_crc32`` is over the ids as
     little-endian 32-bit numbers. Sequence ids are the task's number in the plan and a
     counter, the same when a lost task is run again. Other columns are ignored. An empty
-    table gives no pieces.
+    table gives no pieces. ``lean`` remembers fewer encoded words and none between tasks,
+    which takes more time and leaves a worker's memory to other stages; the rows are the
+    same.
     """
     rows = docs.select(col(doc_id).alias("doc_id"), text_or_empty(col(text)).alias("text"))
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString()) + ", ids array<bigint>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(tokenizer_path, HELD_WORDS)
+        encoder = text_encoder(tokenizer_path, LEAN_WORDS if lean else HELD_WORDS)
         task = TaskContext.get().partitionId()
         sequences, names, tokens, waiting = 0, [], [], 0
 
@@ -137,7 +140,8 @@ def pack(
                     yield flush()
         if tokens:
             yield flush()
-        encoder.forget()
-        pa.default_memory_pool().release_unused()
+        if lean:
+            encoder.forget()
+        give_back()
 
     return rows.mapInArrow(run, schema)

@@ -82,3 +82,28 @@ def test_costs_are_balanced():
 
 def test_empty_table(spark):
     assert packing.pack(frame(spark, []), PATH).count() == 0
+
+
+@pytest.mark.parametrize("lean", [False, True])
+def test_words_are_kept_between_tasks_unless_lean(spark, monkeypatch, lean):
+    """The task's function, run twice here: the second time nothing is encoded anew."""
+    rows = [(i, f"some words and number{i} of text") for i in range(50)]
+    docs = frame(spark, rows, extra=False)
+    batch = docs.select("doc_id", "text").toArrow().combine_chunks().to_batches()[0]
+    learnt = []
+    plain = tokens.Encoder._learn
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, words: (learnt.append(len(words)), plain(self, words))[1])
+    monkeypatch.setattr(packing, "TaskContext", type("Task", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 3)}))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    run = packing.pack(docs, PATH, lean=lean)
+    first, second = ([b.to_pylist() for b in run(iter([batch]))] for _ in range(2))
+    assert first == second and sum(map(len, first)) >= len(rows)
+    assert len(learnt) == (2 if lean else 1)
+    held = tokens.encoder(PATH, packing.LEAN_WORDS if lean else packing.HELD_WORDS)
+    assert bool(held.known or held.older) != lean
+
+
+def test_lean_packing_gives_the_same_rows(spark):
+    docs = frame(spark, awkward(), extra=False).coalesce(1)
+    both = [sorted(map(repr, packing.pack(docs, PATH, lean=lean).collect())) for lean in (False, True)]
+    assert both[0] == both[1]
