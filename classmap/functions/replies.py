@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,11 +14,16 @@ STRICT = {"allowSingleQuotes": "false"}
 QUOTED_CHARS = 400
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once per row, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _whole_json(text: Column, schema: str) -> Column:
     """The text as exactly one JSON value of a schema; null when anything follows it."""
     boxed = F.concat(F.lit("["), text, F.lit("]"))
     values = F.from_json(boxed, f"array<{schema}>", STRICT)
-    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+    return _bound(values, lambda v: F.when(F.size(v) == 1, F.get(v, F.lit(0))))
 
 
 def parse_json_reply(raw, schema: str = "map<string,string>") -> Column:
@@ -34,14 +41,17 @@ def validate_choice(raw, candidates) -> Column:
     """
     raw, candidates = (F.col(c) if isinstance(c, str) else c for c in (raw, candidates))
     raw = F.coalesce(raw, F.lit(""))
-    reply = parse_json_reply(raw)
+    return _bound(parse_json_reply(raw), lambda reply: _judged(raw, reply, candidates))
+
+
+def _judged(raw: Column, reply: Column, candidates: Column) -> Column:
     none = F.lit(None).cast("string")
     choice = F.coalesce(F.element_at(reply, "choice_id"), F.lit("None"))
     said = F.when(
         F.map_contains_key(reply, "reasoning"),
         strip(F.coalesce(F.element_at(reply, "reasoning"), F.lit("None"))),
     ).otherwise(F.lit(""))
-    known = F.exists(candidates, lambda c: c["class_id"].cast("string") == choice)
+    known = F.array_contains(_ids(candidates), choice)
     unread = F.concat(F.lit("Unparseable LLM output: "), F.substring(raw, 1, QUOTED_CHARS))
     wrong = F.concat(F.lit("Invalid choice_id: "), choice)
     return (
@@ -61,11 +71,16 @@ def validate_choice(raw, candidates) -> Column:
     )
 
 
+def _ids(candidates: Column) -> Column:
+    return F.transform(candidates, lambda c: c["class_id"].cast("string"))
+
+
 def resolve_choice(choice_id, candidates) -> Column:
     """Name of the chosen candidate."""
     choice_id, candidates = (F.col(c) if isinstance(c, str) else c for c in (choice_id, candidates))
-    same = F.filter(candidates, lambda c: c["class_id"].cast("string") == choice_id)
-    return F.get(same, F.lit(0))["class_name"]
+    # The choice is looked up once, not once per candidate.
+    at = F.array_position(_ids(candidates), choice_id).cast("int")
+    return F.get(candidates, at - 1)["class_name"]
 
 
 def parse_extraction(raw) -> Column:
