@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from classmap.functions.names import col
-from classmap.llm.common import byte_texts, text_or_empty
+from classmap.llm.common import byte_texts, give_back, text_or_empty
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -192,6 +192,7 @@ def drop_contaminated(
             at = index.value
             for batch in batches:
                 yield batch.filter(pa.array([not at.matches(t) for t in byte_texts(batch.column(place))], pa.bool_()))
+            give_back()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
