@@ -55,6 +55,8 @@ ENCODE_BYTES = 4 << 20
 HELD_WORDS = 500_000
 # Largest id that is counted in a table.
 COUNTED = 1 << 22
+# So many documents are followed one by one.
+FEW_DOCUMENTS = 64
 
 
 def pack_ids(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +64,11 @@ def pack_ids(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ids = ids.astype(np.uint64)
     n = len(ids)
     # The most ids of this one's size that a word takes; 0 needs an escape.
-    fits = ROOM[np.frexp(ids.astype(np.float64))[1]]
+    largest = int(ids.max()) if n else 0
+    if largest < COUNTED:
+        fits = ROOM[np.frexp(np.arange(largest + 1.0))[1]][ids.astype(np.int64)]
+    else:
+        fits = ROOM[np.frexp(ids.astype(np.float64))[1]]
     # The most ids from here on that share a word: all of them must take that number.
     step = np.minimum(fits, 1)
     window, size = fits, 1  # the least of the next ``size`` ids
@@ -78,12 +84,7 @@ def pack_ids(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     tail = np.concatenate([np.arange(max(e - 60, e - n_own), e) for e, n_own in zip(ends.tolist(), lengths.tolist(), strict=True)])
     left = np.repeat(ends, np.minimum(lengths, 60)) - tail
     step[tail] = np.minimum(step[tail], WHOLE[left])
-    # Follow the words: each starts where the one before it ends.
-    jumps, starts, at = np.maximum(step, 1).tolist(), [], 0
-    while at < n:
-        starts.append(at)
-        at += jumps[at]
-    starts = np.array(starts, np.int64)
+    starts = word_starts(np.maximum(step, 1), ends - lengths, ends)
     took = step[starts] if n else np.zeros(0, np.int64)
     selectors = np.zeros(61, np.uint64)
     selectors[COUNTS[1:15]] = np.arange(1, 15)
@@ -101,6 +102,23 @@ def pack_ids(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, own
 
 
+def word_starts(step: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where words start: each where the one before it ends, ``step`` further on. Documents,
+    from ``at`` to ``ends``, are followed side by side until few long ones are left."""
+    found = []
+    while len(at := at[live := at < ends]) > FEW_DOCUMENTS:
+        ends = ends[live]
+        found.append(at)
+        at = at + step[at]
+    for a, e in zip(at.tolist(), ends[live].tolist(), strict=True):
+        jumps, own, place = step[a:e].tolist(), [], 0
+        while place < e - a:
+            own.append(a + place)
+            place += jumps[place]
+        found.append(np.array(own, np.int64))
+    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
 def _with_escapes(ids, words, starts, took, lengths):
     """Put an escape with its count before each run of ids that need a whole word."""
     whole = took == 0

@@ -85,17 +85,21 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         known, older = self.known, self.older
-        again = {w: older[w] for w in words if w in older}
-        known.update(again)
-        fresh, rest = [], []
-        for w in words.difference(again):
-            (fresh if w.isalpha() else rest).append(w)
-        # A word that ends in one of the marks is its letters' ids and the mark's.
-        ended = [w for w in rest if w[:-1].isalpha() and w[-1] in TAIL]
-        cores = {w[:-1] for w in ended}
+        fresh, ended, rest = [], {}, []
+        for w in words:
+            if w in older:
+                known[w] = older[w]
+            elif w.isalpha():
+                fresh.append(w)
+            elif w[-1:] in TAIL and (core := w[:-1]).isalpha():
+                # A word that ends in one of the marks is its letters' ids and the mark's.
+                ended[w] = core
+            else:
+                rest.append(w)
+        cores = set(ended.values()).difference(known, fresh)
         known.update({w: older[w] for w in cores if w in older})
-        fresh += cores.difference(known, fresh)
-        for w in set(rest).difference(ended):
+        fresh += cores.difference(known)
+        for w in rest:
             # Words with other white space at an end, or of nothing else, are no words.
             if not w or w[-1].isspace() or w[w[0] == "\n"].isspace():
                 known[w] = None
@@ -112,7 +116,7 @@ class Encoder:
             if mark not in self.tails:
                 (self.tails[mark],) = self._whole([mark])
         tails = self.tails
-        known.update({w: known[w[:-1]] + tails[w[-1]] for w in ended})
+        known.update({w: known[core] + tails[w[-1]] for w, core in ended.items()})
 
     def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, their number per text, and which texts must be encoded whole."""
@@ -133,19 +137,24 @@ class Encoder:
                 bad[i], found[i] = True, b""
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         own = size[codes]
-        ends, starts = np.cumsum(own), (np.cumsum(size) - size)[codes]
-        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(starts - ends + own, own) + np.arange(own.sum())]
         first = split.offsets.to_numpy()[:-1].astype(np.int64)
-        lengths = np.add.reduceat(own, first)
+        lengths, starts = np.add.reduceat(own, first), (np.cumsum(size) - size)[codes]
         whole = np.logical_or.reduceat(bad[codes], first)
         for content in self.added:
             whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         # The line end before a text's first word is not the text's.
-        keep = np.ones(len(ids), bool)
-        has = lengths > 0
-        keep[(np.cumsum(lengths) - lengths)[has & ~bad[codes[first]]]] = False
-        lengths -= has & ~bad[codes[first]]
-        return ids[keep], lengths, whole
+        extra = (lengths > 0) & ~bad[codes[first]]
+        own[first] -= extra
+        starts[first] += extra
+        lengths -= extra
+        # Places of the ids in the words' list.
+        total = int(own.sum())
+        kind = np.int32 if max(total, int(size.sum())) < 1 << 31 else np.int64
+        shift = (starts - (np.cumsum(own) - own)).astype(kind)
+        places = np.repeat(shift, own)
+        places += np.arange(total, dtype=kind)
+        ids = np.frombuffer(b"".join(found), "<u4")[places]
+        return ids, lengths, whole
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """32-bit ids of all texts, one after the other, and their number per text."""

@@ -89,3 +89,17 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
     found = QUERIES["op11_simple8b_token_files"](spark, SF_DIR).select("doc_id", "start", "n_tokens", "ids_crc32")
     assert sorted((tuple(r) for r in found.collect()), key=lambda r: r[1]) == brute(rows)
+
+
+def test_words_of_many_documents_start_as_followed_one_by_one():
+    rng = np.random.default_rng(3)
+    lengths = np.concatenate(([0, 5000, 1], rng.integers(0, 40, 300), [0]))
+    ends = np.cumsum(lengths)
+    step = rng.integers(1, 9, int(ends[-1])).astype(np.uint8)
+    for a, e in zip((ends - lengths).tolist(), ends.tolist(), strict=True):  # no word spans two documents
+        step[a:e] = np.minimum(step[a:e], e - np.arange(a, e))
+    want, at = [], 0
+    while at < len(step):
+        want.append(at)
+        at += int(step[at])
+    assert token_files.word_starts(step, ends - lengths, ends).tolist() == want
