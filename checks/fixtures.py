@@ -35,8 +35,9 @@ def vectors(spark, sf_dir) -> DataFrame:
 
 
 def item_emb(spark, sf_dir) -> DataFrame:
-    """A vector for every item: vectors are given out in turn."""
-    given = vectors(spark, sf_dir)
+    """A vector for every item: vectors are given out in turn, by a join that sends neither
+    side to the driver."""
+    given = vectors(spark, sf_dir).hint("merge")
     turn = F.pmod("item_id", F.lit(given.count())).alias("turn")
     ids = items(spark, sf_dir).select("item_id", turn)
     return ids.join(given, ids["turn"] == given["id"]).select(F.col("item_id").alias("id"), "embedding")

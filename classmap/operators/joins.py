@@ -99,9 +99,10 @@ def intersect_ids(items: DataFrame, embeddings: DataFrame, *, id: str, emb_id: s
 
 def item_embedding_join(items: DataFrame, embeddings: DataFrame, *, id: str, emb_id: str = "id") -> DataFrame:
     """Items with their vectors; either side alone is dropped, and a null or non-finite
-    vector counts as none."""
+    vector counts as none. Both sides grow with the items: neither passes the driver, even
+    where a well packed table looks small enough to be broadcast."""
     vectors = embeddings.where(usable_vector("embedding")).select(col(emb_id).alias(id), "embedding")
-    return items.join(vectors, id, "inner")
+    return items.join(vectors.hint("merge"), id, "inner")
 
 
 def filter_by_mapping(

@@ -200,3 +200,14 @@ def test_scratch_leaves_nothing(spark):
     with pytest.raises(Exception):
         spark.read.parquet(files[0]).count()
     assert lasting.select(F.count("id")).first()[0] == 3
+
+
+def test_vectors_meet_items_without_the_driver(spark):
+    items = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "item_id bigint, item_name string")
+    given = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (None, [3.0]), (3, [float("nan")])], "id bigint, embedding array<double>")
+    for path, df in {"items": items, "given": given}.items():
+        df.write.mode("overwrite").parquet(f"{settle.shared_dir(spark)}/{path}-stored")
+    items, given = (spark.read.parquet(f"{settle.shared_dir(spark)}/{p}-stored") for p in ("items", "given"))
+    joined = joins.item_embedding_join(items, given, id="item_id")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, joined.collect())) == [(1, "a", [1.0]), (2, "b", [2.0]), (2, "d", [2.0])]
