@@ -27,6 +27,9 @@ CELLS = 1 << 22
 # Leaves of a block, and the fewest and most items of a split.
 BLOCK_LEAVES = 8192
 SPLIT_ROWS = (2048, 65536)
+# A hot name's rows are dealt out in so many parts of a split's size: few large parts would
+# land unevenly, and a task holds its whole split.
+PARTS = 8
 # Similarities closer than this are ties (matrix products vary in the last bits).
 TIE_DIGITS = 12
 
@@ -105,7 +108,7 @@ def _inside(names: np.ndarray, ranges: pa.Table, first: int, width: int) -> np.n
     edges = np.zeros((len(names), width + 1), np.int32)
     np.add.at(edges, (row, lo[at]), 1)
     np.add.at(edges, (row, hi[at]), -1)
-    return np.cumsum(edges[:, :-1], axis=1) > 0
+    return np.cumsum(edges[:, :-1], axis=1, dtype=np.int32) > 0
 
 
 def cosine_top_k(
@@ -156,9 +159,10 @@ def cosine_top_k(
     parts, shared = F.lit(1), None
     if ranges is not None:
         ranges = ranges.select(F.col("name_no").cast("bigint").alias("_name"), "lo", "hi")
-        # At most rows / split size names are hot.
-        hot = probe.groupBy("_name").agg(F.count(F.lit(1)).alias("_n")).where("_name is not null").where(F.col("_n") > size)
-        hot = settle(hot.select("_name", F.ceil(F.col("_n") / size).cast("int").alias("_parts")), "hot-names")
+        # At most PARTS * rows / split size names are hot.
+        part_rows = max(1, size // PARTS)
+        hot = probe.groupBy("_name").agg(F.count(F.lit(1)).alias("_n")).where("_name is not null").where(F.col("_n") > part_rows)
+        hot = settle(hot.select("_name", F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")), "hot-names")
         probe = probe.join(F.broadcast(hot), "_name", "left")
         parts = F.coalesce("_parts", F.lit(1))
         spread = ranges.join(F.broadcast(hot), "_name", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -188,7 +192,8 @@ def cosine_top_k(
         for at in range(0, a.num_rows, step):
             some, own = a.slice(at, step), names[at : at + step]
             vectors = _unit(_matrix(some["_vector"]))
-            board = np.round(vectors @ classes.T, TIE_DIGITS) if len(leaf) else np.zeros((len(own), 0))
+            board = vectors @ classes.T if len(leaf) else np.zeros((len(own), 0))
+            np.round(board, TIE_DIGITS, out=board)
             n = np.zeros(len(own), np.int32)
             if inside is not None and (own >= 0).any():
                 different, which = np.unique(own, return_inverse=True)
@@ -198,6 +203,7 @@ def cosine_top_k(
                 board[masked[:, None] & ~good] = -np.inf
             columns = [some[c] for c in carried] + [pa.array(n), _struct_lists(*_best(board, k), table)]
             out.append(pa.table(columns, [*carried, "n", "topk"]))
+            del board  # not beside the next one
         return pa.concat_tables(out)
 
     if shared is None:

@@ -59,6 +59,8 @@ def pair_blocks(
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows:
             return pa.table({n: pa.array([], t) for n, t in kinds.items()})
+        # What earlier groups left free goes back: the worker lives on beside others.
+        pa.default_memory_pool().release_unused()
         return compare(a.combine_chunks(), b.combine_chunks())
 
     return every.groupBy(*keys).cogroup(other.groupBy(*keys)).applyInArrow(run, schema)

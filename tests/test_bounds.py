@@ -211,3 +211,22 @@ def test_vectors_meet_items_without_the_driver(spark):
     joined = joins.item_embedding_join(items, given, id="item_id")
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, joined.collect())) == [(1, "a", [1.0]), (2, "b", [2.0]), (2, "d", [2.0])]
+
+
+def test_rows_of_hot_names_fill_splits_evenly(spark, monkeypatch):
+    """Few names with many rows each: no task holds many more rows than a split should."""
+    before = similarity.pair_blocks
+    seen = []
+
+    def watched(left, *args, **more):
+        seen.extend(r["count"] for r in left.groupBy("_split").count().collect())
+        return before(left, *args, **more)
+
+    monkeypatch.setattr(similarity, "pair_blocks", watched)
+    items = spark.range(6400).select("id", (F.col("id") % 16).alias("name_no"), F.array(F.lit(1.0), F.col("id") * 0.5).alias("embedding"))
+    leaves = spark.createDataFrame([(i, i, f"c{i}", [float(i), 1.0]) for i in range(4)], "leaf_no bigint, class_id bigint, class_name string, embedding array<double>")
+    leaves = leaves.withColumn("class_pos", F.col("leaf_no"))
+    ranges = spark.range(16).select(F.col("id").alias("name_no"), F.lit(0).cast("bigint").alias("lo"), F.lit(4).cast("bigint").alias("hi"))
+    got = similarity.cosine_top_k(items, leaves, k=2, id="id", ranges=ranges, rows=6400, split=(400, 400))
+    assert got.where("candidates_count = 4 and size(topk) = 2").count() == 6400
+    assert sum(seen) == 6400 and max(seen) < 2 * 400
