@@ -195,6 +195,11 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.diff(at, append=len(keys))
 
 
+def by_frequency(n: np.ndarray) -> np.ndarray:
+    """The places of words that occur so often, the most frequent first."""
+    return np.argsort(-n, kind="stable").astype(np.int32)
+
+
 def pair_hashes(words: np.ndarray, before: np.ndarray, place: np.ndarray) -> np.ndarray:
     out = words[before]
     out *= MIX
@@ -248,25 +253,29 @@ def _parts(id_type: pa.DataType, ids: pa.Array | None = None, **columns: list) -
 
 def _chunk_parts(rows: DataFrame, schema: str, buckets: int, *, scored: bool) -> DataFrame:
     """The different pairs and words of each chunk of rows with their counts, one part per
-    bucket of their hashes. Where the rows are to be scored, also these, as the places of
-    their words among the chunk's words; such pieces travel with any bucket."""
+    bucket of their hashes. Where the rows are to be scored, also these, as the ranks of
+    their words by frequency in the chunk; such pieces travel with any bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, held in enumerate(_chunks(batches)):
             counts, words, place = chunk_words([b.column("text") for b in held])
             ids = pa.concat_arrays([b.column("doc_id") for b in held])
+            own_n = np.bincount(place, minlength=len(words))
             chunk = stamp = None
             if scored:
                 chunk, stamp = (task << 32) + number, zlib.crc32(place, zlib.crc32(counts))
                 ends, at = np.cumsum(counts), np.arange(len(counts))
+                order = by_frequency(own_n)
+                rank = np.empty_like(order)
+                rank[order] = np.arange(len(order))
                 cuts = np.flatnonzero(np.diff(ends // PIECE_WORDS + at // PIECE_ROWS, prepend=-1)).tolist()
                 for part, (a, b) in enumerate(pairwise([*cuts, len(counts)])):
-                    blobs = [pack(counts[a:b]), pack(place[ends[a] - counts[a] : ends[b - 1]])]
+                    blobs = [pack(counts[a:b]), pack(rank[place[ends[a] - counts[a] : ends[b - 1]]])]
                     where = {"chunk": [chunk], "stamp": [stamp], "bucket": [(task + number + part) % buckets], "part": [part]}
                     yield _parts(ids.type, ids[a:b], **where, blobs=[blobs], totals=[[len(cuts)]])
             before = places_before(counts, words, place)
-            own_n, before_n = (np.bincount(x, minlength=len(words)) for x in (place, before))
+            before_n = np.bincount(before, minlength=len(words))
             pairs, n = distinct(pair_hashes(words, before, place))
             # By their upper bits: buckets follow each other as the sorted hashes do.
             p, w = ([slice(*x) for x in pairwise(np.searchsorted((keys >> HALF) * np.uint64(buckets) >> HALF, np.arange(buckets + 1)))] for keys in (pairs, words))
@@ -309,7 +318,7 @@ def _bucket_sums(rows: pa.Table) -> pa.Table:
     totals = [int(np.count_nonzero(own_t + own_b)), int(own_t.sum()), int(own_b.sum())]
     sent = np.flatnonzero(~target).tolist()
     blobs = [
-        [words[i], *(pack(x[pair_places[i]]) for x in pair_sums), *(pack(x[word_places[i]]) for x in word_sums)] for i in sent
+        [words[i], own_n[i], *(pack(x[pair_places[i]]) for x in pair_sums), *(pack(x[word_places[i]]) for x in word_sums)] for i in sent
     ]
     back = {c: counted[c].filter(pc.is_valid(counted["chunk"])).to_pylist() for c in ("chunk", "stamp", "bucket")}
     out = _parts(rows.schema.field("ids").type.value_type, **back, blobs=blobs, totals=[totals] * len(sent))
@@ -328,9 +337,10 @@ def _chunk_scores(rows: pa.Table, buckets: int, smoothing: float) -> pa.Table:
     n_words, *tokens = (sum(x) for x in zip(*sums["totals"].to_pylist(), strict=True))
     found = list(zip(*sums["blobs"].to_pylist(), strict=True))
     words = np.concatenate([unpack_keys(x) for x in found[0]])
-    pair_t, pair_b, own_t, own_b, before_t, before_b = (np.concatenate([unpack(x) for x in c]) for c in found[1:])
+    here, pair_t, pair_b, own_t, own_b, before_t, before_b = (np.concatenate([unpack(x) for x in c]) for c in found[1:])
     counts, places = zip(*([unpack(x) for x in blobs] for blobs in pieces["blobs"].to_pylist()), strict=True)
-    places = [x.astype(np.int32) for x in places]
+    order = by_frequency(here)
+    places = [order[x] for x in places]
     befores = [places_before(n, words, x) for n, x in zip(counts, places, strict=True)]
     known, _ = distinct(np.concatenate([pair_hashes(words, *x) for x in zip(befores, places, strict=True)]))
     wanted, models = float(max(1, tokens[0])), []
