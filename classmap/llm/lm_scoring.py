@@ -305,6 +305,17 @@ def _add_up(keys: list[np.ndarray], counts: list[list[np.ndarray]], target: np.n
     return np.split(place, np.cumsum(lengths)[:-1]), sums
 
 
+def _in_utc(table: pa.Table) -> pa.Table:
+    """Time stamps come in the session's zone; grouped functions must return them in UTC."""
+
+    def utc(kind: pa.DataType) -> pa.DataType:
+        if pa.types.is_list(kind):
+            return pa.list_(utc(kind.value_type))
+        return pa.timestamp(kind.unit, "UTC") if pa.types.is_timestamp(kind) and kind.tz else kind
+
+    return table.cast(pa.schema([pa.field(f.name, utc(f.type)) for f in table.schema]))
+
+
 def _bucket_sums(rows: pa.Table) -> pa.Table:
     """Sends the sums over all chunks of a bucket's pairs and words back to each chunk to
     be scored, in its own order; pieces of rows go on as they came."""
@@ -324,7 +335,7 @@ def _bucket_sums(rows: pa.Table) -> pa.Table:
     out = _parts(rows.schema.field("ids").type.value_type, **back, blobs=blobs, totals=[totals] * len(sent))
     give_back()
     passed = rows.filter(pc.is_valid(rows["part"])).select(out.schema.names)
-    return pa.concat_tables([passed, pa.Table.from_batches([out]).cast(passed.schema)])
+    return _in_utc(pa.concat_tables([passed, pa.Table.from_batches([out]).cast(passed.schema)]))
 
 
 def _chunk_scores(rows: pa.Table, buckets: int, smoothing: float) -> pa.Table:
@@ -360,10 +371,11 @@ def _chunk_scores(rows: pa.Table, buckets: int, smoothing: float) -> pa.Table:
     ids = pa.concat_arrays([x.flatten() for x in pieces["ids"].chunks])
     without = counts == 0
     give_back()
-    return pa.table(
+    out = pa.table(
         [ids, pa.array(counts), *(pa.array(x, mask=without) for x in (*losses, losses[0] - losses[1]))],
         ["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
     )
+    return _in_utc(out)
 
 
 def _all_words(rows: DataFrame, target: DataFrame, smoothing: float) -> DataFrame:

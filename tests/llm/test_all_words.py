@@ -98,3 +98,16 @@ def test_words_are_those_of_bytes_split():
     words = [(t or "").encode().lower().split() for t in texts]
     assert counts.tolist() == [len(w) for w in words]
     assert hashes[place].tolist() == [lm_scoring.word_hash(w) for x in words for w in x]
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp"])
+def test_ids_of_other_types(spark, kind):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        docs = spark.range(6).selectExpr(f"cast(cast(id as {'timestamp' if kind == 'timestamp' else 'int'}) as {kind}) k", "concat('a b ', id % 2) body")
+        found = lm_scoring.cross_entropy_difference(docs, docs.limit(2), doc_id="k", text="body")
+        assert found.schema["doc_id"].dataType.simpleString() == kind
+        assert {r["doc_id"] for r in found.collect()} == {r["k"] for r in docs.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
